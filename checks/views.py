@@ -11,17 +11,27 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.flights import iso_weekday
 from skyledger.sinks.messages import flight_messages, normalise_payload
+from skyledger.storage import size_in_bytes
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Below this size a table is spread over all cores after the scan: the test tables hold a single
+# row group each, which one task reads however many cores there are.
+SMALL_TABLE = 1 << 30
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    path = f"{sf_dir}/{name}.parquet"
+    rows = spark.read.parquet(path)
+    if key and size_in_bytes(spark, path) < SMALL_TABLE:
+        return rows.repartition(spark.sparkContext.defaultParallelism, key)
+    return rows
 
 
 def _line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     return (
-        table(spark, sf_dir, "lineitem")
+        table(spark, sf_dir, "lineitem", "l_orderkey")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -34,16 +44,25 @@ def _two_digits(prefix: str, number: Column) -> Column:
 def _flights_of(lines: DataFrame) -> DataFrame:
     part, order, line = F.col("l_partkey"), F.col("l_orderkey"), F.col("l_linenumber")
     supplier, customer = F.col("l_suppkey"), F.col("o_custkey")
-    one, zero = F.lit(1.0), F.lit(0.0)
-
     cancelled = (F.col("l_returnflag") == "R") & (part % 10 == 0)
-    diverted = ~cancelled & (F.col("l_linestatus") == "F") & (part % 50 == 1)
-    delay = F.when(~cancelled, F.col("l_quantity") - 20)
     date = F.col("l_shipdate").cast("date")
-    late = (date >= F.lit("1998-01-01").cast("date")) & (delay >= 15)
+    marked = lines.select(
+        part, order, line, supplier, customer, "s_nationkey",
+        date.alias("date"),
+        cancelled.alias("cancelled"),
+        (~cancelled & (F.col("l_linestatus") == "F") & (part % 50 == 1)).alias("diverted"),
+        F.when(~cancelled, F.col("l_quantity") - 20).alias("delay"),
+        _two_digits("C", F.col("s_nationkey")).alias("airline"),
+        (supplier % 12).alias("origin"),
+        (customer % 12).alias("dest"),
+    ).withColumn("late", (F.col("date") >= F.lit("1998-01-01").cast("date"))
+                 & (F.col("delay") >= 15))
+
+    cancelled, diverted, delay = F.col("cancelled"), F.col("diverted"), F.col("delay")
     unrecorded = ~diverted & (part % 97 == 3)
     letters = F.array(*[F.lit(code) for code in ("", "A", "B", "C", "D")])
-    distance = (200 + supplier % 12 * 150 + customer % 12 * 10).cast("double")
+    distance = (200 + F.col("origin") * 150 + F.col("dest") * 10).cast("double")
+    one, zero = F.lit(1.0), F.lit(0.0)
 
     def airport(role: str, number: Column) -> list[Column]:
         return [
@@ -56,23 +75,22 @@ def _flights_of(lines: DataFrame) -> DataFrame:
         ]
 
     def cause(name: str, minutes: Column) -> Column:
-        return F.when(late, minutes.cast("double")).alias(name)
-
-    airline = _two_digits("C", F.col("s_nationkey"))
-    return lines.select(
-        date.alias("FlightDate"),
-        F.year(date).alias("Year"),
-        F.quarter(date).alias("Quarter"),
-        F.month(date).alias("Month"),
-        F.dayofmonth(date).alias("DayofMonth"),
-        iso_weekday(date).alias("DayOfWeek"),
-        airline.alias("Reporting_Airline"),
-        airline.alias("IATA_CODE_Reporting_Airline"),
+        return F.when(F.col("late"), minutes.cast("double")).alias(name)
+
+    return marked.select(
+        F.col("date").alias("FlightDate"),
+        F.year("date").alias("Year"),
+        F.quarter("date").alias("Quarter"),
+        F.month("date").alias("Month"),
+        F.dayofmonth("date").alias("DayofMonth"),
+        iso_weekday("date").alias("DayOfWeek"),
+        F.col("airline").alias("Reporting_Airline"),
+        F.col("airline").alias("IATA_CODE_Reporting_Airline"),
         (19000 + F.col("s_nationkey")).cast("bigint").alias("DOT_ID_Reporting_Airline"),
         F.concat(F.lit("N"), part.cast("string")).alias("Tail_Number"),
         (order % 1000).alias("Flight_Number_Reporting_Airline"),
-        *airport("Origin", supplier % 12),
-        *airport("Dest", customer % 12),
+        *airport("Origin", F.col("origin")),
+        *airport("Dest", F.col("dest")),
         (part % 25 * 100 + order % 60).alias("CRSDepTime"),
         F.when(~cancelled, part % 24 * 100 + order % 60).alias("DepTime"),
         (part % 22 * 100 + line).alias("CRSArrTime"),
@@ -153,7 +171,7 @@ def status_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
     number = (event % 900).cast("string")
     delay = F.col("value").cast("int")
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events", "event_id").select(
         F.date_format(clock, "yyyy-MM-dd").alias("flight_date"),
         F.col("event_type").alias("flight_status"),
         stop(user % 12, F.when(event % 4 != 0, delay), clock, arrival=False).alias("departure"),

@@ -51,6 +51,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def size_in_bytes(spark: SparkSession, path: str) -> int:
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """Absolute form with scheme, so that two spellings of one folder compare equal."""
     fs, hadoop_path = _file_system(spark, path)
