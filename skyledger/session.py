@@ -42,3 +42,11 @@ def build_session(
     for key, value in {**SESSION_DEFAULTS, **(configs or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Give a session that was built elsewhere those defaults that may change at run time."""
+    for key in ("spark.sql.codegen.hugeMethodLimit",
+                "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+        spark.conf.set(key, SESSION_DEFAULTS[key])
+    return spark
