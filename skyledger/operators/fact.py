@@ -20,6 +20,8 @@ NARROW_FACT_COLUMNS = [
     "CRSArrTime", "ArrTime", "ArrDelay", "Cancelled", "Diverted",
 ]
 
+AIRLINE_KEY = ["IATA_CODE_Reporting_Airline", "DOT_ID_Reporting_Airline"]
+
 # -------------------------------------------------------------------------------------------
 
 # A dimension of at most this many rows may be broadcast on request (some 100 bytes each).
@@ -46,41 +48,80 @@ def _prefixed(dim: DataFrame, prefix: str, keep: tuple[str, ...] = ()) -> DataFr
                         for name in dim.columns])
 
 
-def join_time(flights: DataFrame, dim_time: DataFrame) -> DataFrame:
+def is_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``dim`` has at most ``max_rows`` rows. The count reads no column that the rows do
+    not depend on and stops once it has seen one row more."""
+    return dim.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a dimension after counting that it is small, else ask for a sort-merge join."""
+    return F.broadcast(dim) if is_small(dim, max_rows) else dim.hint("merge")
+
+
+def _join_large(facts: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join with a table that has each key once, however skewed the facts are.
+
+    Adaptive execution splits a hot key's partition only where both inputs of the join come
+    straight from a shuffle made for it. ``lookup`` is an aggregate by its key, whose own
+    partitioning Spark would reuse instead; a marked key makes it shuffle the (narrow) lookup
+    for the join. Facts with a null in the key match nothing and would all meet in one task:
+    they get a scattered key that carries another mark.
+    """
+    separated = [part for name in keys for part in (F.lit("|"), F.col(name).cast("string"))]
+    marked = F.concat(F.lit("k"), *separated)
+    scattered = F.concat(F.lit("n"), F.xxhash64(*facts.columns).cast("string"))
+    left = facts.withColumn("_key", F.coalesce(marked, scattered))
+    right = lookup.withColumn("_key", marked).drop(*keys)
+    return left.join(right, "_key", "left").drop("_key")
+
+
+def _join_dim(facts: DataFrame, dim: DataFrame, lookup: DataFrame, keys: list[str],
+              max_rows: int) -> DataFrame:
+    """Left join with ``lookup``, which has no more rows than the stored ``dim``: by broadcast
+    if that is small, else in a way that stands any skew of the facts."""
+    if is_small(dim, max_rows):
+        return facts.join(F.broadcast(lookup), keys, "left")
+    return _join_large(facts, lookup, keys)
+
+
+def join_time(flights: DataFrame, dim_time: DataFrame,
+              max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add ``time_*`` columns by flight date."""
     calendar = _prefixed(dim_time, "time_", keep=("FlightDate", "time_id"))
-    return flights.join(calendar, "FlightDate", "left")
+    return _join_dim(flights, dim_time, calendar, ["FlightDate"], max_rows)
 
 
-def join_airports(flights: DataFrame, dim_airport: DataFrame) -> DataFrame:
+def join_airports(flights: DataFrame, dim_airport: DataFrame,
+                  max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add the airport dimension in both of its roles, as ``origin_*`` and ``dest_*``."""
     unique = one_per_key(dim_airport, ["AirportID"], "airport_id")
     for key, prefix in (("OriginAirportID", "origin_"), ("DestAirportID", "dest_")):
         role = _prefixed(unique.withColumnRenamed("AirportID", key), prefix, keep=(key,))
-        flights = flights.join(role, key, "left")
+        flights = _join_dim(flights, dim_airport, role, [key], max_rows)
     return flights
 
 
-def join_airline(flights: DataFrame, dim_airline: DataFrame) -> DataFrame:
+def join_airline(flights: DataFrame, dim_airline: DataFrame,
+                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add ``airline_*`` columns. The key is code plus DOT id: a code may have been reused."""
-    keys = ["IATA_CODE_Reporting_Airline", "DOT_ID_Reporting_Airline"]
-    unique = one_per_key(dim_airline, keys, "airline_id")
-    carrier = _prefixed(unique, "airline_", keep=(*keys, "airline_id"))
-    return flights.join(carrier, keys, "left")
+    unique = one_per_key(dim_airline, AIRLINE_KEY, "airline_id")
+    carrier = _prefixed(unique, "airline_", keep=(*AIRLINE_KEY, "airline_id"))
+    return _join_dim(flights, dim_airline, carrier, AIRLINE_KEY, max_rows)
 
 
 def join_delay(keyed: DataFrame, dim_delay: DataFrame) -> DataFrame:
-    """Add ``delay_*`` columns by fact key."""
+    """Add ``delay_*`` columns by fact key; this dimension has about one row per flight."""
     unique = one_per_key(dim_delay, ["fact_key"], "delay_id")
-    return keyed.join(_prefixed(unique, "delay_", keep=("fact_key", "delay_id")),
-                      "fact_key", "left")
+    lookup = _prefixed(unique, "delay_", keep=("fact_key", "delay_id"))
+    return _join_large(keyed, lookup, ["fact_key"])
 
 
 def join_cancellation(keyed: DataFrame, dim_cancel: DataFrame) -> DataFrame:
     """Add ``cancellation_*`` columns by fact key."""
     unique = one_per_key(dim_cancel, ["fact_key"], "cancellation_id")
-    return keyed.join(_prefixed(unique, "cancellation_", keep=("fact_key", "cancellation_id")),
-                      "fact_key", "left")
+    lookup = _prefixed(unique, "cancellation_", keep=("fact_key", "cancellation_id"))
+    return _join_large(keyed, lookup, ["fact_key"])
 
 
 def fact_table(flights: DataFrame, dim_time: DataFrame, dim_airport: DataFrame,
@@ -97,27 +138,13 @@ def fact_table(flights: DataFrame, dim_time: DataFrame, dim_airport: DataFrame,
     return joined.select(*FACT_COLUMNS).distinct()
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a dimension after counting that it is small, else ask for a sort-merge join.
-
-    The count reads no columns and stops once it has seen more than ``max_rows`` rows.
-    """
-    seen = dim.select(F.lit(1)).limit(max_rows + 1).count()
-    return F.broadcast(dim) if seen <= max_rows else dim.hint("merge")
-
-
 def fact_table_hinted(flights: DataFrame, dim_time: DataFrame, dim_airport: DataFrame,
-                      dim_airline: DataFrame, dim_delay: DataFrame, dim_cancel: DataFrame,
-                      max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Same rows with physical hints: small dimensions broadcast, delays by sort-merge."""
-    return fact_table(
-        flights,
-        broadcast_if_small(dim_time, max_rows),
-        broadcast_if_small(dim_airport, max_rows),
-        broadcast_if_small(dim_airline, max_rows),
-        dim_delay.hint("merge"),
-        broadcast_if_small(dim_cancel, max_rows),
-    )
+                      dim_airline: DataFrame, dim_delay: DataFrame,
+                      dim_cancel: DataFrame) -> DataFrame:
+    """Same rows with physical hints for the event dimensions: sort-merge with the delays, a
+    broadcast of the cancellations if they are few (the others are size-checked anyway)."""
+    return fact_table(flights, dim_time, dim_airport, dim_airline, dim_delay.hint("merge"),
+                      broadcast_if_small(dim_cancel))
 
 
 def _event_ids(dim_delay: DataFrame, dim_cancel: DataFrame) -> DataFrame:
@@ -133,32 +160,27 @@ def _event_ids(dim_delay: DataFrame, dim_cancel: DataFrame) -> DataFrame:
 
 
 def fact_table_with_ids(flights: DataFrame, dim_time: DataFrame, dim_airport: DataFrame,
-                        dim_airline: DataFrame, dim_delay: DataFrame,
-                        dim_cancel: DataFrame) -> DataFrame:
+                        dim_airline: DataFrame, dim_delay: DataFrame, dim_cancel: DataFrame,
+                        max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Fact rows carrying the surrogate ids of all dimensions.
 
     The distinct runs first: copies of one flight collapse in its map-side aggregate, however
     many there are, and no join sees them. Both event dimensions are folded into one lookup so
-    that the flights are shuffled on the fact key once. Rows without a key match nothing; they
-    travel under a scattered stand-in key, since nulls would all meet in one task.
+    that the flights are shuffled on the fact key once.
     """
-    airline = ["IATA_CODE_Reporting_Airline", "DOT_ID_Reporting_Airline"]
     facts = (with_fact_key(flights)
              .select(*FACT_COLUMNS, "DOT_ID_Reporting_Airline").distinct())
+    facts = _join_large(facts, _event_ids(dim_delay, dim_cancel), ["fact_key"])
 
-    scattered = F.concat(F.lit("\u0000"), F.xxhash64(*FACT_COLUMNS).cast("string"))
-    facts = facts.withColumn("_key", F.coalesce("fact_key", scattered))
-    events = _event_ids(dim_delay, dim_cancel).withColumnRenamed("fact_key", "_key")
-    facts = facts.join(events, "_key", "left")
-
-    facts = facts.join(dim_time.select("FlightDate", "time_id"), "FlightDate", "left")
+    dates = dim_time.select("FlightDate", "time_id")
+    facts = _join_dim(facts, dim_time, dates, ["FlightDate"], max_rows)
     airports = dim_airport.groupBy("AirportID").agg(F.min("airport_id").alias("_id"))
     for role, id_column in (("Origin", "origin_airport_id"), ("Dest", "dest_airport_id")):
-        ids = airports.select(F.col("AirportID").alias(f"{role}AirportID"),
-                              F.col("_id").alias(id_column))
-        facts = facts.join(ids, f"{role}AirportID", "left")
-    airlines = dim_airline.groupBy(*airline).agg(F.min("airline_id").alias("airline_id"))
-    facts = facts.join(airlines, airline, "left")
+        key = f"{role}AirportID"
+        ids = airports.select(F.col("AirportID").alias(key), F.col("_id").alias(id_column))
+        facts = _join_dim(facts, dim_airport, ids, [key], max_rows)
+    airlines = dim_airline.groupBy(*AIRLINE_KEY).agg(F.min("airline_id").alias("airline_id"))
+    facts = _join_dim(facts, dim_airline, airlines, AIRLINE_KEY, max_rows)
 
     return facts.select(*FACT_COLUMNS, "time_id", "origin_airport_id", "dest_airport_id",
                         "airline_id", "delay_id", "cancellation_id")

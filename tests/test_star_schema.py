@@ -45,9 +45,12 @@ def test_ids_of_nothing_and_of_nulls(spark):
     assert rows(with_dense_id(df, "n", ["k"])) == [("a", 2), ("b", 3), (None, 1)]
 
 
-def test_no_single_partition_sort(cleaned):
-    assert "SinglePartition" not in plan_of(dimensions.dim_delays(cleaned)).replace(
-        "Window", "").split("BroadcastExchange")[0]
+def test_rows_are_never_gathered_for_numbering(cleaned):
+    """Only the slice sizes (an aggregate over the slice number) pass through one task."""
+    plan = dimensions.dim_delays(cleaned)._jdf.queryExecution().executedPlan().toString()
+    rows_side, sizes_side = plan.split("BroadcastExchange", 1)
+    assert "Exchange" not in rows_side.replace("BroadcastHashJoin", "")
+    assert "fact_key" not in sizes_side
 
 
 @pytest.mark.parametrize("name, id_column", [
@@ -124,6 +127,7 @@ def test_hot_fact_key_is_split(spark, cleaned, dims):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20kb",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20kb",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     one = cleaned.filter("Cancelled = 0 AND Diverted = 0").limit(1)
     hot = one.crossJoin(spark.range(60000)).withColumn("ArrTime", F.col("id")).drop("id")
@@ -132,14 +136,28 @@ def test_hot_fact_key_is_split(spark, cleaned, dims):
         for key, value in settings.items():
             spark.conf.set(key, value)
         built = fact.fact_table_with_ids(source, **dims)
-        ids = built.filter("ArrTime >= 2400").select("delay_id").distinct().collect()
-        assert len(ids) == 1 and ids[0][0] is not None
-        total = built.groupBy("delay_id").count().agg(F.max("count")).first()[0]
-        built.write.format("noop").mode("overwrite").save()
+        picked = built.select("ArrTime", "delay_id")
+        found = picked.collect()
+        executed = picked._jdf.queryExecution().executedPlan().toString()
     finally:
         for key in settings:
             spark.conf.unset(key)
-    assert total >= 60000
+    ids = {row["delay_id"] for row in found if (row["ArrTime"] or 0) >= 2400}
+    assert len(ids) == 1 and None not in ids
+    assert sum(row["delay_id"] in ids for row in found) >= 60000
+    assert "skew=true" in executed
+
+
+def test_large_dimensions_join_alike(cleaned, dims):
+    """With a broadcast limit of zero every join takes the other way; the rows are the same."""
+    small = fact.fact_table_with_ids(cleaned, **dims)
+    large = fact.fact_table_with_ids(cleaned, **dims, max_rows=0)
+    assert small.exceptAll(large).count() == 0 == large.exceptAll(small).count()
+    for join, dim in ((fact.join_time, "dim_time"), (fact.join_airports, "dim_airport"),
+                      (fact.join_airline, "dim_airline")):
+        few, many = join(cleaned, dims[dim]), join(cleaned, dims[dim], max_rows=0)
+        assert few.exceptAll(many.select(*few.columns)).count() == 0
+        assert few.count() == many.count() == cleaned.count()
 
 
 def test_airline_join_does_not_fan_out_on_reused_codes(spark):
