@@ -22,7 +22,7 @@ def test_pipeline(spark, flights, tmp_path):
     job("dims", "--input", cleaned, "--output", dims)
     job("fact", "--input", cleaned, "--output", fact, "--dims-folder", dims, "--build",
         "with_ids", "--files", "1")
-    job("report", "--input", cleaned, "--output", out + "/report")
+    job("report", "--input", raw, "--output", out + "/report")
     job("mart", "--input", raw, "--output", out + "/mart")
     job("sample", "--input", raw, "--output", out, "--type", "routes", "--origins", "A00,A01",
         "--destinations", "A01,A02,A03", "--rows", "20", "--format", "csv", "json")
