@@ -64,8 +64,8 @@ def stage_csv(spark: SparkSession, path: str | list[str], schema: StructType = R
     """Parse CSV files once into typed, staged rows.
 
     Files are read in splits, so even a single huge file is parsed by many tasks. Only the
-    files that turn out to hold records with line breaks inside quotes are read again as a
-    whole and replace their first reading.
+    files that turn out to hold line breaks inside quotes are read again, with their records
+    put together across lines and splits, which replaces their first reading.
     """
     needed = [name for name in (REQUIRED_COLUMNS if required is None else required)
               if name in schema.fieldNames()]
@@ -78,7 +78,7 @@ def stage_csv(spark: SparkSession, path: str | list[str], schema: StructType = R
     if not spanning:
         return Load(rows)
     log.info("%d files have line breaks inside quotes", len(spanning))
-    again = materialise(read_tolerant(spark, spanning, schema, needed, multiline=True), "load")
+    again = materialise(read_tolerant(spark, spanning, schema, needed, spanning=True), "load")
     return Load(rows.filter(~F.col(FILE_PATH).isin(spanning)).unionByName(again))
 
 

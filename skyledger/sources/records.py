@@ -1,0 +1,80 @@
+"""CSV records that span lines, put together from splits.
+
+A file read as a whole is one task, however large it is. Here lines are read in splits, and a
+record that goes on inside quotes is joined from its lines. Whether a line starts a record follows
+from the number of quotes before it: per split the running count, per file the counts of the
+earlier splits (one row per split).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+_SPLIT = ["_path", "_block"]
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return spark.read.text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_size").alias("_size"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+        (quotes % 2).alias("_odd"),
+    )
+
+
+def _earlier_splits():
+    return (Window.partitionBy("_path").orderBy("_block")
+            .rowsBetween(Window.unboundedPreceding, -1))
+
+
+def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(value, _path, _size): the records of the files without their header."""
+    until_here = Window.partitionBy(*_SPLIT).orderBy("_line")
+    before = until_here.rowsBetween(Window.unboundedPreceding, -1)
+    lines = _lines(spark, paths)
+
+    # 1. Is a quote open where a split begins, and hence where a line begins?
+    open_quote = F.coalesce(F.sum("_odd").over(_earlier_splits()), F.lit(0)) % 2
+    splits = (lines.groupBy(*_SPLIT).agg(F.sum("_odd").alias("_odd"))
+              .select(*_SPLIT, open_quote.alias("_open")))
+    inside = (F.col("_open") + F.coalesce(F.sum("_odd").over(before), F.lit(0))) % 2
+    marked = (
+        lines.join(splits, _SPLIT).withColumn("_inside", inside)
+        .withColumn("_number", F.sum(1 - F.col("_inside")).over(until_here))
+    )
+
+    # 2. Lines before the first record start of a split belong to the last record before it.
+    last = F.when(F.col("_records") > 0, F.struct(F.col("_block"), F.col("_records")))
+    carried = (
+        marked.groupBy(*_SPLIT).agg(F.max("_number").alias("_records"))
+        .select(*_SPLIT, F.last(last, ignorenulls=True).over(_earlier_splits()).alias("_carry"))
+    )
+    own = F.col("_number") > 0
+    keyed = marked.join(carried, _SPLIT).select(
+        "value", "_path", "_size", "_block", "_line",
+        F.when(own, F.col("_block")).otherwise(F.col("_carry._block")).alias("_start"),
+        F.when(own, F.col("_number")).otherwise(F.col("_carry._records")).alias("_record"),
+        ((F.col("_inside") + F.col("_odd")) == 0).alias("_whole"),
+    ).filter(~((F.col("_start") == 0) & (F.col("_record") == 1)))
+
+    # 3. Most lines are whole records; only the others are grouped, a record at a time.
+    whole = keyed.filter(F.col("_whole") & (F.trim("value") != ""))
+    parts = F.array_sort(F.collect_list(F.struct("_block", "_line", "value")))
+    joined = (
+        keyed.filter(~F.col("_whole")).groupBy("_path", "_size", "_start", "_record")
+        .agg(F.array_join(F.transform(parts, lambda part: part["value"]), "\n").alias("value"))
+    )
+    columns = ["value", "_path", "_size"]
+    return whole.select(*columns).unionByName(joined.select(*columns))
+
+
+def parse_records(records: DataFrame, schema: StructType, options: dict[str, str]) -> DataFrame:
+    """Split the records into the (text) columns of ``schema``."""
+    ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)
+    row = F.from_csv("value", ddl, {"mode": "PERMISSIVE", **options})
+    return records.select(row.alias("_row"), "_path", "_size").select("_row.*", "_path", "_size")

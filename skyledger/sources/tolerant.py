@@ -13,32 +13,33 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from skyledger.schemas import as_text
 from skyledger.sources.files import NO_NULL_TOKEN, unless_no_files
+from skyledger.sources.records import parse_records, read_records
 
 FILE_PATH, FILE_SIZE, BAD_REASON = "_file_path", "_file_size", "_bad_reason"
 _MALFORMED, OPEN_QUOTE = "_malformed", "_open_quote"
 BOOKKEEPING = [FILE_PATH, FILE_SIZE, BAD_REASON, OPEN_QUOTE]
 
 
-def read_text_columns(spark: SparkSession, path: str | list[str], schema: StructType,
-                      multiline: bool) -> DataFrame:
+_CSV_OPTIONS = {"nullValue": NO_NULL_TOKEN, "escape": '"'}
+
+
+def read_text_columns(spark: SparkSession, path: str | list[str],
+                      schema: StructType) -> DataFrame:
     """The columns of ``schema`` as text, with source file and a mark on lines whose quotes do
     not pair up: such a line is part of a record that spans lines."""
     text_schema = as_text(schema).add(StructField(_MALFORMED, StringType()))
 
     def read() -> DataFrame:
         reader = (
-            spark.read.schema(text_schema).option("header", True)
+            spark.read.schema(text_schema).option("header", True).options(**_CSV_OPTIONS)
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _MALFORMED)
-            .option("nullValue", NO_NULL_TOKEN).option("escape", '"')
-            .option("multiLine", multiline)
         )
         quotes = F.length(_MALFORMED) - F.length(F.replace(F.col(_MALFORMED), F.lit('"')))
-        odd = F.lit(False) if multiline else F.coalesce(quotes % 2 == 1, F.lit(False))
         return reader.csv(path).select(
             *schema.fieldNames(),
             F.col("_metadata.file_path").alias(FILE_PATH),
             F.col("_metadata.file_size").alias(FILE_SIZE),
-            odd.alias(OPEN_QUOTE),
+            F.coalesce(quotes % 2 == 1, F.lit(False)).alias(OPEN_QUOTE),
         )
 
     def empty() -> DataFrame:
@@ -49,6 +50,14 @@ def read_text_columns(spark: SparkSession, path: str | list[str], schema: Struct
     return unless_no_files(read, empty)
 
 
+def read_spanning_columns(spark: SparkSession, paths: list[str],
+                          schema: StructType) -> DataFrame:
+    """The same columns of files with records that span lines."""
+    parsed = parse_records(read_records(spark, paths), as_text(schema), _CSV_OPTIONS)
+    return parsed.select(*schema.fieldNames(), F.col("_path").alias(FILE_PATH),
+                         F.col("_size").alias(FILE_SIZE), F.lit(False).alias(OPEN_QUOTE))
+
+
 def parse_typed(text: DataFrame, schema: StructType, required: list[str]) -> DataFrame:
     """Cast every column; ``_bad_reason`` names the first offending column, null on good rows."""
 
@@ -70,7 +79,7 @@ def parse_typed(text: DataFrame, schema: StructType, required: list[str]) -> Dat
 
 
 def read_tolerant(spark: SparkSession, path: str | list[str], schema: StructType,
-                  required: list[str], multiline: bool = False) -> DataFrame:
+                  required: list[str], spanning: bool = False) -> DataFrame:
     """Typed rows of ``schema`` plus the bookkeeping columns."""
-    return parse_typed(read_text_columns(spark, path, schema, multiline), schema, required)
-
+    read = read_spanning_columns if spanning else read_text_columns
+    return parse_typed(read(spark, path, schema), schema, required)

@@ -21,6 +21,12 @@ def dims(cleaned):
     return {f"dim_{name}": dim for name, dim in dimensions.build_dims(cleaned).items()}
 
 
+def repeated(flight, times):
+    """The flight with ``times`` different arrival times."""
+    times = F.sequence(F.lit(0), F.lit(times - 1)).cast("array<bigint>")
+    return flight.withColumn("ArrTime", F.explode(times))
+
+
 def test_ids_equal_a_plain_row_number(spark):
     df = spark.range(20000).select((F.xxhash64("id") % 300).alias("k"), F.col("id").alias("v"))
     plain = df.withColumn("n", F.row_number().over(Window.orderBy("k", "v")))
@@ -108,7 +114,7 @@ def test_broadcast_only_below_the_limit(dims):
 def test_ids_and_copies_and_missing_keys(spark, cleaned, dims):
     """Copies, a repeated flight key with other clock times, and flights without a key."""
     one = cleaned.filter("Cancelled = 0 AND Diverted = 0").limit(1)
-    variants = one.crossJoin(spark.range(50)).withColumn("ArrTime", F.col("id")).drop("id")
+    variants = repeated(one, 50)
     keyless = variants.withColumn("Origin", F.lit(None).cast("string"))
     source = cleaned.unionByName(variants).unionByName(variants).unionByName(keyless)
     built = fact.fact_table_with_ids(source, **dims)
@@ -130,8 +136,7 @@ def test_hot_fact_key_is_split(spark, cleaned, dims):
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     one = cleaned.filter("Cancelled = 0 AND Diverted = 0").limit(1)
-    hot = one.crossJoin(spark.range(60000)).withColumn("ArrTime", F.col("id")).drop("id")
-    source = cleaned.unionByName(hot)
+    source = cleaned.unionByName(repeated(one, 60000).repartition(8))
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
