@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.functions.flights import iso_weekday
 from skyledger.sinks.messages import flight_messages, normalise_payload
 from skyledger.storage import size_in_bytes
 
@@ -41,73 +40,66 @@ def _two_digits(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), F.lpad(number.cast("string"), 2, "0"))
 
 
+def _airport(role: str, number: str) -> list[str]:
+    return [
+        f"10000 + {number} AS {role}AirportID",
+        f"concat('A', lpad(string({number}), 2, '0')) AS {role}",
+        f"concat('City', string({number})) AS {role}CityName",
+        f"concat('S', string({number} % 5)) AS {role}State",
+        f"{number} % 5 AS {role}StateFips",
+        f"concat('State', string({number} % 5)) AS {role}StateName",
+    ]
+
+
+# Expressions in text form: Python builds a few column objects per query, not hundreds.
+_MARKED = [
+    "l_partkey AS part", "l_orderkey AS order", "l_linenumber AS line", "l_suppkey AS supplier",
+    "o_custkey AS customer", "s_nationkey AS nation", "l_linestatus", "l_quantity",
+    "date(l_shipdate) AS date",
+    "l_returnflag = 'R' AND l_partkey % 10 = 0 AS cancelled",
+    "concat('C', lpad(string(s_nationkey), 2, '0')) AS airline",
+    "l_suppkey % 12 AS origin", "o_custkey % 12 AS dest",
+]
+_DELAYED = [
+    "NOT cancelled AND l_linestatus = 'F' AND part % 50 = 1 AS diverted",
+    "CASE WHEN NOT cancelled THEN l_quantity - 20 END AS delay",
+]
+_FLIGHT = [
+    "date AS FlightDate",
+    "year(date) AS Year", "quarter(date) AS Quarter", "month(date) AS Month",
+    "day(date) AS DayofMonth", "weekday(date) + 1 AS DayOfWeek",
+    "airline AS Reporting_Airline", "airline AS IATA_CODE_Reporting_Airline",
+    "bigint(19000 + nation) AS DOT_ID_Reporting_Airline",
+    "concat('N', string(part)) AS Tail_Number",
+    "order % 1000 AS Flight_Number_Reporting_Airline",
+    *_airport("Origin", "origin"),
+    *_airport("Dest", "dest"),
+    "part % 25 * 100 + order % 60 AS CRSDepTime",
+    "CASE WHEN NOT cancelled THEN part % 24 * 100 + order % 60 END AS DepTime",
+    "part % 22 * 100 + line AS CRSArrTime",
+    "CASE WHEN NOT cancelled AND (diverted OR part % 97 <> 3) "
+    "THEN part % 23 * 100 + line END AS ArrTime",
+    "delay AS DepDelay",
+    "CASE WHEN NOT diverted THEN delay + line - 4 END AS ArrDelay",
+    "CASE WHEN NOT cancelled THEN CASE WHEN delay >= 15 THEN 1D ELSE 0D END END AS DepDel15",
+    "CASE WHEN cancelled THEN 1D ELSE 0D END AS Cancelled",
+    "CASE WHEN diverted THEN 1D ELSE 0D END AS Diverted",
+    "CASE WHEN cancelled THEN get(array('', 'A', 'B', 'C', 'D'), int(supplier % 5)) END "
+    "AS CancellationCode",
+    "distance AS Distance", "round(distance / 8) AS AirTime",
+    *[f"CASE WHEN late THEN double({minutes}) END AS {name}" for name, minutes in [
+        ("CarrierDelay", "part % 30"), ("WeatherDelay", "supplier % 7"),
+        ("NASDelay", "order % 13"), ("SecurityDelay", "line % 2"),
+        ("LateAircraftDelay", "customer % 17")]],
+]
+
+
 def _flights_of(lines: DataFrame) -> DataFrame:
-    part, order, line = F.col("l_partkey"), F.col("l_orderkey"), F.col("l_linenumber")
-    supplier, customer = F.col("l_suppkey"), F.col("o_custkey")
-    cancelled = (F.col("l_returnflag") == "R") & (part % 10 == 0)
-    date = F.col("l_shipdate").cast("date")
-    marked = lines.select(
-        part, order, line, supplier, customer, "s_nationkey",
-        date.alias("date"),
-        cancelled.alias("cancelled"),
-        (~cancelled & (F.col("l_linestatus") == "F") & (part % 50 == 1)).alias("diverted"),
-        F.when(~cancelled, F.col("l_quantity") - 20).alias("delay"),
-        _two_digits("C", F.col("s_nationkey")).alias("airline"),
-        (supplier % 12).alias("origin"),
-        (customer % 12).alias("dest"),
-    ).withColumn("late", (F.col("date") >= F.lit("1998-01-01").cast("date"))
-                 & (F.col("delay") >= 15))
-
-    cancelled, diverted, delay = F.col("cancelled"), F.col("diverted"), F.col("delay")
-    unrecorded = ~diverted & (part % 97 == 3)
-    letters = F.array(*[F.lit(code) for code in ("", "A", "B", "C", "D")])
-    distance = (200 + F.col("origin") * 150 + F.col("dest") * 10).cast("double")
-    one, zero = F.lit(1.0), F.lit(0.0)
-
-    def airport(role: str, number: Column) -> list[Column]:
-        return [
-            (10000 + number).alias(f"{role}AirportID"),
-            _two_digits("A", number).alias(role),
-            F.concat(F.lit("City"), number.cast("string")).alias(f"{role}CityName"),
-            F.concat(F.lit("S"), (number % 5).cast("string")).alias(f"{role}State"),
-            (number % 5).alias(f"{role}StateFips"),
-            F.concat(F.lit("State"), (number % 5).cast("string")).alias(f"{role}StateName"),
-        ]
-
-    def cause(name: str, minutes: Column) -> Column:
-        return F.when(F.col("late"), minutes.cast("double")).alias(name)
-
-    return marked.select(
-        F.col("date").alias("FlightDate"),
-        F.year("date").alias("Year"),
-        F.quarter("date").alias("Quarter"),
-        F.month("date").alias("Month"),
-        F.dayofmonth("date").alias("DayofMonth"),
-        iso_weekday("date").alias("DayOfWeek"),
-        F.col("airline").alias("Reporting_Airline"),
-        F.col("airline").alias("IATA_CODE_Reporting_Airline"),
-        (19000 + F.col("s_nationkey")).cast("bigint").alias("DOT_ID_Reporting_Airline"),
-        F.concat(F.lit("N"), part.cast("string")).alias("Tail_Number"),
-        (order % 1000).alias("Flight_Number_Reporting_Airline"),
-        *airport("Origin", F.col("origin")),
-        *airport("Dest", F.col("dest")),
-        (part % 25 * 100 + order % 60).alias("CRSDepTime"),
-        F.when(~cancelled, part % 24 * 100 + order % 60).alias("DepTime"),
-        (part % 22 * 100 + line).alias("CRSArrTime"),
-        F.when(~cancelled & ~unrecorded, part % 23 * 100 + line).alias("ArrTime"),
-        delay.alias("DepDelay"),
-        F.when(~diverted, delay + line - 4).alias("ArrDelay"),
-        F.when(~cancelled, F.when(delay >= 15, one).otherwise(zero)).alias("DepDel15"),
-        F.when(cancelled, one).otherwise(zero).alias("Cancelled"),
-        F.when(diverted, one).otherwise(zero).alias("Diverted"),
-        F.when(cancelled, F.get(letters, (supplier % 5).cast("int"))).alias("CancellationCode"),
-        distance.alias("Distance"),
-        F.round(distance / 8).alias("AirTime"),
-        cause("CarrierDelay", part % 30),
-        cause("WeatherDelay", supplier % 7),
-        cause("NASDelay", order % 13),
-        cause("SecurityDelay", line % 2),
-        cause("LateAircraftDelay", customer % 17),
+    return (
+        lines.selectExpr(*_MARKED).selectExpr("*", *_DELAYED)
+        .selectExpr("*", "date >= DATE '1998-01-01' AND delay >= 15 AS late",
+                    "double(200 + origin * 150 + dest * 10) AS distance")
+        .selectExpr(*_FLIGHT)
     )
 
 

@@ -18,19 +18,18 @@ from skyledger.storage import qualified, swap_directory
 log = logging.getLogger(__name__)
 
 
-def _sized(df: DataFrame, files: int | None) -> DataFrame:
-    """``files`` even parts, or as many as fit the advisory size. Unlike a coalesce, neither
-    reduces the parallelism of the work above the write."""
-    return df.repartition(files) if files else df.hint("rebalance")
-
-
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None,
                   dry_run: bool = False) -> None:
-    """Write ``df``; mode ``errorifexists`` refuses to replace anything."""
+    """Write ``df``; mode ``errorifexists`` refuses to replace anything.
+
+    The rows are written where they are, without a shuffle. A number of ``files`` costs one; it
+    does not, as a coalesce would, reduce the parallelism of the work above the write.
+    """
     if dry_run:
         log.info("dry run: nothing written to %s", path)
         return
-    _sized(df, files).write.mode(mode).parquet(path)
+    out = df.repartition(files) if files else df
+    out.write.mode(mode).parquet(path)
 
 
 def save_dimension(df: DataFrame, folder: str, name: str) -> str:
@@ -63,14 +62,15 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str],
 
 def compact_parquet(spark: SparkSession, source: str, target: str,
                     files: int | None = None) -> DataFrame:
-    """Rewrite a directory of many files as few; returns a reader over the result.
+    """Rewrite a directory of many files as few (without a number: as many as fit the advisory
+    partition size); returns a reader over the result.
 
     Source and target must differ: overwriting a directory while reading it loses the data.
     """
     if qualified(spark, source) == qualified(spark, target):
         raise ValueError("compact into another directory, or use compact_in_place")
     df = spark.read.parquet(source)
-    write_parquet(df, target, files=files)
+    write_parquet(df if files else df.hint("rebalance"), target, files=files)
     return spark.read.schema(df.schema).parquet(target)
 
 
