@@ -5,11 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from checks import registry, sql
 from checks.compare import connect, differences
 from tests.conftest import SMALL
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = {name: query for name, query in contract.queries().items() if name in registry.queries()}
+ORACLES = {name: text for name, text in contract.oracle_sql().items() if name in sql.oracles()}
 SAMPLES = {"table_sample", "weighted_route_sample"}
 
 
