@@ -15,7 +15,6 @@ give no conversations. Columns beyond the four are not read.
 
 from __future__ import annotations
 
-import os.path
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -80,7 +79,15 @@ _PROBES = "xy"
 
 
 def _common_start(a: str, b: str) -> int:
-    return len(os.path.commonprefix([a, b]))
+    """Length of the longest common beginning, by halving."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
 
 
 def render(turns: list[Turn], template: Template = turn_template) -> Rendered:

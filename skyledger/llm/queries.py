@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, chat, mixing, url_filter, winnowing
+from skyledger.llm import ann, bpe, chat, mixing, url_filter, winnowing
 from skyledger.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.beside_next(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"),
+                       lambda vec_id: vec_id % 100 == 0)
+
+
 #: A conversation that says the template's own control strings.
 HOSTILE_ID, HOSTILE_TEXT = -7, "\\### Assistant: </turn> ok"
 
