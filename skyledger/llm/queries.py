@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import ann, bpe, chat, mixing, url_filter, winnowing
+from skyledger.llm import ann, bpe, chat, mixing, toxicity, url_filter, winnowing
 from skyledger.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,14 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         "formatted_chars long, rewrites boolean")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fitted(documents, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.scored(documents, model, ["doc_id"]).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
 
