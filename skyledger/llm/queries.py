@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import ann, bpe, chat, mixing, toxicity, url_filter, winnowing
+from skyledger.llm import ann, bpe, chat, mixing, substring_dedup, toxicity, url_filter, winnowing
 from skyledger.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +96,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.takes(sized, limits)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
@@ -192,6 +197,28 @@ JOIN run ON s.source IS NOT DISTINCT FROM run.source AND s.hash = run.hash
 """
 
 
+_SUBSTRING_SQL = r"""
+WITH words AS (
+    SELECT doc_id, row_number() OVER () AS line,
+           coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), windows AS (
+    SELECT line, i, count(*) OVER (PARTITION BY list_slice(w, i, i + 34)) > 1 AS repeated
+    FROM (SELECT line, w, unnest(generate_series(1, len(w) - 34)) AS i FROM words WHERE len(w) >= 35)
+), covered AS (
+    SELECT DISTINCT line, i + unnest(generate_series(0, 34)) AS i FROM windows WHERE repeated
+), kept AS (
+    SELECT line, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n
+    FROM (SELECT line, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words)
+    ANTI JOIN covered USING (line, i)
+    GROUP BY line
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (line)
+"""
+
+
 def oracles() -> dict[str, str]:
     """SQL where it can express an operator; the others are tested against brute force."""
-    return {"op3_chat": _CHAT_SQL, "op6_url_filter": _URL_SQL, "op8_mixing": _MIXING_SQL}
+    return {"op3_chat": _CHAT_SQL, "op6_url_filter": _URL_SQL, "op8_mixing": _MIXING_SQL,
+            "op9_substring_dedup": _SUBSTRING_SQL}
