@@ -9,7 +9,7 @@ Whatever two positions are compared, some shift below ``PERIOD`` takes both to a
 cover modulo the period. Hence two equal windows share an anchor: a run of ``ANCHOR`` words that
 begins at a cover position of either text. Only anchors are hashed and compared at first, about a
 quarter of all positions. From each anchor that occurs twice the search extends to the windows
-that hold it, whose full hashes (95 bits) decide.
+that hold it, whose full hashes (96 bits) decide.
 
 Texts are dealt to buckets of a few megabytes, in one shuffle that all three passes read. A bucket
 sends each hash once, however often it occurs inside, with a mark if it is more than once; a
@@ -39,7 +39,7 @@ ANCHOR = LENGTH - (PERIOD - 1)
 BUCKET_BYTES = 4 << 20
 
 _COVERED = np.isin(np.arange(PERIOD), COVER)
-_BUCKET_BITS = 31
+MAX_BUCKETS = (1 << 31) - 1
 
 
 class _Texts:
@@ -86,7 +86,10 @@ def _anchor_hashes(key: tuple, texts: pa.Table) -> pa.Table:
 
 
 def _window_hashes(key: tuple, texts: pa.Table, repeated: pa.Table) -> pa.Table:
-    """Hashes of the windows that hold a repeated anchor; the tag has 31 bits more of the hash."""
+    """Hashes of the windows that hold a repeated anchor, with 32 bits more of another in ``rest``.
+
+    What differs from row to row stands side by side, so that shuffles compress the remainder.
+    """
     t = _Texts(texts["text"])
     at, hashes = t.anchors()
     hits = at[_known(hashes, repeated["hash"])]
@@ -99,12 +102,12 @@ def _window_hashes(key: tuple, texts: pa.Table, repeated: pa.Table) -> pa.Table:
     chosen = near[at]
     at, hashes = at[chosen], hashes[chosen]
     found, first, counts = np.unique(hashes, return_index=True, return_counts=True)
-    more = np.zeros(0, np.int64)
+    rest = np.zeros(0, np.int32)
     if len(found):
         second = window_hashes(t.hashes, LENGTH, seed=1)[at[first]]
-        more = (second >> np.uint64(65 - _BUCKET_BITS)).astype(np.int64) << (_BUCKET_BITS + 1)
-    tags = more | (np.int64(key[0].as_py()) << 1) | (counts > 1)
-    return pa.table({"hash": found.view(np.int64), "tag": tags.astype(np.int64)})
+        rest = (second >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    tags = (np.int64(key[0].as_py()) << 1) | (counts > 1)
+    return pa.table({"tag": tags.astype(np.int64), "hash": found.view(np.int64), "rest": rest})
 
 
 def _kept(key: tuple, texts: pa.Table, repeated: pa.Table) -> pa.Table:
@@ -144,7 +147,7 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text")
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = partitions(spark)
-    buckets = min(max(-(-size // BUCKET_BYTES), 4 * n), (1 << _BUCKET_BITS) - 1)
+    buckets = min(max(-(-size // BUCKET_BYTES), 4 * n), MAX_BUCKETS)
     bucket = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(buckets).cast("long")).cast("int")
     dealt = rows.withColumn("bucket", bucket).repartition(n, "bucket")
 
@@ -154,14 +157,12 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text")
         return found.withColumn("multiple", F.col("tag").bitwiseAND(F.lit(1))).withColumn(
             "places", F.count("*").over(group) + F.max("multiple").over(group)) \
             .where(F.col("places") > 1).select(
-            F.shiftright(F.col("tag"), 1).bitwiseAND(
-                F.lit((1 << _BUCKET_BITS) - 1)).cast("int").alias("bucket"), "hash")
+            F.shiftright(F.col("tag"), 1).cast("int").alias("bucket"), "hash")
 
     texts = dealt.groupBy("bucket")
     anchors = texts.applyInArrow(_anchor_hashes, "hash long, tag long")
     windows = texts.cogroup(repeated(anchors, "hash").groupBy("bucket")).applyInArrow(
-        _window_hashes, "hash long, tag long")
-    rest = F.shiftright(F.col("tag"), _BUCKET_BITS + 1)
-    twice = repeated(windows.withColumn("rest", rest), "hash", "rest")
+        _window_hashes, "tag long, hash long, rest int")
+    twice = repeated(windows, "hash", "rest")
     return texts.cogroup(twice.groupBy("bucket")).applyInArrow(
         _kept, "doc_id long, n_words long, n_removed long, kept string")
