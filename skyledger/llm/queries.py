@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import ann, bpe, chat, mixing, substring_dedup, toxicity, url_filter, winnowing
+from skyledger.llm import ann, bpe, chat, mixing, ngram_join, substring_dedup, toxicity, url_filter, winnowing
 from skyledger.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
@@ -197,6 +201,33 @@ JOIN run ON s.source IS NOT DISTINCT FROM run.source AND s.hash = run.hash
 """
 
 
+_NGRAM_SQL = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+    SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), grams AS MATERIALIZED (
+    SELECT DISTINCT doc_id, list_slice(w, i, i + 4) AS gram
+    FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i
+          FROM words WHERE len(w) > 0)
+), sizes AS MATERIALIZED (
+    SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), links AS MATERIALIZED (
+    SELECT a, b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+        FROM grams x JOIN grams y ON x.gram = y.gram AND x.doc_id <> y.doc_id
+        GROUP BY ALL
+    ) JOIN sizes m ON m.doc_id = a JOIN sizes n ON n.doc_id = b
+    WHERE 100 * common >= 80 * (m.n + n.n - common)
+), reached AS (
+    SELECT doc_id AS node, doc_id AS least FROM words
+    UNION
+    SELECT b, least FROM reached JOIN links ON node = a WHERE least < b
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT node AS doc_id, min(least) AS component_id FROM reached GROUP BY node)
+LEFT JOIN sizes USING (doc_id)
+"""
+
 _SUBSTRING_SQL = r"""
 WITH words AS (
     SELECT doc_id, row_number() OVER () AS line,
@@ -221,4 +252,5 @@ FROM words LEFT JOIN kept USING (line)
 def oracles() -> dict[str, str]:
     """SQL where it can express an operator; the others are tested against brute force."""
     return {"op3_chat": _CHAT_SQL, "op6_url_filter": _URL_SQL, "op8_mixing": _MIXING_SQL,
-            "op9_substring_dedup": _SUBSTRING_SQL}
+            "op9_substring_dedup": _SUBSTRING_SQL,
+            "op10_ngram_join": _NGRAM_SQL}
