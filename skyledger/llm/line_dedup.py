@@ -31,9 +31,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from skyledger.llm.tables import partitions, stored
-from skyledger.llm.words import Words, mixed, slices, text_bytes
+from skyledger.llm.words import Words, mixed, order_by, slices, text_bytes
 
 BUCKET_BYTES = 4 << 20
 
@@ -56,7 +57,7 @@ class Lines:
         words = Words(raw, offsets)
         owner = np.searchsorted(begins, words.starts, side="right") - 1
         hashes = words.hashes()
-        order = np.lexsort((hashes, owner))
+        order = order_by(owner, hashes)
         hashes, owner = hashes[order], owner[order]
         new = np.ones(len(hashes), dtype=bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
@@ -97,21 +98,26 @@ def _flat(column: pa.ChunkedArray) -> pa.Array:
     return column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
 
 
+def _ranks(documents: pa.RecordBatch | pa.Table) -> np.ndarray:
+    """Place of each row by document id, nulls first, then by tie."""
+    frame = pa.table({c: documents.column(c) for c in ("doc_id", "tie")}).to_pandas()
+    order = frame.sort_values(["doc_id", "tie"], na_position="first", kind="stable").index
+    ranks = np.empty(len(frame), dtype=np.int64)
+    ranks[order] = np.arange(len(frame))
+    return ranks
+
+
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each slice the first line of each class: k1, k2, n, doc_id, tie, number, bucket."""
     for batch in batches:
         for part in slices(batch, "text"):
             lines = Lines(part.column(3))
             k1, k2 = (lines.sums(seed).view(np.int64) for seed in (1, 3))
-            ids = part.column(0).to_pandas().to_numpy(dtype=object)[lines.text]
-            ties = part.column(1).to_numpy(zero_copy_only=False)[lines.text]
             full = np.flatnonzero(lines.sizes > 0)
             # Within a slice documents can come in any order.
-            ranked = sorted(full.tolist(), key=lambda i: (
-                ids[i] is not None and ids[i] == ids[i], ids[i] if ids[i] == ids[i] else 0,
-                ties[i], lines.number[i]))
-            _, first = np.unique(k1[ranked], return_index=True) if ranked else (None, [])
-            at = np.array(ranked, dtype=np.int64)[first]
+            ranked = full[np.argsort(_ranks(part)[lines.text[full]], kind="stable")]
+            _, first = np.unique(k1[ranked], return_index=True)
+            at = ranked[first]
             text = lines.text[at]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(k1[at]), pa.array(k2[at]), pa.array(lines.sizes[at]),
@@ -140,11 +146,12 @@ def _ordered(lines: Lines, rows: np.ndarray, words: np.ndarray,
     if len(words):
         place = np.minimum(np.searchsorted(words, members), len(words) - 1)
         df = np.where(words[place] == members, counts[place], 1)
-    order = np.lexsort((members, df, owner))
+    # Equal counts stay in the order of hashes, which all lines share.
+    order = np.argsort((owner << 40) | np.minimum(df, (1 << 40) - 1), kind="stable")
     members, owner, df = members[order], owner[order], df[order]
-    heads = np.searchsorted(owner, owner)
-    position = np.arange(len(owner)) - heads
     n = lines.sizes[owner]
+    position = np.arange(len(owner)) - np.repeat(np.cumsum(lines.sizes[rows]) - lines.sizes[rows],
+                                                 lines.sizes[rows])
     prefix = (position < n - (4 * n + 4) // 5 + 1) & (df > 1)
     return owner[prefix], members[prefix], position[prefix], df[prefix]
 
@@ -154,7 +161,7 @@ def _prefixes(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
     kinds, a, b = (known[c].to_numpy() for c in ("kind", "a", "b"))
     lines = Lines(_flat(texts["text"]))
     rows, _ = lines.among(a[kinds == 0])
-    rows = rows[lines.sizes[rows] > 4]
+    rows = np.sort(rows[lines.sizes[rows] > 4])
     # Unsigned order of the words, as that of the members.
     line, word, position, _ = _ordered(
         lines, rows, a[kinds == 1].view(_U64), b[kinds == 1])
@@ -285,11 +292,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _rewritten(key: tuple, texts: pa.Table, stay: pa.Table) -> pa.Table:
     """The rows of a bucket with the lines that stay; and lines with words before and after."""
     lines = Lines(_flat(texts["text"]))
-    # Rows in the order of documents, so that of equal lines the first one stays.
-    frame = texts.select(["doc_id", "tie"]).to_pandas()
-    rank = np.empty(len(frame), dtype=np.int64)
-    rank[frame.sort_values(["doc_id", "tie"], na_position="first", kind="stable").index] = \
-        np.arange(len(frame))
+    rank = _ranks(texts)
     own = lines.sums(1).view(np.int64)
     wanted = np.sort(stay["k1"].to_numpy())
     full = lines.sizes > 0
@@ -297,7 +300,8 @@ def _rewritten(key: tuple, texts: pa.Table, stay: pa.Table) -> pa.Table:
     if len(wanted):
         hit = np.flatnonzero(
             full & (wanted[np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)] == own))
-        hit = hit[np.lexsort((lines.number[hit], rank[lines.text[hit]]))]
+        # In the order of documents, so that of equal lines the first one stays.
+        hit = hit[np.argsort(rank[lines.text[hit]], kind="stable")]
         _, first = np.unique(own[hit], return_index=True)
         keep[hit[first]] = True
     edges = np.zeros(len(lines.raw) + 1, dtype=np.int64)
@@ -341,8 +345,9 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text")
     dealt = rows.repartition(n, "bucket")
     narrow = dealt.groupBy("bucket")
     counted = narrow.applyInArrow(_word_counts, "word long, lines long, bucket int")
-    totals = counted.groupBy("word").agg(F.sum("lines").alias("total")).where("total > 1")
-    counts = counted.select("word", "bucket").join(totals, "word")
+    # A row for each word and bucket at most, however frequent the word.
+    counts = counted.withColumn("total", F.sum("lines").over(W.partitionBy("word"))) \
+        .where("total > 1")
     long_firsts = firsts.where("n > 4")
     known = long_firsts.select("bucket", F.lit(0).alias("kind"), F.col("k1").alias("a"),
                                F.lit(0).cast("long").alias("b")).union(

@@ -22,7 +22,7 @@ texts link if 100 * |x & y| >= 80 * |x or y|.
    in one component already, so that nothing is missed and little is walked twice.
 
 Null texts are empty. Repeated rows are copies; rows that repeat an id with other texts count
-as one document for links. Empty tables give no rows. Columns beyond id and text are not read.
+as one document for links, and so do rows without an id, whose id is the least. Empty tables give no rows. Columns beyond id and text are not read.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from pyspark.sql.window import Window as W
 
 from skyledger.llm.components import components
 from skyledger.llm.tables import partitions, stored
-from skyledger.llm.words import Words, mixed, slices, text_bytes, window_hashes
+from skyledger.llm.words import Words, mixed, order_by, slices, text_bytes, window_hashes
 
 SIZE = 5
 BUCKET_BYTES = 4 << 20
@@ -68,7 +68,7 @@ class Sets:
                       ^ _U64(counts[i]) for i in short]
             members = np.concatenate([members, np.array(single, dtype=_U64)])
             owner = np.concatenate([owner, short])
-        order = np.lexsort((members, owner))
+        order = order_by(owner, members)
         members, owner = members[order], owner[order]
         new = np.ones(len(members), dtype=bool)
         new[1:] = (members[1:] != members[:-1]) | (owner[1:] != owner[:-1])
@@ -188,10 +188,11 @@ def _candidates(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
     text, level, hashes = text[keep], level[keep], hashes[keep].view(np.int64)
     order = np.lexsort((level, text))
     text, level, hashes = text[order], level[order], hashes[order]
-    runs = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1])
-                                          | (level[1:] != level[:-1])))) if len(text) else []
+    cuts = np.flatnonzero((text[1:] != text[:-1]) | (level[1:] != level[:-1])) + 1
     parts: dict[int, list] = {}
-    for a, b in zip(runs, [*runs[1:], len(text)], strict=True):
+    for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True):
+        if a == b:
+            continue
         need = int(needs[int(level[a])][text[a]])
         if b - a >= need:
             parts.setdefault(int(text[a]), []).append(
@@ -374,7 +375,9 @@ def _links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id: the least id that links lead to, itself included."""
     spark = documents.sparkSession
-    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    null_id = F.lit(-(1 << 63)).cast("long")
+    rows = documents.select(F.coalesce(F.col(key).cast("long"), null_id).alias("doc_id"),
+                            F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = partitions(spark)
     buckets = min(max(-(-size // BUCKET_BYTES), 4 * n), (1 << 31) - 1)
@@ -415,4 +418,5 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     named = classes.join(joined, "node", "left").select(
         "k1", "k2", F.coalesce("component", "node").alias("component_id"))
     return keys.join(named, ["k1", "k2"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        F.nullif("doc_id", null_id).alias("doc_id"), "n_shingles",
+        F.nullif(F.coalesce("component_id", "doc_id"), null_id).alias("component_id"))

@@ -27,6 +27,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from skyledger.llm.tables import stored
 
@@ -151,22 +152,18 @@ class Features(dict):
 
 
 def with_features(documents: DataFrame, lexicon: dict[str, float], kept: list[str]) -> DataFrame:
-    """The kept columns and ``features``; ``text`` goes in and does not come out."""
+    """``kept``, a struct of the kept columns, and ``features``; so no column can clash."""
     shared = documents.sparkSession.sparkContext.broadcast(Features(lexicon))
-    rows = documents.select(*kept, "text")
-    from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
-
-    out = StructType([*rows.schema.fields[:-1], StructField("list", ArrayType(DoubleType()))])
+    rows = documents.select(F.struct(*kept).alias("kept"), "text")
+    out = StructType([rows.schema["kept"], StructField("list", ArrayType(DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = shared.value
         for batch in batches:
-            made = pa.array([make.of(t.as_py()) for t in batch.column(len(kept))],
-                            pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(kept)], made], names=[*kept, "list"])
+            made = pa.array([make.of(t.as_py()) for t in batch.column(1)], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), made], names=["kept", "list"])
 
-    return rows.mapInArrow(run, out).select(*kept, array_to_vector("list").alias("features"))
+    return rows.mapInArrow(run, out).select("kept", array_to_vector("list").alias("features"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -233,7 +230,8 @@ def fitted(documents: DataFrame, labels: DataFrame) -> Model:
     training = sample.where(~F.col("calibrates"))
     lexicon = learned_lexicon(training, positives, negatives)
     made = stored(with_features(sample, lexicon, ["doc_id", "label", "calibrates"])
-                  .orderBy("doc_id", "label").coalesce(4), "toxic-features")
+                  .select("kept.*", "features").orderBy("doc_id", "label").coalesce(4),
+                  "toxic-features")
     trees = GBTClassifier(labelCol="label", maxDepth=4, maxIter=20, stepSize=0.3, seed=7,
                           maxBins=64, minInstancesPerNode=5, cacheNodeIds=False).fit(
         made.where(~F.col("calibrates")))
@@ -252,9 +250,12 @@ def _rated(featured: DataFrame, trees: Transformer) -> DataFrame:
 
 
 def scored(documents: DataFrame, model: Model, kept: list[str]) -> DataFrame:
-    """The kept columns and ``score``, the calibrated probability of label 1."""
+    """The kept columns and ``score``, the calibrated probability of label 1.
+
+    A kept column must not be called ``score``.
+    """
     if model.trees is None:
-        return documents.select(*kept, F.lit(model.share).alias("score"))
+        return documents.select(*kept, F.lit(float(model.share)).alias("score"))
     rated = _rated(with_features(documents, model.lexicon, kept), model.trees)
     score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("prediction")))
-    return model.calibration.transform(rated).select(*kept, score.alias("score"))
+    return model.calibration.transform(rated).select("kept.*", score.alias("score"))

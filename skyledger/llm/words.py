@@ -135,6 +135,23 @@ def window_hashes(words: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
         size *= 2
 
 
+def order_by(owner: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Order by owner, then by 64-bit value.
+
+    One sort by a key of the owner and the value's high bits; if different values of an owner
+    agree in those (hardly ever), a sort by both.
+    """
+    if not len(owner):
+        return np.zeros(0, dtype=np.int64)
+    bits = max(1, int(owner.max()).bit_length())
+    keys = (owner.astype(_U64) << _U64(64 - bits)) | (values >> _U64(bits))
+    order = np.argsort(keys)
+    same = np.flatnonzero(keys[order[1:]] == keys[order[:-1]])
+    if (values[order[same + 1]] != values[order[same]]).any():
+        return np.lexsort((values, owner))
+    return order
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """The batch cut between rows into parts of about ``limit`` bytes of text, one row at least."""
     _, offsets = text_bytes(batch.column(batch.schema.get_field_index(column)))
