@@ -17,9 +17,11 @@ texts link if 100 * |x & y| >= 80 * |x or y|.
    it carries the overlaps so far of all sets at once, so that sets with a common beginning share
    them; a set leaves the walk where the rest of the subtree's sets cannot lift the overlap to
    what both sizes ask for. Members of one set alone only count for its size.
-4. A block too large for one task is cut into chunks by hash. A few rounds with other hashes join
-   most of what belongs together; then pairs of chunks are walked through, except where both are
-   in one component already, so that nothing is missed and little is walked twice.
+   Blocks are those sets of one level that shared hashes lead to.
+4. A block too large for one task is cut by size into bands, and bands into chunks by hash. Rounds
+   with different hashes join most of what belongs together; then pairs of chunks of one band or
+   of neighbours are walked through, except where both are in one component already, so that
+   nothing is missed and little is walked twice.
 
 Null texts are empty. Repeated rows are copies; rows that repeat an id with other texts count
 as one document for links, and so do rows without an id, whose id is the least. Empty tables give no rows. Columns beyond id and text are not read.
@@ -261,12 +263,12 @@ def linked(members: list[np.ndarray]) -> list[tuple[int, int]]:
                     turns.append(later)
             if low <= depth:
                 break
-        for stop in [*reversed(turns), len(path)]:
-            if stop > depth:
-                overlap = overlap + has[path[depth:stop]][:, alive].sum(0, dtype=np.int64)
-                depth = stop
-            last = stop == len(path)
-            if last:
+        for stop in [*reversed(turns), None]:
+            to = len(path) if stop is None else stop
+            if to > depth:
+                overlap = overlap + has[path[depth:to]][:, alive].sum(0, dtype=np.int64)
+                depth = to
+            if stop is None:
                 rest, least = 0, sizes[own]
             else:
                 end = i
@@ -277,7 +279,7 @@ def linked(members: list[np.ndarray]) -> list[tuple[int, int]]:
                 least = min(sizes[s] for s in below)
             keep = 9 * (overlap + rest) >= 4 * (sizes[alive] + least)
             alive, overlap = alive[keep], overlap[keep]
-            if stop in turns:
+            if stop is not None:
                 stack.append((stop, alive, overlap))
         for other in alive[9 * overlap >= 4 * (sizes[alive] + sizes[own])]:
             x, y = root(int(other)), root(own)
@@ -325,46 +327,51 @@ def _chunk_count(n: str = "n") -> "F.Column":
 
 
 def _links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
-    """All links that components need, among the sets (node, n, members) of each block."""
-    placed = sets.select("node", "n", "members").join(
-        blocks.select("node", F.col("component").alias("block")), "node")
+    """All links that components need, among the sets (node, n, members) of each block.
+
+    Sizes of linked sets differ by a quarter at most, so they are in one band or in neighbours.
+    """
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(1.25)) + 1e-9).cast("int")
+    placed = sets.select("node", "n", "members").join(blocks, "node").withColumn("band", band)
     sizes = stored(placed.groupBy("block").agg(_chunk_count().alias("chunks")), "ngram-blocks")
     placed = stored(placed.join(sizes, "block"), "ngram-placed")
-    part = lambda salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col("chunks"))
-    found = stored(_walk(placed.withColumn("part", part(0))), "ngram-links")
+    found = stored(_walk(placed.where("chunks = 1").withColumn("part", F.lit(0))), "ngram-links")
     if not sizes.where("chunks > 1").head(1):
         return found
-    large = placed.where("chunks > 1")
-    for salt in range(1, ROUNDS + 1):
-        found = found.union(stored(_walk(large.withColumn("part", part(salt))), "ngram-links"))
-    # What is still apart: chunks of nodes that are in order of their component, pair by pair.
+    large = placed.where("chunks > 1").drop("chunks")
+    bands = stored(large.groupBy("block", "band").agg(_chunk_count().alias("chunks")), "ngram-bands")
+    for salt in range(ROUNDS):
+        part = F.xxhash64("band", F.pmod(F.xxhash64("node", F.lit(salt)), F.col("chunks")))
+        found = found.union(stored(_walk(large.join(bands, ["block", "band"])
+                                         .withColumn("part", part)), "ngram-links"))
+
+    # What is still apart. A component that fills chunks of a band has some of its own, others
+    # share chunks; two chunks of one component need no walk.
     so_far = stored(components(found), "ngram-components")
     apart = large.join(so_far, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    # A component of its own chunks if it fills one, else a chunk of small ones.
-    sizes_of = apart.groupBy("block", "component").agg(
-        _chunk_count().alias("own"), F.count("*").alias("sets"), F.sum("n").alias("total"))
-    several = sizes_of.groupBy("block").agg(F.count("*").alias("parts")).where("parts > 1")
-    small = (F.col("sets") < CHUNK_SETS // 4) & (F.col("total") < CHUNK_MEMBERS // 4)
-    dealt = sizes_of.join(several, "block").withColumn("small", small)
-    mixed_chunks = dealt.where("small").groupBy("block").agg(
-        F.greatest(F.ceil(F.sum("total") / CHUNK_MEMBERS), F.ceil(F.sum("sets") / CHUNK_SETS))
-        .alias("mixed"))
-    dealt = stored(dealt.join(mixed_chunks, "block", "left").select(
-        "block", "component", "small", "own", F.coalesce("mixed", F.lit(1)).alias("mixed")),
-        "ngram-apart")
-    chunk = F.when(F.col("small"), F.concat_ws("/", F.lit("mixed"), F.pmod(
-        F.xxhash64("node", F.lit("mixed")), F.col("mixed")))).otherwise(F.concat_ws(
-            "/", F.col("component"), F.pmod(F.xxhash64("node", F.lit("own")), F.col("own"))))
-    chunked = stored(apart.select("block", "component", "node", "members").join(
-        dealt, ["block", "component"]).select(
-        "block", chunk.alias("chunk"), F.when(F.col("small"), None).otherwise(
-            F.col("component")).alias("whole"), "node", "members"), "ngram-chunks")
-    if not chunked.head(1):
-        return found
-    names = chunked.select("block", "chunk", "whole").distinct()
-    other = names.select("block", F.col("chunk").alias("with"), F.col("whole").alias("with_whole"))
-    pairs = stored(names.join(other, "block").where("chunk <= with").where(
+    several = apart.groupBy("block").agg(
+        (F.min("component") < F.max("component")).alias("several")).where("several")
+    groups = apart.join(several, "block", "left_semi").groupBy("block", "band", "component").agg(
+        F.count("*").alias("sets"), F.sum("n").alias("total")).withColumn(
+        "whole", F.when((F.col("sets") >= CHUNK_SETS // 4)
+                        | (F.col("total") >= CHUNK_MEMBERS // 4), F.col("component")))
+    groups = stored(groups, "ngram-groups")
+    shared = W.partitionBy("block", "band", "whole")
+    dealt = groups.select("block", "band", "component", "whole", F.greatest(
+        F.ceil(F.sum("total").over(shared) / CHUNK_MEMBERS),
+        F.ceil(F.sum("sets").over(shared) / CHUNK_SETS)).alias("chunks"))
+    chunk = F.xxhash64("block", "band", "whole", F.pmod(
+        F.xxhash64("node", F.lit("chunk")), F.col("chunks")))
+    chunked = stored(apart.join(dealt, ["block", "band", "component"]).select(
+        "block", "band", "whole", chunk.alias("chunk"), "node", "members"), "ngram-chunks")
+    names = chunked.select("block", "band", "whole", "chunk").distinct()
+    other = names.select(
+        "block", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"),
+        F.col("band").alias("with_band"), F.col("whole").alias("with_whole"),
+        F.col("chunk").alias("with"))
+    pairs = stored(names.join(other, ["block", "band"]).where(
+        "band < with_band or chunk <= with").where(
         "whole is null or with_whole is null or whole <> with_whole").select(
         "block", "chunk", "with", F.xxhash64("chunk", "with").alias("part")), "ngram-pairs")
     ends = pairs.select("block", "chunk", "part").union(
@@ -404,16 +411,22 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         _candidates, "node long, n long, members binary, "
         "parts array<struct<level:long,need:long,hashes:array<long>>>"), "ngram-sets")
 
-    met = sets.select("node", F.explode("parts").alias("part")).select(
-        "node", "part.level", "part.need", F.explode("part.hashes").alias("hash"))
+    met = sets.select("node", "n", F.explode("parts").alias("part")).select(
+        "node", "n", "part.level", "part.need", F.explode("part.hashes").alias("hash"))
     for _ in range(PEELS):
         # Hashes that one set alone has left, and then sets that have too few hashes left, go.
         met = stored(met.withColumn("sets", F.count("*").over(W.partitionBy("hash"))).where(
             "sets > 1").withColumn("left", F.count("*").over(W.partitionBy("node", "level")))
-            .where("left >= need").select("node", "level", "need", "hash"), "ngram-met")
-    first = met.groupBy("hash").agg(F.min("node").alias("b"))
-    blocks = stored(components(met.join(first, "hash").where("node <> b").select(
-        F.col("node").alias("a"), "b").distinct()), "ngram-candidates")
+            .where("left >= need").select("node", "n", "level", "need", "hash"), "ngram-met")
+    # Sets of a hash by size; between two neighbours too far apart no link leads across.
+    by_size = W.partitionBy("hash").orderBy("n", "node")
+    vertex = F.xxhash64("node", "level")
+    chain = met.select("n", "hash", "node", vertex.alias("a")).withColumn(
+        "b", F.lag("a").over(by_size)).withColumn("less", F.lag("n").over(by_size)).where(
+        "5 * less >= 4 * n").select("a", "b").distinct()
+    blocks = stored(met.select("node", vertex.alias("vertex")).distinct().join(
+        components(chain).withColumnRenamed("node", "vertex"), "vertex").select(
+        "node", F.col("component").alias("block")).distinct(), "ngram-candidates")
     joined = components(_links(sets, blocks))
     named = classes.join(joined, "node", "left").select(
         "k1", "k2", F.coalesce("component", "node").alias("component_id"))
