@@ -107,17 +107,21 @@ def _ranks(documents: pa.RecordBatch | pa.Table) -> np.ndarray:
     return ranks
 
 
+def _first_lines(lines: Lines, keys: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, lines): of each class its first line in the order of documents."""
+    full = np.flatnonzero(lines.sizes > 0)
+    ranked = full[np.argsort(rank[lines.text[full]], kind="stable")]
+    found, first = np.unique(keys[ranked], return_index=True)
+    return found, ranked[first]
+
+
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each slice the first line of each class: k1, k2, n, doc_id, tie, number, bucket."""
     for batch in batches:
         for part in slices(batch, "text"):
             lines = Lines(part.column(3))
             k1, k2 = (lines.sums(seed).view(np.int64) for seed in (1, 3))
-            full = np.flatnonzero(lines.sizes > 0)
-            # Within a slice documents can come in any order.
-            ranked = full[np.argsort(_ranks(part)[lines.text[full]], kind="stable")]
-            _, first = np.unique(k1[ranked], return_index=True)
-            at = ranked[first]
+            _, at = _first_lines(lines, k1, _ranks(part))
             text = lines.text[at]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(k1[at]), pa.array(k2[at]), pa.array(lines.sizes[at]),
@@ -157,7 +161,7 @@ def _ordered(lines: Lines, rows: np.ndarray, words: np.ndarray,
 
 
 def _prefixes(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
-    """word, shape (size and position), parity bits and class for each word of a prefix."""
+    """word, parity bits, 32 bits of the class, size and position for each word of a prefix."""
     kinds, a, b = (known[c].to_numpy() for c in ("kind", "a", "b"))
     lines = Lines(_flat(texts["text"]))
     rows, _ = lines.among(a[kinds == 0])
@@ -166,9 +170,8 @@ def _prefixes(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
     line, word, position, _ = _ordered(
         lines, rows, a[kinds == 1].view(_U64), b[kinds == 1])
     keys, bits = lines.sums(1).view(np.int64), lines.parities().view(np.int64)
-    return pa.table({"word": word.view(np.int64),
-                     "shape": (lines.sizes[line] << 32) | position,
-                     "bits": bits[line], "k1": keys[line],
+    return pa.table({"shape": (lines.sizes[line] << 32) | position,
+                     "word": word.view(np.int64), "bits": bits[line], "k": keys[line].astype(np.int32),
                      "bucket": np.full(len(line), key[0].as_py(), np.int32)})
 
 
@@ -216,19 +219,31 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shape = run["shape"].to_numpy()
         met = _meeting(run["word"].to_numpy(), shape >> 32, shape & 0xFFFFFFFF,
                        run["bits"].to_numpy().view(_U64))
-        yield from run.filter(pa.array(met)).select(["bucket", "k1", "word"]).to_batches()
+        yield from run.filter(pa.array(met)).select(["bucket", "k", "word"]).to_batches()
 
 
 def _whole_sets(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
-    """word, class and members, for each word at which a class may have met a similar one."""
-    k1, words = known["k1"].to_numpy(), known["word"]
+    """word, class, members and place, for each word at which a class may have met a similar one.
+
+    What is known is 32 bits of the class; another class with the same ones comes along.
+    """
     lines = Lines(_flat(texts["text"]))
-    own = lines.sums(1).view(np.int64)
-    rows, first = np.unique(own, return_index=True)
-    at = first[np.searchsorted(rows, k1)]
-    members = [lines.members[lines.starts[i]:lines.stops[i]].tobytes() for i in at]
-    return pa.table({"word": words, "k1": known["k1"],
-                     "members": pa.array(members, pa.binary())})
+    keys, at = _first_lines(lines, lines.sums(1).view(np.int64), _ranks(texts))
+    short = keys.astype(np.int32)
+    order = np.argsort(short, kind="stable")
+    wanted = known["k"].to_numpy()
+    low, high = (np.searchsorted(short[order], wanted, side=side) for side in ("left", "right"))
+    counts = high - low
+    picked = order[np.repeat(low, counts) + np.arange(counts.sum())
+                   - np.repeat(np.cumsum(counts) - counts, counts)]
+    line = at[picked]
+    text = pa.array(lines.text[line])
+    return pa.table({
+        "word": pa.array(np.repeat(known["word"].to_numpy(), counts)), "k1": keys[picked],
+        "members": pa.array([lines.members[lines.starts[i]:lines.stops[i]].tobytes()
+                             for i in line], pa.binary()),
+        "doc_id": texts["doc_id"].take(text), "tie": texts["tie"].take(text),
+        "number": lines.number[line]})
 
 
 #: Sets compared with others at once.
@@ -276,15 +291,18 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in _by_run(batches, "word"):
         words = table["word"].to_numpy()
         cuts = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1], [True])))
-        keys = table["k1"].to_pylist()
-        order = list(zip(*(table[c].to_pylist() for c in ("known", "doc_id", "tie", "number")),
-                         strict=True))
+        keys = table["k1"].to_numpy()
+        order = [(doc_id is not None, doc_id or 0, tie, number) for doc_id, tie, number in zip(
+            *(table[c].to_pylist() for c in ("doc_id", "tie", "number")), strict=True)]
         members = table["members"].to_pylist()
         late = []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            if b - a > 1:
-                found = _later(order[a:b], [np.frombuffer(m, dtype=_U64) for m in members[a:b]])
-                late += [keys[a + i] for i, x in enumerate(found) if x]
+            # A class comes twice if another one has the same 32 bits.
+            once = a + np.unique(keys[a:b], return_index=True)[1]
+            if len(once) > 1:
+                found = _later([order[i] for i in once],
+                               [np.frombuffer(members[i], dtype=_U64) for i in once])
+                late += keys[once[np.array(found)]].tolist()
         if late:
             yield pa.RecordBatch.from_arrays([pa.array(sorted(set(late)), pa.int64())], names=["k1"])
 
@@ -340,7 +358,7 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text")
     firsts = stored(rows.select("doc_id", "tie", "bucket", "text").mapInArrow(
         _classes, "k1 long, k2 long, n long, doc_id long, tie long, number long, bucket int")
         .groupBy("k1", "k2").agg(F.min(F.struct(order.alias("order"), "bucket", "n")).alias("x"))
-        .select("k1", "x.order.*", "x.bucket", "x.n"), "line-classes")
+        .select("k1", "x.bucket", "x.n"), "line-classes")
 
     dealt = rows.repartition(n, "bucket")
     narrow = dealt.groupBy("bucket")
@@ -353,13 +371,12 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text")
                                F.lit(0).cast("long").alias("b")).union(
         counts.select("bucket", F.lit(1).alias("kind"), "word", "total"))
     prefixes = narrow.cogroup(known.groupBy("bucket")).applyInArrow(
-        _prefixes, "word long, shape long, bits long, k1 long, bucket int")
+        _prefixes, "shape long, word long, bits long, k int, bucket int")
     plausible = prefixes.repartition(n, "word").sortWithinPartitions("word").mapInArrow(
-        _plausible, "bucket int, k1 long, word long")
+        _plausible, "bucket int, k int, word long")
     sets = narrow.cogroup(plausible.groupBy("bucket")).applyInArrow(
-        _whole_sets, "word long, k1 long, members binary")
-    ranked = sets.join(firsts.select("k1", "known", "doc_id", "tie", "number"), "k1")
-    late = ranked.repartition(n, "word").sortWithinPartitions("word").mapInArrow(
+        _whole_sets, "word long, k1 long, members binary, doc_id long, tie long, number long")
+    late = sets.repartition(n, "word").sortWithinPartitions("word").mapInArrow(
         _verified, "k1 long").distinct()
     stay = firsts.join(late, "k1", "left_anti").select("bucket", "k1")
     schema = ", ".join(["doc_id long", *[
