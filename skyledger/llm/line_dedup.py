@@ -36,7 +36,7 @@ from pyspark.sql.window import Window as W
 from skyledger.llm.tables import partitions, stored
 from skyledger.llm.words import Words, mixed, order_by, slices, text_bytes
 
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
 
 _U64 = np.uint64
 
@@ -139,7 +139,7 @@ def _word_counts(key: tuple, texts: pa.Table) -> pa.Table:
 
 def _ordered(lines: Lines, rows: np.ndarray, words: np.ndarray,
              counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(line, word, position, count) of the prefixes of the lines, rarest words first."""
+    """(line, word, position, word before) of the prefixes of the lines, rarest words first."""
     picked = np.zeros(len(lines.sizes), dtype=bool)
     picked[rows] = True
     at = np.flatnonzero(picked[lines.owner])
@@ -157,26 +157,32 @@ def _ordered(lines: Lines, rows: np.ndarray, words: np.ndarray,
     position = np.arange(len(owner)) - np.repeat(np.cumsum(lines.sizes[rows]) - lines.sizes[rows],
                                                  lines.sizes[rows])
     prefix = (position < n - (4 * n + 4) // 5 + 1) & (df > 1)
-    return owner[prefix], members[prefix], position[prefix], df[prefix]
+    # Words of one line alone are no place to meet, so that the word before must not be one.
+    met = np.where((position[1:] > 0) & (df[:-1] > 1), members[:-1], _U64(0))
+    before = np.concatenate((np.zeros(min(1, len(members)), dtype=_U64), met))
+    return owner[prefix], members[prefix], position[prefix], before[prefix]
 
 
 def _prefixes(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
-    """word, parity bits, 32 bits of the class, size and position for each word of a prefix."""
+    """Size and position, word, parity bits and the word before, for each word of a prefix."""
     kinds, a, b = (known[c].to_numpy() for c in ("kind", "a", "b"))
     lines = Lines(_flat(texts["text"]))
     rows, _ = lines.among(a[kinds == 0])
     rows = np.sort(rows[lines.sizes[rows] > 4])
     # Unsigned order of the words, as that of the members.
-    line, word, position, _ = _ordered(
+    line, word, position, before = _ordered(
         lines, rows, a[kinds == 1].view(_U64), b[kinds == 1])
-    keys, bits = lines.sums(1).view(np.int64), lines.parities().view(np.int64)
+    bits = lines.parities().view(np.int64)
     return pa.table({"shape": (lines.sizes[line] << 32) | position,
-                     "word": word.view(np.int64), "bits": bits[line], "k": keys[line].astype(np.int32),
-                     "bucket": np.full(len(line), key[0].as_py(), np.int32)})
+                     "word": word.view(np.int64), "bits": bits[line],
+                     "before": before.view(np.int64), "bucket": np.full(len(line), key[0].as_py(), np.int32)})
 
 
-def _meeting(word, size, position, bits) -> np.ndarray:
-    """Which rows, sorted by word, meet another of the same word that all filters let pass."""
+def _meeting(word, size, position, bits, before) -> np.ndarray:
+    """Which rows, sorted by word, meet another of the same word that all filters let pass.
+
+    Two lines with the same word before have met there.
+    """
     met = np.zeros(len(word), dtype=bool)
     left = np.arange(len(word))
     step = 0
@@ -191,6 +197,7 @@ def _meeting(word, size, position, bits) -> np.ndarray:
         common = 1 + np.minimum(size[left] - position[left], size[other] - position[other]) - 1
         fits = (5 * np.minimum(size[left], size[other]) >= 4 * np.maximum(size[left], size[other]))
         fits &= 9 * common >= 4 * both
+        fits &= (before[left] != before[other]) | (before[left] == 0)
         fits &= np.bitwise_count(bits[left] ^ bits[other]) <= both // 9
         met[left[fits]] = True
         met[other[fits]] = True
@@ -218,21 +225,21 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for run in _by_run(batches, "word"):
         shape = run["shape"].to_numpy()
         met = _meeting(run["word"].to_numpy(), shape >> 32, shape & 0xFFFFFFFF,
-                       run["bits"].to_numpy().view(_U64))
-        yield from run.filter(pa.array(met)).select(["bucket", "k", "word"]).to_batches()
+                       run["bits"].to_numpy().view(_U64), run["before"].to_numpy())
+        yield from run.filter(pa.array(met)).select(["bucket", "bits", "word"]).to_batches()
 
 
 def _whole_sets(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
     """word, class, members and place, for each word at which a class may have met a similar one.
 
-    What is known is 32 bits of the class; another class with the same ones comes along.
+    What is known of a class is its parity bits; another class with the same comes along.
     """
     lines = Lines(_flat(texts["text"]))
     keys, at = _first_lines(lines, lines.sums(1).view(np.int64), _ranks(texts))
-    short = keys.astype(np.int32)
-    order = np.argsort(short, kind="stable")
-    wanted = known["k"].to_numpy()
-    low, high = (np.searchsorted(short[order], wanted, side=side) for side in ("left", "right"))
+    bits = lines.parities().view(np.int64)[at]
+    order = np.argsort(bits, kind="stable")
+    wanted = known["bits"].to_numpy()
+    low, high = (np.searchsorted(bits[order], wanted, side=side) for side in ("left", "right"))
     counts = high - low
     picked = order[np.repeat(low, counts) + np.arange(counts.sum())
                    - np.repeat(np.cumsum(counts) - counts, counts)]
@@ -297,7 +304,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         members = table["members"].to_pylist()
         late = []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            # A class comes twice if another one has the same 32 bits.
+            # A class comes twice if another one has the same parity bits.
             once = a + np.unique(keys[a:b], return_index=True)[1]
             if len(once) > 1:
                 found = _later([order[i] for i in once],
@@ -345,7 +352,7 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text")
     spark = documents.sparkSession
     size = documents.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n = partitions(spark)
-    buckets = min(max(-(-size // BUCKET_BYTES), 4 * n), (1 << 31) - 1)
+    buckets = min(max(-(-size // BUCKET_BYTES), 2 * n), (1 << 31) - 1)
     others = [c for c in documents.columns if c not in (key, text)]
     # Other columns go through under names of their own.
     rows = documents.select(
@@ -371,9 +378,9 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text")
                                F.lit(0).cast("long").alias("b")).union(
         counts.select("bucket", F.lit(1).alias("kind"), "word", "total"))
     prefixes = narrow.cogroup(known.groupBy("bucket")).applyInArrow(
-        _prefixes, "shape long, word long, bits long, k int, bucket int")
+        _prefixes, "shape long, word long, bits long, before long, bucket int")
     plausible = prefixes.repartition(n, "word").sortWithinPartitions("word").mapInArrow(
-        _plausible, "bucket int, k int, word long")
+        _plausible, "bucket int, bits long, word long")
     sets = narrow.cogroup(plausible.groupBy("bucket")).applyInArrow(
         _whole_sets, "word long, k1 long, members binary, doc_id long, tie long, number long")
     late = sets.repartition(n, "word").sortWithinPartitions("word").mapInArrow(
