@@ -232,13 +232,17 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _whole_sets(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
     """word, class, members and place, for each word at which a class may have met a similar one.
 
-    What is known of a class is its parity bits; another class with the same comes along.
+    Kind 0 names the classes whose first line is here, kind 1 has a word and the parity bits of
+    one of them; another one with the same bits comes along.
     """
+    kinds, a, b = (known[c].to_numpy() for c in ("kind", "a", "b"))
     lines = Lines(_flat(texts["text"]))
     keys, at = _first_lines(lines, lines.sums(1).view(np.int64), _ranks(texts))
+    here = np.isin(keys, a[kinds == 0])
+    keys, at = keys[here], at[here]
     bits = lines.parities().view(np.int64)[at]
     order = np.argsort(bits, kind="stable")
-    wanted = known["bits"].to_numpy()
+    words, wanted = a[kinds == 1], b[kinds == 1]
     low, high = (np.searchsorted(bits[order], wanted, side=side) for side in ("left", "right"))
     counts = high - low
     picked = order[np.repeat(low, counts) + np.arange(counts.sum())
@@ -246,7 +250,7 @@ def _whole_sets(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
     line = at[picked]
     text = pa.array(lines.text[line])
     return pa.table({
-        "word": pa.array(np.repeat(known["word"].to_numpy(), counts)), "k1": keys[picked],
+        "word": pa.array(np.repeat(words, counts)), "k1": keys[picked],
         "members": pa.array([lines.members[lines.starts[i]:lines.stops[i]].tobytes()
                              for i in line], pa.binary()),
         "doc_id": texts["doc_id"].take(text), "tie": texts["tie"].take(text),
@@ -381,7 +385,10 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text")
         _prefixes, "shape long, word long, bits long, before long, bucket int")
     plausible = prefixes.repartition(n, "word").sortWithinPartitions("word").mapInArrow(
         _plausible, "bucket int, bits long, word long")
-    sets = narrow.cogroup(plausible.groupBy("bucket")).applyInArrow(
+    named = long_firsts.select("bucket", F.lit(0).alias("kind"), F.col("k1").alias("a"),
+                               F.lit(0).cast("long").alias("b")).union(
+        plausible.select("bucket", F.lit(1).alias("kind"), "word", "bits"))
+    sets = narrow.cogroup(named.groupBy("bucket")).applyInArrow(
         _whole_sets, "word long, k1 long, members binary, doc_id long, tie long, number long")
     late = sets.repartition(n, "word").sortWithinPartitions("word").mapInArrow(
         _verified, "k1 long").distinct()
