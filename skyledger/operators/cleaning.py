@@ -37,7 +37,7 @@ def curated_projection(df: DataFrame) -> DataFrame:
 
 def normalise_cancellation_code(df: DataFrame) -> DataFrame:
     """Keep a code only on cancelled flights and only when it is a known letter."""
-    known = (F.col("Cancelled") == 1) & F.col("CancellationCode").isin(
+    known = (F.col("Cancelled").try_cast("double") == 1) & F.col("CancellationCode").isin(
         list(CANCELLATION_REASONS))
     return df.withColumn("CancellationCode", F.when(known, F.col("CancellationCode")))
 
@@ -48,11 +48,13 @@ def validity(df: DataFrame) -> Column:
     Each part applies only where the input has the column it speaks about.
     """
     tests = [F.col(name).isNotNull() for name in _present(df, IDENTIFYING_COLUMNS)]
-    tests += [F.col(name).isin(0, 1) for name in _present(df, INDICATOR_COLUMNS)]
+    # Text such as "0.00" counts by its number; text that is none fails the test.
+    tests += [F.coalesce(F.col(name).try_cast("double").isin(0.0, 1.0), F.lit(False))
+              for name in _present(df, INDICATOR_COLUMNS)]
     clock = _present(df, ["DepTime", "ArrTime"])
     if clock:
         flown = reduce(and_, [F.col(name).isNotNull() for name in clock])
-        cancelled = (F.col("Cancelled") == 1) if "Cancelled" in df.columns else F.lit(False)
+        cancelled = (F.col("Cancelled").try_cast("double") == 1) if "Cancelled" in df.columns else F.lit(False)
         tests.append(flown | cancelled)
     return reduce(and_, tests, F.lit(True))
 

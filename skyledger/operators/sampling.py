@@ -16,9 +16,6 @@ ROUTE_ROWS, AIRLINE_ROWS = 500, 200
 # -------------------------------------------------------------------------------------------
 
 _DRAW, _RANK, _SHARE, _TASK = "_draw", "_rank", "_share", "_task"
-_SHARES = 64
-# Spark's default limit up to which it cuts groups before the shuffle.
-_GROUP_LIMIT = 1000
 
 
 def _rest(df: DataFrame, *used: str) -> list[str]:
@@ -26,8 +23,16 @@ def _rest(df: DataFrame, *used: str) -> list[str]:
     return [name for name in df.columns if name not in used]
 
 
-def _draw(by: Column | None, seed: int | None) -> Column:
-    return by if by is not None else F.rand(seed)
+def _uniform(df: DataFrame, seed: int | None) -> Column:
+    """A number in [0, 1) for each row; with a seed it is a hash of seed and row, which neither
+    the partitioning nor the plan can change. Equal rows then have equal numbers."""
+    if seed is None:
+        return F.rand()
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *df.columns), 11) / float(1 << 53)
+
+
+def _draw(df: DataFrame, by: Column | None, seed: int | None) -> Column:
+    return by if by is not None else _uniform(df, seed)
 
 
 def year_filter(flights: DataFrame, year: int) -> DataFrame:
@@ -43,15 +48,17 @@ def random_sample(flights: DataFrame, rows: int = SAMPLE_ROWS, year: int | None
     engine reproduces.
     """
     source = flights if year is None else year_filter(flights, year)
-    return (source.withColumn(_DRAW, _draw(by, seed))
-            .orderBy(_DRAW, *(_rest(flights) if by is not None else []))
+    return (source.withColumn(_DRAW, _draw(flights, by, seed))
+            .orderBy(_DRAW, *(_rest(flights) if by is not None or seed is not None else []))
             .limit(rows).drop(_DRAW))
 
 
 def table_sample(flights: DataFrame, fraction: float = SAMPLE_FRACTION, rows: int = SAMPLE_ROWS,
                  seed: int | None = None) -> DataFrame:
-    """Bernoulli sample of the rows, at most ``rows`` of them."""
-    return flights.sample(fraction=fraction, seed=seed).limit(rows)
+    """Bernoulli sample of the rows; of more than ``rows`` those with the smallest draws, so that
+    the sample is spread over the whole table."""
+    return (flights.withColumn(_DRAW, _uniform(flights, seed)).filter(F.col(_DRAW) < fraction)
+            .orderBy(_DRAW, *(_rest(flights) if seed is not None else [])).limit(rows).drop(_DRAW))
 
 
 def recent_data(flights: DataFrame, days: int = RECENT_DAYS, limit: int = RECENT_ROWS,
@@ -75,19 +82,18 @@ def airlines_sample(flights: DataFrame, airlines: list[str], rows_each: int = AI
     """``rows_each`` random flights of each airline.
 
     An airline may own a third of the table, so no task ranks all of its rows. They are first
-    cut to ``rows_each`` within shares of the scan tasks, and only the survivors are ranked
-    together: the smallest draws overall are among the smallest of their share, so the cut is
-    exact. Up to the optimizer's group-limit threshold the first cut happens before the
-    shuffle; above it, rows are also cut per scan task.
+    cut to ``rows_each`` within the scan tasks, then within shares of them, as many as shuffle
+    partitions, and only the survivors are ranked together: the smallest draws overall are among
+    the smallest of their share, so the cut is exact.
     """
-    tie_break = _rest(flights) if by is not None else []
-    levels = [[_SHARE], []] if rows_each <= _GROUP_LIMIT else [[_TASK], [_SHARE], []]
+    tie_break = _rest(flights) if by is not None or seed is not None else []
+    shares = int(flights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sample = (
         flights.filter(F.col("Reporting_Airline").isin(*airlines))
-        .select("*", _draw(by, seed).alias(_DRAW), F.spark_partition_id().alias(_TASK))
-        .withColumn(_SHARE, F.pmod(F.col(_TASK), F.lit(_SHARES)))
+        .select("*", _draw(flights, by, seed).alias(_DRAW), F.spark_partition_id().alias(_TASK))
+        .withColumn(_SHARE, F.pmod(F.col(_TASK), F.lit(shares)))
     )
-    for level in levels:
+    for level in [[_TASK], [_SHARE], []]:
         window = Window.partitionBy("Reporting_Airline", *level).orderBy(_DRAW, *tie_break)
         sample = (sample.withColumn(_RANK, F.row_number().over(window))
                   .filter(F.col(_RANK) <= rows_each).drop(_RANK))
@@ -103,9 +109,9 @@ def weighted_sample(df: DataFrame, weight: str, rows: int = 1,
     The smallest exponential waiting times with rate ``weight`` win (Efraimidis and Spirakis);
     rows of zero or null weight never do.
     """
-    waiting = -F.log(F.lit(1.0) - F.rand(seed)) / F.col(weight)
+    waiting = -F.log(F.lit(1.0) - _uniform(df, seed)) / F.col(weight)
     return (df.filter(F.col(weight) > 0).withColumn(_DRAW, waiting)
-            .orderBy(_DRAW).limit(rows).drop(_DRAW))
+            .orderBy(_DRAW, *(_rest(df) if seed is not None else [])).limit(rows).drop(_DRAW))
 
 
 def sample_stats(sample: DataFrame) -> DataFrame:

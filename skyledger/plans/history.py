@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -85,8 +85,9 @@ def stage_csv(spark: SparkSession, path: str | list[str], schema: StructType = R
 def load_csv(spark: SparkSession, path: str | list[str], target: str, mode: str = "append",
              schema: StructType = RAW_FLIGHTS, required: list[str] | None = None,
              partition_by: list[str] | None = None, cluster_by: list[str] | None = None,
-             max_bad_records: int = MAX_BAD_RECORDS, quoted_newlines: bool = True) -> DataFrame:
-    """Load files in one job; returns the per-file report.
+             max_bad_records: int = MAX_BAD_RECORDS, quoted_newlines: bool = True,
+             wanted: Column | None = None) -> DataFrame:
+    """Load files in one job; returns the per-file report. Rows that are not ``wanted`` are bad.
 
     Modes: ``append``; ``overwrite`` replaces the table once, for all files together;
     ``replace_months`` replaces only the partitions that occur in the input, so that repeating
@@ -101,11 +102,17 @@ def load_csv(spark: SparkSession, path: str | list[str], target: str, mode: str
     load = stage_csv(spark, path, schema, required, quoted_newlines)
     report = load.report()
     bad = report.agg(F.coalesce(F.sum("bad_rows"), F.lit(0))).first()[0]
+    good = load.good
+    if wanted is not None:
+        # A stray row of another month would replace that month by itself.
+        inside = F.coalesce(wanted, F.lit(False))
+        bad += good.filter(~inside).count()
+        good = good.filter(inside)
     if bad > max_bad_records:
         raise TooManyBadRecords(f"{bad} bad rows, {max_bad_records} allowed")
     layout = LAYOUTS["flights_raw"]
     write_partitioned(
-        load.good, target,
+        good, target,
         list(layout.partition_by) if partition_by is None else partition_by,
         layout.cluster_by if cluster_by is None else cluster_by,
         write_mode, touched_only)
@@ -123,7 +130,9 @@ def load_years(spark: SparkSession, folder: str, target: str, start_year: int, e
                mode: str = "replace_months", **options) -> DataFrame:
     """The files of a range of years, optionally of the same months in each year."""
     pattern = monthly_pattern(folder, start_year, end_year, start_month, end_month)
-    return load_csv(spark, pattern, target, mode, **options)
+    months = F.col("Month").between(start_month or 1, end_month or 12)
+    wanted = F.col("Year").between(start_year, end_year) & months
+    return load_csv(spark, pattern, target, mode, wanted=wanted, **options)
 
 
 def load_month(spark: SparkSession, folder: str, target: str, year: int, month: int,

@@ -46,7 +46,7 @@ def build_session(
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Give a session that was built elsewhere those defaults that may change at run time."""
-    for key in ("spark.sql.codegen.hugeMethodLimit",
+    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit",
                 "spark.sql.adaptive.forceOptimizeSkewedJoin"):
         spark.conf.set(key, SESSION_DEFAULTS[key])
     return spark

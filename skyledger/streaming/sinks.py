@@ -48,11 +48,17 @@ def table_sink(stream: DataFrame, checkpoint: str, trigger: str | None = TRIGGER
 
 
 def replayable_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: every batch owns the directory ``batch_id=<id>`` and
-    overwrites it, so a batch that runs twice is stored once."""
+    """A ``foreachBatch`` function: every batch owns a directory and overwrites it, so that a
+    batch that runs twice is stored once.
+
+    The directory is named after the query's id, which its checkpoint keeps, and the batch: a
+    query with another checkpoint counts its batches anew and must not touch those stored here.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COLUMN}={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        name = f"{query}-{batch_id}" if query else f"{batch_id}"
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COLUMN}={name}")
 
     return write
 

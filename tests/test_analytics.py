@@ -172,3 +172,17 @@ def test_route_weights(flights):
     frequency = curate.route_frequency(flights)
     assert frequency.columns == ["Origin", "Dest", "count"]
     assert frequency.agg(F.sum("count")).first()[0] == flights.count()
+
+
+def test_a_seed_fixes_the_draw(spark, flights):
+    """Neither partitioning nor plan may change a seeded sample."""
+    drawn = set()
+    for parts, adaptive in ((4, "true"), (7, "true"), (4, "false")):
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        df = flights.repartition(parts)
+        drawn.add((str(rows(sampling.random_sample(df, 5, seed=7), "Origin", "Dest", "FlightDate")),
+                   str(rows(sampling.table_sample(df, 0.01, 20, seed=7), "Origin", "Dest")),
+                   str(rows(sampling.weighted_sample(
+                       df.groupBy("Origin").count(), "count", 3, seed=7), "Origin"))))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(drawn) == 1

@@ -128,3 +128,17 @@ def test_count_as_by_product(spark, raw, tmp_path):
     df, seen = quality.counted(raw, "rows seen")
     df.write.parquet(str(tmp_path / "out"))
     assert seen.get == {"rows": 7}
+
+
+def test_text_indicators_count_by_their_number(spark):
+    df = spark.createDataFrame(
+        [("0.00",), ("1",), ("2",), ("x",), ("",), (None,)], "Cancelled string")
+    kept = df.filter(cleaning.validity(df))
+    assert sorted(r.Cancelled for r in kept.collect()) == ["0.00", "1"]
+
+
+def test_entry_sessions_get_the_zone(spark):
+    from skyledger.session import apply_settings
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    assert apply_settings(spark).conf.get("spark.sql.session.timeZone") == "UTC"

@@ -176,6 +176,18 @@ def test_replayed_batch_is_stored_once(spark, tmp_path, topic):
     assert sinks.read_batches(spark, str(tmp_path / "out")).count() == 7
 
 
+def test_a_second_checkpoint_keeps_stored_batches(spark, tmp_path):
+    """100 rows stored, then a query with a checkpoint of its own adds 7."""
+    out = str(tmp_path / "out")
+    for name, rows in (("first", 100), ("second", 7)):
+        spark.range(rows).write.parquet(str(tmp_path / name))
+        stream = spark.readStream.schema("id long").parquet(str(tmp_path / name))
+        for _ in range(2):
+            sinks.batch_sink(stream, sinks.replayable_batch_writer(out), str(tmp_path / f"log-{name}"),
+                             trigger="available").start().awaitTermination()
+    assert sinks.read_batches(spark, out).count() == 107
+
+
 def test_dual_sink_has_two_checkpoints(spark, tmp_path, topic):
     path, _ = topic
     flat = parse.flight_stream(source.message_files(spark, path, max_files_per_trigger=1))
