@@ -13,7 +13,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from skyledger.schemas import as_text
 from skyledger.sources.files import NO_NULL_TOKEN, unless_no_files
-from skyledger.sources.records import parse_records, read_records
 
 FILE_PATH, FILE_SIZE, BAD_REASON = "_file_path", "_file_size", "_bad_reason"
 _MALFORMED, OPEN_QUOTE = "_malformed", "_open_quote"
@@ -52,10 +51,16 @@ def read_text_columns(spark: SparkSession, path: str | list[str],
 
 def read_spanning_columns(spark: SparkSession, paths: list[str],
                           schema: StructType) -> DataFrame:
-    """The same columns of files with records that span lines."""
-    parsed = parse_records(read_records(spark, paths), as_text(schema), _CSV_OPTIONS)
-    return parsed.select(*schema.fieldNames(), F.col("_path").alias(FILE_PATH),
-                         F.col("_size").alias(FILE_SIZE), F.lit(False).alias(OPEN_QUOTE))
+    """The same columns of files with records that span lines.
+
+    Spark's multi-line reader takes each file as a whole: a quote opens a field only at its
+    start, so that a stray one is text. Monthly files are small, and many of them many tasks.
+    """
+    reader = (spark.read.schema(as_text(schema)).option("header", True).options(**_CSV_OPTIONS)
+              .option("multiLine", True).option("mode", "PERMISSIVE"))
+    return reader.csv(paths).select(
+        *schema.fieldNames(), F.col("_metadata.file_path").alias(FILE_PATH),
+        F.col("_metadata.file_size").alias(FILE_SIZE), F.lit(False).alias(OPEN_QUOTE))
 
 
 def parse_typed(text: DataFrame, schema: StructType, required: list[str]) -> DataFrame:

@@ -20,7 +20,6 @@ from skyledger import storage
 from skyledger.plans import history
 from skyledger.sinks import files as sinks
 from skyledger.sources import files as sources
-from skyledger.sources.records import parse_records, read_records
 from tests.conftest import plan_of, rows
 
 SCHEMA = StructType([
@@ -140,27 +139,17 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
     assert load.bad.count() == 0
 
 
-@pytest.mark.parametrize("split_bytes", ["40", "150", "100000"])
-def test_records_across_splits(spark, tmp_path, split_bytes):
-    """Whatever the splits, records equal those of a reader that sees each file as a whole."""
-    texts = ["plain", "a\nb", 'say ""hi""', "x\n\n\ny\nz", "", "1,2", "long\n" * 40]
-    for name, shift in (("one.csv", 0), ("two.csv", 3)):
-        records = [f'{n},"{texts[(n * 3 + shift) % 7]}",{n * n}' for n in range(60)]
-        (tmp_path / name).write_text("n,text,square\n" + "\n".join(records) + "\n")
-    schema = "n string, text string, square string"
-    whole = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-             .option("escape", '"').option("nullValue", "\\N").csv(str(tmp_path)))
-    paths = [str(tmp_path / "one.csv"), str(tmp_path / "two.csv")]
-    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
-    spark.conf.set("spark.sql.files.openCostInBytes", "1")
-    try:
-        parsed = parse_records(read_records(spark, paths), whole.schema,
-                               {"escape": '"', "nullValue": "\\N"})
-        assert rows(parsed, "n", "text", "square") == rows(whole)
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert whole.count() == 120
+def test_a_stray_quote_swallows_no_rows(spark, tmp_path):
+    """A short row with a lone quote; then a genuine line break in quotes beside a lone quote."""
+    folder, target = tmp_path / "in", str(tmp_path / "out")
+    lines = [line(2001, 5, f"A{n}") for n in range(999)]
+    write(folder, "2001_05.csv", *lines[:500], '2001,5,2001-05-01,a"b', *lines[500:])
+    history.load_all(spark, str(folder), target, "overwrite", schema=SCHEMA, required=["Year"])
+    assert spark.read.parquet(target).count() == 1000
+    write(folder, "2001_05.csv", *lines[:500], line(2001, 5, '"B\nC"'),
+          line(2001, 5, '5" pipe'), *lines[501:998])
+    history.load_all(spark, str(folder), target, "overwrite", schema=SCHEMA, required=["Year"])
+    assert spark.read.parquet(target).count() == 999
 
 
 def test_bad_row_budget(spark, tmp_path):
