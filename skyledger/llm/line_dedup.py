@@ -356,7 +356,9 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text")
     spark = documents.sparkSession
     size = documents.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n = partitions(spark)
-    buckets = min(max(-(-size // BUCKET_BYTES), 2 * n), (1 << 31) - 1)
+    # The larger a bucket, the fewer buckets send the same word; enough of them for all cores.
+    buckets = min(max(-(-size // BUCKET_BYTES), 4 * spark.sparkContext.defaultParallelism),
+                  (1 << 31) - 1)
     others = [c for c in documents.columns if c not in (key, text)]
     # Other columns go through under names of their own.
     rows = documents.select(
