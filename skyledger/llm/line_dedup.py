@@ -130,10 +130,16 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["k1", "k2", "n", "doc_id", "tie", "number", "bucket"])
 
 
+def _short(words: np.ndarray) -> np.ndarray:
+    """32 bits of each word, by which words are counted. Words that share them share one count;
+    any order that all lines agree on is good for the prefixes."""
+    return (words >> _U64(32)).astype(np.int64)
+
+
 def _word_counts(key: tuple, texts: pa.Table) -> pa.Table:
     lines = Lines(_flat(texts["text"]))
-    words, counts = np.unique(lines.members, return_counts=True)
-    return pa.table({"word": words.view(np.int64), "lines": counts.astype(np.int64),
+    words, counts = np.unique(_short(lines.members), return_counts=True)
+    return pa.table({"word": words, "lines": counts.astype(np.int64),
                      "bucket": np.full(len(words), key[0].as_py(), np.int32)})
 
 
@@ -145,11 +151,12 @@ def _ordered(lines: Lines, rows: np.ndarray, words: np.ndarray,
     at = np.flatnonzero(picked[lines.owner])
     members, owner = lines.members[at], lines.owner[at]
     order = np.argsort(words)
-    words, counts = words[order].view(_U64), counts[order]
+    words, counts = words[order], counts[order]
     df = np.ones(len(members), dtype=np.int64)
     if len(words):
-        place = np.minimum(np.searchsorted(words, members), len(words) - 1)
-        df = np.where(words[place] == members, counts[place], 1)
+        short = _short(members)
+        place = np.minimum(np.searchsorted(words, short), len(words) - 1)
+        df = np.where(words[place] == short, counts[place], 1)
     # Equal counts stay in the order of hashes, which all lines share.
     order = np.argsort((owner << 40) | np.minimum(df, (1 << 40) - 1), kind="stable")
     members, owner, df = members[order], owner[order], df[order]
@@ -169,9 +176,7 @@ def _prefixes(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
     lines = Lines(_flat(texts["text"]))
     rows, _ = lines.among(a[kinds == 0])
     rows = np.sort(rows[lines.sizes[rows] > 4])
-    # Unsigned order of the words, as that of the members.
-    line, word, position, before = _ordered(
-        lines, rows, a[kinds == 1].view(_U64), b[kinds == 1])
+    line, word, position, before = _ordered(lines, rows, a[kinds == 1], b[kinds == 1])
     bits = lines.parities().view(np.int64)
     return pa.table({"shape": (lines.sizes[line] << 32) | position,
                      "word": word.view(np.int64), "bits": bits[line],
