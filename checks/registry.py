@@ -133,6 +133,21 @@ def load_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, sf_dir, history.load_month, SAMPLED_YEAR, 3)
 
 
+def load_month_stray_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """May and June are loaded, then May once more from a file that also has some rows of June."""
+    folder, schema = _monthly_folder(spark, sf_dir)
+    target, again = scratch_path(spark, "flights-raw"), scratch_path(spark, "monthly")
+    history.load_years(spark, folder, target, SAMPLED_YEAR, SAMPLED_YEAR, 5, 6, schema=schema)
+    flights = sampling.year_filter(views.flights(spark, sf_dir), SAMPLED_YEAR)
+    stray = (F.col("Month") == 6) & (F.col("Origin") == "A00")
+    sink_files.export_csv(flights.filter((F.col("Month") == 5) | stray),
+                          f"{again}/{SAMPLED_YEAR}_05.csv")
+    strays = flights.filter(stray).count()
+    history.load_month(spark, again, target, SAMPLED_YEAR, 5, schema=schema,
+                       max_bad_records=strays)
+    return source_files.read_parquet(spark, target, schema)
+
+
 def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {name: f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "events")}
     inventory = sink_files.table_inventory(spark, tables)
@@ -420,6 +435,19 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(FLAT_FLIGHT).parquet(out).select("flight_id", "flight_status")
 
 
+def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the messages through one query, the others through a second one with a checkpoint
+    of its own, into the same place."""
+    messages = materialise(views.status_messages(spark, sf_dir), "messages")
+    first = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    out = scratch_path(spark, "stream")
+    for half in (messages.filter(first), messages.filter(~first)):
+        sinks.batch_sink(parse.flight_stream(_stream(spark, half)),
+                         sinks.replayable_batch_writer(out), scratch_path(spark, "stream-log"),
+                         trigger="available").start().awaitTermination()
+    return sinks.read_batches(spark, out).select("flight_id", "flight_status")
+
+
 # ---- registry -----------------------------------------------------------------------------
 
 
@@ -436,6 +464,7 @@ def queries() -> dict[str, Query]:
         "load_all": load_all,
         "load_years": load_years,
         "load_month": load_month,
+        "load_month_stray_rows": load_month_stray_rows,
         "dataset_summary": dataset_summary,
         "export_roundtrip": export_roundtrip,
         "export_json_roundtrip": export_json_roundtrip,
@@ -519,4 +548,5 @@ def queries() -> dict[str, Query]:
         "stream_wide": stream_wide,
         "stream_dual_sink": stream_dual_sink,
         "stream_restart": stream_restart,
+        "stream_two_checkpoints": stream_two_checkpoints,
     }

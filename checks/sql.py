@@ -345,6 +345,8 @@ def oracles() -> dict[str, str]:
         "load_years": _with(_FL, f"""{everything} WHERE Year BETWEEN 1996 AND 1998
             AND Month BETWEEN 6 AND 8"""),
         "load_month": _with(_FL, f"{everything} WHERE Year = 1998 AND Month = 3"),
+        "load_month_stray_rows": _with(
+            _FL, f"{everything} WHERE Year = 1998 AND Month IN (5, 6)"),
         "dataset_summary": " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, {_COUNT} AS num_rows FROM {name}"
             for name in ("lineitem", "orders", "events")),
@@ -546,4 +548,5 @@ def oracles() -> dict[str, str]:
             f"""SELECT '{sink}' AS sink, flight_date, {_COUNT} AS rows FROM flat
             GROUP BY flight_date""" for sink in ("files", "copy"))),
         "stream_restart": _with(_STATUS, "SELECT flight_id, flight_status FROM flat"),
+        "stream_two_checkpoints": _with(_STATUS, "SELECT flight_id, flight_status FROM flat"),
     }
