@@ -14,7 +14,7 @@ still removes later ones. Lines without words stay.
 3. The other classes meet again at those words with their whole sets, and the Jaccard similarity
    decides whether one of them has an earlier match.
 
-Sets of up to four words are similar only if equal. Texts are dealt to buckets in one shuffle that
+Sets of up to three words are similar only if equal. Texts are dealt to buckets in one shuffle that
 all passes read; a bucket sends each word and each class once.
 
 Null and empty texts stay as they are, null texts as empty ones. Lines end at a line feed, which
@@ -175,7 +175,7 @@ def _prefixes(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
     kinds, a, b = (known[c].to_numpy() for c in ("kind", "a", "b"))
     lines = Lines(_flat(texts["text"]))
     rows, _ = lines.among(a[kinds == 0])
-    rows = np.sort(rows[lines.sizes[rows] > 4])
+    rows = np.sort(rows[lines.sizes[rows] > 3])
     line, word, position, before = _ordered(lines, rows, a[kinds == 1], b[kinds == 1])
     bits = lines.parities().view(np.int64)
     return pa.table({"shape": (lines.sizes[line] << 32) | position,
@@ -384,7 +384,7 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text")
     # A row for each word and bucket at most, however frequent the word.
     counts = counted.withColumn("total", F.sum("lines").over(W.partitionBy("word"))) \
         .where("total > 1")
-    long_firsts = firsts.where("n > 4")
+    long_firsts = firsts.where("n > 3")
     known = long_firsts.select("bucket", F.lit(0).alias("kind"), F.col("k1").alias("a"),
                                F.lit(0).cast("long").alias("b")).union(
         counts.select("bucket", F.lit(1).alias("kind"), "word", "total"))

@@ -228,6 +228,25 @@ def test_line_dedup(session, corpus):
     assert line_dedup.deduplicated(corpus.limit(0)).count() == 0
 
 
+def test_line_dedup_of_short_lines(session):
+    rng = np.random.default_rng(11)
+    texts = ["a b c d\n", "d c b a e\n", "f g h i j\n", "j g f h\n", "k l m\n", "k l m n\n", "k l\n"]
+    texts += ["".join(" ".join(f"x{x}" for x in rng.integers(0, 9, int(rng.integers(1, 9)))) + "\n"
+                      for _ in range(3)) for _ in range(40)]
+    docs = session.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.text for r in line_dedup.deduplicated(docs).collect()}
+    earlier: list[set] = []
+    for i, text in enumerate(texts):
+        kept = ""
+        for line in text.splitlines(keepends=True):
+            own = set(WORD.findall(line))
+            if not any(9 * len(own & x) >= 4 * (len(own) + len(x)) for x in earlier):
+                kept += line
+            earlier.append(own)
+        assert found[i] == kept
+    assert [found[i] for i in range(7)] == [texts[0], "", texts[2], "", *texts[4:7]]
+
+
 def test_toxicity_learns_and_handles_missing_labels(session):
     rng = np.random.default_rng(9)
     rows, labels = [], []
