@@ -7,12 +7,14 @@ read again as the next one's documents. All but the last return the columns of d
    of its input that are not held out.
 2. line_dedup: lines with an earlier match go; ``n_chars`` follows the text. A document of which
    every line with words went goes with them; documents that had no words stay.
-3. near_duplicates: of each component of near duplicates the document with the least id stays.
+3. near_duplicates: of each component of near duplicates the document with the least id stays; one
+   without an id only if none there has one. Documents without words stay.
 4. mixing: each document as often as the mix of sources takes it, so that rows repeat.
 5. bpe: the token ids of each row, ``ids``, and their number.
 
 Null texts, repeated rows and extra columns are handled as the operators state; extra columns are
-carried along to the mix. Rows that repeat an id with other texts are one document to stage 3.
+carried along to the mix. Rows without an id, or with an id that other texts have as well, are
+documents of their own to stage 3.
 """
 
 from __future__ import annotations
@@ -42,10 +44,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepared(spark)
-    kept = ngram_join.near_duplicates(docs).where("doc_id <=> component_id").select(
-        F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi") \
-        .dropDuplicates(["doc_id"])
+    return ngram_join.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ A text's set are its distinct shingles of ``SIZE`` words, A to Z lowered; with f
 whole sequence is the one member, without words the set is empty and links with nothing. Two
 texts link if 100 * |x & y| >= 80 * |x or y|.
 
-1. Equal sets are one class, whose least id stands for it from here on.
+1. Equal sets are one class, which has a number from here on.
 2. Sets that could link meet in a block. The members of a set are dealt by hash to so many
    segments that linked sets, which differ in at most (|x| + |y|) / 9 members, agree on a segment
    that is not empty. So many depends on size; sizes double from level to level, and a set whose
@@ -23,8 +23,9 @@ texts link if 100 * |x & y| >= 80 * |x or y|.
    of neighbours are walked through, except where both are in one component already, so that
    nothing is missed and little is walked twice.
 
-Null texts are empty. Repeated rows are copies; rows that repeat an id with other texts count
-as one document for links, and so do rows without an id, whose id is the least. Empty tables give no rows. Columns beyond id and text are not read.
+Null texts are empty. Each row links by its own text, whether or not others have its id or it has
+none. A component is named by its least id; only one in which no row has an id has a null name.
+Empty tables give no rows. Columns beyond id and text are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -145,9 +146,9 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "text"):
             sets = Sets(part.column(2))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(sets.sizes),
+                [part.column(0), part.column(1), part.column(3), pa.array(sets.sizes),
                  pa.array(sets.sums(1).view(np.int64)), pa.array(sets.sums(3).view(np.int64))],
-                names=["doc_id", "bucket", "n_shingles", "k1", "k2"])
+                names=["doc_id", "bucket", "tie", "n_shingles", "k1", "k2"])
 
 
 def _chosen(texts: pa.Table, classes: np.ndarray) -> tuple[Sets, np.ndarray, np.ndarray]:
@@ -379,24 +380,28 @@ def _links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
     return found.union(stored(_walk(chunked.join(ends, ["block", "chunk"])), "ngram-links"))
 
 
-def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id: the least id that links lead to, itself included."""
+def _grouped(documents: DataFrame, key: str, text: str, tie: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, tie, n_shingles, k1, k2), and the classes of those with words (k1, k2, first,
+    component): ``first`` is the least (unknown, doc_id, tie) of a class, rows without an id last."""
     spark = documents.sparkSession
-    null_id = F.lit(-(1 << 63)).cast("long")
-    rows = documents.select(F.coalesce(F.col(key).cast("long"), null_id).alias("doc_id"),
-                            F.col(text).alias("text"))
+    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"),
+                            tie.alias("tie"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = partitions(spark)
     buckets = min(max(-(-size // BUCKET_BYTES), 4 * n), (1 << 31) - 1)
     bucket = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(buckets).cast("long")).cast("int")
-    bucketed = rows.select("doc_id", bucket.alias("bucket"), "text")
+    bucketed = rows.select("doc_id", bucket.alias("bucket"), "text", "tie")
     keys = stored(bucketed.mapInArrow(
-        _keys, "doc_id long, bucket int, n_shingles long, k1 long, k2 long"), "ngram-keys")
+        _keys, "doc_id long, bucket int, tie binary, n_shingles long, k1 long, k2 long"),
+        "ngram-keys")
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "tie")
+    # Numbers are fixed as they are written.
     classes = stored(keys.where("n_shingles > 0").groupBy("k1", "k2").agg(
-        F.min(F.struct("doc_id", "bucket")).alias("first")).select(
-        "k1", "k2", F.col("first.doc_id").alias("node"), F.col("first.bucket").alias("bucket")),
+        F.min(F.struct(first.alias("first"), "bucket")).alias("x")).select(
+        "k1", "k2", "x.first", "x.bucket").withColumn("node", F.monotonically_increasing_id()),
         "ngram-classes")
 
+    bucketed = bucketed.drop("tie")
     texts = bucketed.repartition(n, "bucket").groupBy("bucket")
     offers = texts.cogroup(classes.select("bucket", "k1").groupBy("bucket")).applyInArrow(
         _offers, "tag long, hash long")
@@ -428,8 +433,34 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         components(chain).withColumnRenamed("node", "vertex"), "vertex").select(
         "node", F.col("component").alias("block")).distinct(), "ngram-candidates")
     joined = components(_links(sets, blocks))
-    named = classes.join(joined, "node", "left").select(
-        "k1", "k2", F.coalesce("component", "node").alias("component_id"))
+    return keys, classes.join(joined, "node", "left").select(
+        "k1", "k2", "first", F.coalesce("component", "node").alias("component"))
+
+
+def _firsts(classes: DataFrame) -> DataFrame:
+    return classes.groupBy("component").agg(F.min("first").alias("first"))
+
+
+def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id: the least id that links lead to, itself included."""
+    keys, classes = _grouped(documents, key, text, F.lit(None).cast("binary"))
+    classes = stored(classes, "ngram-named")
+    names = _firsts(classes).select("component", F.col("first.doc_id").alias("component_id"))
+    named = classes.join(names, "component").select("k1", "k2", "component_id")
     return keys.join(named, ["k1", "k2"], "left").select(
-        F.nullif("doc_id", null_id).alias("doc_id"), "n_shingles",
-        F.nullif(F.coalesce("component_id", "doc_id"), null_id).alias("component_id"))
+        "doc_id", "n_shingles",
+        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+        .alias("component_id"))
+
+
+def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of each component the row with the least id, of several the one whose digest is least; rows
+    without an id come last. Rows without words stay, but for copies in every column."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    digest = F.unhex(F.sha2(F.to_json(whole), 256))
+    keys, classes = _grouped(documents, key, text, digest)
+    kept = _firsts(classes).select("first.tie").union(
+        keys.where("n_shingles = 0").select("tie"))
+    # The digest stands for the whole row, its id included.
+    return documents.select(whole.alias("row"), digest.alias("tie")).dropDuplicates(["tie"]) \
+        .join(kept.distinct(), "tie", "left_semi").select("row.*")

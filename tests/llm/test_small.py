@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from skyledger.llm import (ann, bpe, chat, line_dedup, mixing, ngram_join, substring_dedup, tables,
                            toxicity, url_filter, winnowing)
 
@@ -191,6 +192,26 @@ def test_ngram_join(session, corpus):
     assert len(set(least.values())) < len(least) - 3
 
 
+def test_rows_without_an_id_or_with_a_repeated_one_link_by_their_texts(session):
+    rng = np.random.default_rng(5)
+    base = [" ".join(f"w{x}" for x in rng.integers(0, 400, 60)) for _ in range(8)]
+    near = [b + " end" for b in base]
+    rows = [(None, base[0], "a"), (None, base[1], "b"), (None, near[1], "c"), (1, base[2], "d"),
+            (None, near[2], "e"), (7, base[3], "f"), (7, base[4], "g"), (7, base[4], "g"),
+            (5, near[4], "h"), (9, base[5], "i"), (8, base[5], "j"), (2, base[6], "k"),
+            (None, None, "l"), (None, "", "m"), (3, " ", "n"), (3, " ", "n"), (None, base[0], "a")]
+    docs = session.createDataFrame(rows, "doc_id long, text string, kept_id string").repartition(3)
+    ids = sorted(((r.doc_id, r.component_id)
+                  for r in ngram_join.near_duplicates(docs).collect()), key=repr)
+    assert ids == sorted([(None, None)] * 6 + [(None, 1), (1, 1), (7, 7), (7, 5), (7, 5), (5, 5),
+                                               (9, 8), (8, 8), (2, 2), (3, 3), (3, 3)], key=repr)
+    left = corpus_pipeline.drop_near_duplicates(session, docs, "")
+    assert left.columns == docs.columns
+    marks = [r.kept_id for r in left.collect()]
+    assert len([m for m in marks if m in "bc"]) == 1
+    assert sorted(m for m in marks if m not in "bc") == list("adfhjklmn")
+
+
 def test_prefix_tree_against_all_pairs():
     rng = np.random.default_rng(0)
     for _ in range(60):
