@@ -4,13 +4,14 @@ The features of a text are densities of a lexicon, nearness of its words to the
 capitals, punctuation and obfuscation. The lexicon (words, and beginnings of words, as many
 languages inflect) is learned from training labels, as are trees and calibration; all three from
 a sample of at most ``POSITIVES`` + ``NEGATIVES`` labelled documents, chosen by a hash of their
-id. A quarter of the sample, again by hash, is left out of lexicon and trees and calibrates them.
-Every document is scored, over its whole text.
+id. A quarter of the sample, again by hash, is left out of lexicon and trees and calibrates them,
+each row with the weight of the labels of its kind that it stands for, so that scores follow the
+rate of all usable labels and not that of the sample. Every document is scored, over its whole text.
 
 Null and empty texts have features of zero and a score like others. Labels that are null or
 neither 0 nor 1 are not used; repeated ids are scored row by row. Without labels of both kinds
-there is nothing to learn: every score is then the share of positives in the sample (0 if there
-is none). Further columns are not read.
+there is nothing to learn: every score is then the share of positives, weighted likewise (0 if
+there is none). Further columns are not read.
 """
 
 from __future__ import annotations
@@ -172,15 +173,20 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sampled(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, label, calibrates: the bounded sample that everything is learned from."""
+    """doc_id, text, label, weight, calibrates: the bounded sample that everything is learned from.
+
+    ``weight`` is the number of usable labels of the same kind for each one that was drawn.
+    """
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).where(
         "doc_id is not null and label in (0, 1)").where(~held_out(F.col("doc_id")))
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     picked = [known.where(F.col("label") == label)
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+              .withColumn("weight", F.lit(max(counts.get(label, 0) / most, 1.0)))
               for label, most in ((1, POSITIVES), (0, NEGATIVES))]
     chosen = picked[0].union(picked[1]).dropDuplicates(["doc_id"])
     return stored(documents.join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", "text", "label",
+        "doc_id", "text", "label", "weight",
         (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)) == 0).alias("calibrates")),
         "toxic-sample")
 
@@ -220,16 +226,17 @@ class Model:
 
 def fitted(documents: DataFrame, labels: DataFrame) -> Model:
     sample = sampled(documents, labels)
-    counts = {(r["label"], r["calibrates"]): r["count"]
-              for r in sample.groupBy("label", "calibrates").count().collect()}
-    both = sum(counts.values())
-    share = sum(c for (label, _), c in counts.items() if label) / both if both else 0.0
+    parts = sample.groupBy("label", "calibrates").agg(
+        F.count("*").alias("rows"), F.sum("weight").alias("weight")).collect()
+    counts = {(r["label"], r["calibrates"]): r["rows"] for r in parts}
+    both = sum(r["weight"] for r in parts)
+    share = sum(r["weight"] for r in parts if r["label"]) / both if both else 0.0
     positives, negatives = (counts.get((label, False), 0) for label in (1, 0))
     if not positives or not negatives:
         return Model({}, None, None, share)
     training = sample.where(~F.col("calibrates"))
     lexicon = learned_lexicon(training, positives, negatives)
-    made = stored(with_features(sample, lexicon, ["doc_id", "label", "calibrates"])
+    made = stored(with_features(sample, lexicon, ["doc_id", "label", "weight", "calibrates"])
                   .select("kept.*", "features").orderBy("doc_id", "label").coalesce(4),
                   "toxic-features")
     trees = GBTClassifier(labelCol="label", maxDepth=4, maxIter=20, stepSize=0.3, seed=7,
@@ -239,7 +246,7 @@ def fitted(documents: DataFrame, labels: DataFrame) -> Model:
     if len({label for label, part in counts if part}) < 2:
         calibrates = made
     rated = _rated(calibrates, trees)
-    calibration = IsotonicRegression(featuresCol="raw", labelCol="label").fit(
+    calibration = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight").fit(
         rated.withColumn("label", F.col("label").cast("double")))
     return Model(lexicon, trees, calibration, share)
 

@@ -287,3 +287,16 @@ def test_toxicity_learns_and_handles_missing_labels(session):
     assert all(0 <= s <= 1 for s in scores.values())
     none = toxicity.fitted(docs, marks.limit(0))
     assert {r.score for r in toxicity.scored(docs, none, ["doc_id"]).collect()} == {0.0}
+
+
+def test_toxicity_scores_follow_the_rate_of_all_labels(session, monkeypatch):
+    # One text in ten is toxic, and nothing in the texts says which.
+    docs = session.range(2000).selectExpr("id as doc_id", "'some words of a doubtful kind' as text")
+    marks = docs.selectExpr("doc_id", "int(doc_id % 10 = 0) as toxic")
+    whole = toxicity.scored(docs, toxicity.fitted(docs, marks), ["doc_id"]).first().score
+    monkeypatch.setattr(toxicity, "POSITIVES", 100)
+    monkeypatch.setattr(toxicity, "NEGATIVES", 200)
+    bounded = toxicity.fitted(docs, marks)
+    assert 0.07 < whole < 0.13
+    assert 0.07 < toxicity.scored(docs, bounded, ["doc_id"]).first().score < 0.13
+    assert 0.08 < bounded.share < 0.12
