@@ -37,9 +37,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepared(spark)
-    left = line_dedup.deduplicated(docs).where("lines = 0 or lines_left > 0")
-    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) \
-        .select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # One struct with names of its own, so that no column can clash with those of the operator.
+    rest = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)])
+    left = line_dedup.deduplicated(docs.select("doc_id", "text", rest.alias("rest"))).where(
+        "lines = 0 or lines_left > 0")
+    columns = {"doc_id": F.col("doc_id"), "text": F.col("text")} | {
+        c: F.col(f"rest.c{i}") for i, c in enumerate(others)}
+    columns["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return left.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

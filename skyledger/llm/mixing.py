@@ -165,8 +165,10 @@ def mixture(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
             source: str = "source", **settings) -> DataFrame:
     """The documents themselves, each as often as the mix takes it."""
     _, limits = mixed(documents, doc_id=doc_id, text=text, source=source, **settings)
-    limits = limits.select(F.col("source").alias("__source"), "copies", "threshold")
-    times = times_taken(hash_of(documents[doc_id])).cast("int")
-    return documents.join(limits, documents[source].eqNullSafe(F.col("__source"))).select(
-        *[documents[c] for c in documents.columns],
-        F.explode(F.array_repeat(F.lit(1), times)).alias("__copy")).drop("__copy")
+    limits = limits.select(F.col("source").alias("limit_source"), "copies", "threshold")
+    # The documents' columns go through as one, so that none can clash.
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
+                            F.col(source).alias("source"), hash_of(F.col(doc_id)).alias("hash"))
+    times = times_taken(F.col("hash")).cast("int")
+    return rows.join(limits, F.col("source").eqNullSafe(F.col("limit_source"))).select(
+        "row", F.explode(F.array_repeat(F.lit(1), times))).select("row.*")

@@ -185,7 +185,8 @@ def sampled(documents: DataFrame, labels: DataFrame) -> DataFrame:
               .withColumn("weight", F.lit(max(counts.get(label, 0) / most, 1.0)))
               for label, most in ((1, POSITIVES), (0, NEGATIVES))]
     chosen = picked[0].union(picked[1]).dropDuplicates(["doc_id"])
-    return stored(documents.join(F.broadcast(chosen), "doc_id").select(
+    texts = documents.select("doc_id", "text")
+    return stored(texts.join(F.broadcast(chosen), "doc_id").select(
         "doc_id", "text", "label", "weight",
         (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)) == 0).alias("calibrates")),
         "toxic-sample")

@@ -300,3 +300,22 @@ def test_toxicity_scores_follow_the_rate_of_all_labels(session, monkeypatch):
     assert 0.07 < whole < 0.13
     assert 0.07 < toxicity.scored(docs, bounded, ["doc_id"]).first().score < 0.13
     assert 0.08 < bounded.share < 0.12
+
+
+def test_stages_carry_columns_of_any_name(session, tmp_path):
+    rng = np.random.default_rng(4)
+    names = ["lines", "lines_left", "kept_id", "copies", "threshold", "label", "weight",
+             "calibrates", "rest", "row", "hash", "tie", "component", "limit_source", "a b"]
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 400, 30)), "s", 0, *[f"{n}{i}" for n in names])
+            for i in range(20)]
+    docs = session.createDataFrame(rows, ["doc_id", "text", "source", "n_chars", *names])
+    session.createDataFrame([(i, 0) for i in range(20)], "doc_id long, toxic int").write.parquet(
+        str(tmp_path / "labels.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(session, docs, str(tmp_path))
+        assert left.columns == docs.columns, name
+        found = left.collect()
+        assert found and all(r[n] == f"{n}{r.doc_id}" for r in found for n in names), name
+        assert {(r.doc_id, r.text) for r in found} <= {(i, t) for i, t, *_ in rows}, name
+        assert name == "mixing" or len(found) == 20, name
+        assert all(r.n_chars == (len(r.text) if name == "line_dedup" else 0) for r in found), name
