@@ -319,3 +319,35 @@ def test_stages_carry_columns_of_any_name(session, tmp_path):
         assert {(r.doc_id, r.text) for r in found} <= {(i, t) for i, t, *_ in rows}, name
         assert name == "mixing" or len(found) == 20, name
         assert all(r.n_chars == (len(r.text) if name == "line_dedup" else 0) for r in found), name
+
+
+def test_ngram_join_of_blocks_that_need_chunks(session, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CHUNK_MEMBERS", 1 << 10)
+    monkeypatch.setattr(ngram_join, "CHUNK_SETS", 4)
+    rng = np.random.default_rng(8)
+    base = [f"w{x}" for x in rng.integers(0, 400, 70)]
+    texts = []
+    for _ in range(30):
+        words = list(base)
+        for at in rng.integers(0, 70, int(rng.integers(0, 3))):
+            words[at] = f"v{rng.integers(9)}"
+        texts.append(" ".join(words[:int(rng.integers(55, 71))]))
+    docs = session.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    least = list(range(len(sets)))
+    for _ in sets:
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets):
+                if 100 * len(x & y) >= 80 * len(x | y):
+                    least[i] = min(least[i], least[j])
+    found = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()}
+    assert [found[i] for i in range(len(sets))] == least
+
+
+def test_stage_drops_documents_without_lines_left(session):
+    docs = session.createDataFrame(
+        [(0, "a b c\n", 0), (1, "c b a", 0), (2, " \n", 0), (3, None, 0), (4, "a b c\nd", 0)],
+        "doc_id long, text string, n_chars long")
+    left = corpus_pipeline.drop_repeated_lines(session, docs, "")
+    assert sorted((r.doc_id, r.text or "", r.n_chars) for r in left.collect()) == [
+        (0, "a b c\n", 6), (2, " \n", 2), (3, "", 0), (4, "d", 1)]
