@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import ann, bpe, chat, mixing, ngram_join, substring_dedup, toxicity, url_filter, winnowing
+from skyledger.llm import (ann, bpe, chat, mixing, ngram_join, substring_dedup, toxicity, url_filter,
+                           vector_codes, winnowing)
 from skyledger.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +106,14 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = vector_codes.compressed(
+        table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    return vector_codes.with_errors(codes).select(
+        "vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error",
+        F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
@@ -248,9 +257,54 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
 FROM words LEFT JOIN kept USING (line)
 """
 
+_CODES_ASSIGNED = """
+nearest{turn} AS MATERIALIZED (
+    SELECT vec_id, label, p, x, min(key) % 64 AS e, min(key) // 64 AS d FROM (
+        SELECT v.*, c.e + 64 * list_sum(list_transform(list_zip(v.x, c.x),
+                   lambda t: (t[1] - t[2]) * (t[1] - t[2]))) AS key
+        FROM cut v JOIN book{turn} c ON v.p = c.p
+    ) GROUP BY vec_id, label, p, x
+)"""
+
+_CODES_MOVED = """
+book{after} AS MATERIALIZED (
+    SELECT p, e, coalesce(mean, x) AS x FROM book{turn} LEFT JOIN (
+        SELECT p, e, list((total - ((total % n) + n) % n) // n ORDER BY i) AS mean FROM (
+            SELECT p, e, i, sum(x[i]) AS total, count(*) AS n
+            FROM nearest{turn}, generate_series(1, (SELECT any_value(len(x)) FROM cut)) s(i)
+            GROUP BY p, e, i
+        ) GROUP BY p, e
+    ) USING (p, e)
+)"""
+
+_CODES_SQL = """
+WITH whole AS MATERIALIZED (
+    SELECT vec_id, label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    FROM embeddings WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS MATERIALIZED (
+    SELECT vec_id, label, p, list_slice(q, p * (len(q) // 16) + 1, (p + 1) * (len(q) // 16)) AS x
+    FROM whole, generate_series(0, 15) s(p)
+), book0 AS MATERIALIZED (
+    SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM cut
+    QUALIFY e < 64
+), """ + ", ".join(_CODES_ASSIGNED.format(turn=turn) + ("," + _CODES_MOVED.format(turn=turn, after=turn + 1)
+                                                        if turn < 2 else "")
+                   for turn in range(3)) + """, coded AS (
+    SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code,
+           CAST(sum(d) AS BIGINT) AS error
+    FROM nearest2 GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM book2)
+           AS codebooks_sha256
+FROM coded
+"""
+
 
 def oracles() -> dict[str, str]:
     """SQL where it can express an operator; the others are tested against brute force."""
     return {"op3_chat": _CHAT_SQL, "op6_url_filter": _URL_SQL, "op8_mixing": _MIXING_SQL,
             "op9_substring_dedup": _SUBSTRING_SQL,
-            "op10_ngram_join": _NGRAM_SQL}
+            "op10_ngram_join": _NGRAM_SQL, "op12_vector_codes": _CODES_SQL}
