@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import (ann, bpe, chat, mixing, ngram_join, substring_dedup, toxicity, url_filter,
-                           vector_codes, winnowing)
+from skyledger.llm import (ann, bpe, chat, mixing, ngram_join, simhash_trees, substring_dedup,
+                           toxicity, url_filter, vector_codes, winnowing)
 from skyledger.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +114,12 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(codes.digest()).alias("codebooks_sha256"))
 
 
+def op13_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_trees.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+        "component_id")
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
