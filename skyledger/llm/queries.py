@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import (ann, bpe, chat, mixing, ngram_join, simhash_trees, substring_dedup,
-                           toxicity, url_filter, vector_codes, winnowing)
+from skyledger.llm import (ann, bpe, chat, mixing, ngram_join, simhash_trees, source_divergence,
+                           substring_dedup, toxicity, url_filter, vector_codes, winnowing)
 from skyledger.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +106,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audited(table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = vector_codes.compressed(
         table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
@@ -263,6 +267,51 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
 FROM words LEFT JOIN kept USING (line)
 """
 
+_DIVERGENCE_SQL = r"""
+WITH documents0 AS (
+    SELECT row_number() OVER () AS line, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), counts AS MATERIALIZED (
+    SELECT line, lang, source, term, count(*) AS n
+    FROM (SELECT line, lang, source, unnest(terms) AS term FROM documents0) GROUP BY ALL
+), kept AS MATERIALIZED (
+    SELECT lang, term, sum(n) AS lang_n FROM counts GROUP BY ALL HAVING count(*) >= 10
+), langs AS (
+    SELECT lang, sum(lang_n) AS lang_total, count(*) AS v FROM kept GROUP BY lang
+), sums AS MATERIALIZED (
+    SELECT lang, source, term, sum(n) AS n FROM counts JOIN kept USING (lang, term) GROUP BY ALL
+), totals AS (
+    SELECT lang, source, sum(n) AS total FROM sums GROUP BY ALL
+), shares AS MATERIALIZED (
+    SELECT lang, source, term, coalesce(n, 0) AS n,
+           1 + 1000000000 * (coalesce(n, 0)::HUGEINT + 2) // (coalesce(total, 0) + 2 * v) AS p,
+           1 + 1000000000 * (lang_n::HUGEINT + 2) // (lang_total + 2 * v) AS q
+    FROM (SELECT DISTINCT lang, source FROM documents0) JOIN kept USING (lang)
+    JOIN langs USING (lang)
+    LEFT JOIN totals USING (lang, source) LEFT JOIN sums USING (lang, source, term)
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item,
+           coalesce((SELECT sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) FROM shares x JOIN shares y
+                     ON x.lang = y.lang AND x.term = y.term
+                     WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)
+               AS value
+    FROM (SELECT DISTINCT lang, source FROM documents0) a
+    JOIN (SELECT DISTINCT lang, source FROM documents0) b
+        ON a.lang = b.lang AND a.source <> b.source
+), found AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares
+    WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT)
+           AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 10
+"""
+
 _CODES_ASSIGNED = """
 nearest{turn} AS MATERIALIZED (
     SELECT vec_id, label, p, x, min(key) % 64 AS e, min(key) // 64 AS d FROM (
@@ -313,4 +362,5 @@ def oracles() -> dict[str, str]:
     """SQL where it can express an operator; the others are tested against brute force."""
     return {"op3_chat": _CHAT_SQL, "op6_url_filter": _URL_SQL, "op8_mixing": _MIXING_SQL,
             "op9_substring_dedup": _SUBSTRING_SQL,
-            "op10_ngram_join": _NGRAM_SQL, "op12_vector_codes": _CODES_SQL}
+            "op10_ngram_join": _NGRAM_SQL, "op11_source_divergence": _DIVERGENCE_SQL,
+            "op12_vector_codes": _CODES_SQL}
