@@ -8,9 +8,10 @@ one that a group of documents has ``count`` times among N has p = 1 + floor(10^9
 1. CountVectorizer with minDF and the largest integer as vocabSize finds the terms of every language
    and gives each document an exact sparse vector of counts. One fit serves all languages, since a
    term carries its language in front and so is counted among documents of its own; another language
-   costs no other pass. The vocabulary goes through the driver, as always with this method:
-   if more than ``VOCABULARY`` different terms are estimated, the terms are dealt by hash to
-   several vectorizers, one after the other, so that what the driver holds stays bounded.
+   costs no other pass. Texts are split once and their terms stored. The vocabulary goes through
+   the driver, as always with this method: one term in 256, picked by hash and counted in all
+   documents, tells how many are kept, and if there are more than ``VOCABULARY``, terms are dealt by
+   hash to several vectorizers, one after the other, so that what the driver holds stays bounded.
 2. The vectors of a group (language, source) are summed entry by entry in Spark, only entries
    that occur; sums of all groups of a language are those of the language.
 3. Pairs of sources are evaluated on those sparse sums. A term that neither source has adds the same
@@ -25,34 +26,105 @@ of 0. Very long texts are split like others. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from skyledger.llm.tables import prepared, stored
+from skyledger.llm.words import Words, slices, text_bytes
 
 MIN_DOCUMENTS, TOP = 10, 10
 VOCABULARY = 1 << 20
+#: One term in 2 ** 8 tells how many there are.
+_DRAWN_BITS = 8
 SLICE_TERMS, BLOCK_SOURCES = 2048, 128
 
-_BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Bytes between terms, all ASCII but the letters; those of other characters are parts of terms.
+_BETWEEN = np.arange(256) < 0x80
+_BETWEEN[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = False
+
+
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text"):
+            words = Words(*text_bytes(part.column(2)), lower=True, between=_BETWEEN)
+            sizes = words.ends - words.starts
+            inside = np.zeros(len(words.raw) + 1, dtype=np.int8)
+            inside[words.starts] = 1
+            inside[words.ends] -= 1
+            raw = words.raw[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
+            stops = np.concatenate(([0], np.cumsum(sizes)))
+            terms = pa.LargeStringArray.from_buffers(
+                len(words), pa.py_buffer(stops.tobytes()), pa.py_buffer(raw.tobytes()))
+            text = np.repeat(np.arange(part.num_rows), words.text_ends - words.text_starts)
+            langs = part.column(0).cast(pa.large_string()).take(pa.array(text))
+            named = pc.binary_join_element_wise(
+                langs, terms, pa.scalar(" ", pa.large_string())).cast(pa.string())
+            drawn = words.hashes() >> np.uint64(64 - _DRAWN_BITS) == 0
+            ends = np.concatenate(([0], words.text_ends))
+            few = np.concatenate(([0], np.cumsum(drawn)))[ends]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), named),
+                 pa.ListArray.from_arrays(pa.array(few, pa.int32()), named.filter(pa.array(drawn)))],
+                names=["lang", "source", "terms", "drawn"])
 
 
 def _terms(documents: DataFrame, text: str, lang: str, source: str) -> DataFrame:
-    """lang, source, terms: each term behind its language and a space, which no term holds."""
-    words = F.array_remove(F.split(F.translate(F.coalesce(F.col(text), F.lit("")), _UPPER, _LOWER),
-                                   _BETWEEN), "")
+    """lang, source, terms: each term behind its language and a space, which no term holds; drawn:
+    those terms that a hash picks from all."""
     named = documents.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"),
                              F.coalesce(F.col(source), F.lit("")).alias("source"),
-                             words.alias("words"))
-    return named.select("lang", "source", F.transform(
-        "words", lambda word: F.concat("lang", F.lit(" "), word)).alias("terms"))
+                             F.col(text).alias("text"))
+    return named.mapInArrow(
+        _split, "lang string, source string, terms array<string>, drawn array<string>")
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the vectors of each group in a task: one row for each entry that occurs."""
+    groups: dict[tuple, int] = {}
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def combined() -> tuple[np.ndarray, np.ndarray]:
+        keys, place = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        sums = np.zeros(len(keys), dtype=np.int64)
+        np.add.at(sums, place, np.concatenate([n for _, n in held]))
+        return keys, sums
+
+    def rows() -> pa.RecordBatch:
+        keys, sums = combined()
+        names = [list(x) for x in zip(*groups, strict=True)]
+        group = pa.array(keys >> 31)
+        out = [pa.array(x, pa.string()).take(group) for x in names]
+        return pa.RecordBatch.from_arrays(
+            [*out, pa.array((keys & 0x7FFFFFFF).astype(np.int32)), pa.array(sums)],
+            names=["lang", "source", "entry", "n"])
+
+    for batch in batches:
+        lang, source, vector = batch.columns
+        indices, values = vector.field("indices"), vector.field("values")
+        group = np.array([groups.setdefault(pair, len(groups)) for pair in zip(
+            lang.to_pylist(), source.to_pylist(), strict=True)], dtype=np.int64)
+        sizes = indices.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        keys = (np.repeat(group, sizes) << 31) | indices.flatten().to_numpy()
+        if len(keys):
+            # Counts are whole doubles; as longs their sums stay exact beyond 2 ** 53, too.
+            held.append((keys, values.flatten().to_numpy().astype(np.int64)))
+        if sum(len(k) for k, _ in held) > 1 << 22:
+            held = [combined()]
+            if len(held[0][0]) > 1 << 21:
+                # Too many entries to hold any longer.
+                yield rows()
+                held, groups = [], {}
+    if held:
+        yield rows()
 
 
 def _vector_sums(terms: DataFrame, least: int) -> DataFrame:
@@ -61,11 +133,9 @@ def _vector_sums(terms: DataFrame, least: int) -> DataFrame:
                             vocabSize=(1 << 31) - 1).fit(terms)
     spark = terms.sparkSession
     names = spark.createDataFrame(list(enumerate(model.vocabulary)), "entry int, name string")
-    vector = F.unwrap_udt("vector")
-    entries = model.transform(terms).select("lang", "source", F.inline(F.arrays_zip(
-        vector["indices"].alias("entry"), vector["values"].alias("times"))))
-    # Counts are whole doubles; as longs their sums stay exact beyond 2 ** 53, too.
-    sums = entries.groupBy("lang", "source", "entry").agg(F.sum(F.col("times").cast("long")).alias("n"))
+    sums = (model.transform(terms).select("lang", "source", F.unwrap_udt("vector").alias("vector"))
+            .mapInArrow(_summed, "lang string, source string, entry int, n long")
+            .groupBy("lang", "source", "entry").agg(F.sum("n").alias("n")))
     term = F.expr("substr(name, length(lang) + 2)")
     return sums.join(names, "entry").select("lang", "source", term.alias("term"), "n")
 
@@ -73,10 +143,10 @@ def _vector_sums(terms: DataFrame, least: int) -> DataFrame:
 def group_sums(documents: DataFrame, least: int = MIN_DOCUMENTS, text: str = "text",
                lang: str = "lang", source: str = "source") -> DataFrame:
     """lang, source, term, n: how often a source has each kept term that it has."""
-    terms = _terms(documents, text, lang, source)
-    different = terms.select(F.explode("terms").alias("term")).agg(
-        F.approx_count_distinct("term")).first()[0]
-    parts = max(1, -(-different // VOCABULARY))
+    terms = stored(_terms(documents, text, lang, source), "divergence-terms")
+    drawn = (terms.select(F.explode(F.array_distinct("drawn")).alias("term"))
+             .groupBy("term").count().where(F.col("count") >= least).count())
+    parts = max(1, -(-(drawn << _DRAWN_BITS) // VOCABULARY))
     if parts == 1:
         return _vector_sums(terms, least)
     return reduce(DataFrame.union, [

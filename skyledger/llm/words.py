@@ -57,12 +57,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """All words of a batch of texts: byte ranges, the text of each, and 64-bit hashes.
 
-    ``text_ends[i]`` is the number of words up to the end of text ``i``.
+    ``text_ends[i]`` is the number of words up to the end of text ``i``. ``between`` marks the bytes
+    that stand between words, if others than space and U+0009 to U+000D.
     """
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, lower: bool = False,
+                 between: np.ndarray = _SPACE):
         self.raw = _LOWER[raw] if lower else raw
-        inside = ~_SPACE[raw]
+        inside = ~between[raw]
         first = np.zeros(len(raw) + 1, dtype=bool)
         first[offsets[offsets < len(raw)]] = True
         starts = inside.copy()
