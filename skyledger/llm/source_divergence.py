@@ -12,8 +12,9 @@ one that a group of documents has ``count`` times among N has p = 1 + floor(10^9
    the driver, as always with this method: one term in 256, picked by hash and counted in all
    documents, tells how many are kept, and if there are more than ``VOCABULARY``, terms are dealt by
    hash to several vectorizers, one after the other, so that what the driver holds stays bounded.
-2. The vectors of a group (language, source) are summed entry by entry in Spark, only entries
-   that occur; sums of all groups of a language are those of the language.
+2. The vectors of a group (language, source) are summed entry by entry, only entries that occur:
+   within each task, and then over tasks by blocks of ``BLOCK_ENTRIES`` entries, however large the
+   group. Sums of all groups of a language are those of the language.
 3. Pairs of sources are evaluated on those sparse sums. A term that neither source has adds the same
    to each pair, so that only terms of one of them or of both are visited. Terms are dealt by hash to
    slices of about ``SLICE_TERMS``, sources to blocks of ``BLOCK_SOURCES``; a task has two blocks in one
@@ -37,11 +38,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from skyledger.llm.tables import prepared, stored
+from skyledger.llm.tables import partitions, prepared, stored
 from skyledger.llm.words import Words, slices, text_bytes
 
 MIN_DOCUMENTS, TOP = 10, 10
 VOCABULARY = 1 << 20
+BLOCK_ENTRIES = 4096
 #: One term in 2 ** 8 tells how many there are.
 _DRAWN_BITS = 8
 SLICE_TERMS, BLOCK_SOURCES = 2048, 128
@@ -87,8 +89,9 @@ def _terms(documents: DataFrame, text: str, lang: str, source: str) -> DataFrame
         _split, "lang string, source string, terms array<string>, drawn array<string>")
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the vectors of each group in a task: one row for each entry that occurs."""
+def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the vectors of each group in a task: a row for each block of entries, in which the
+    entries that occur stand."""
     groups: dict[tuple, int] = {}
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -100,12 +103,17 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows() -> pa.RecordBatch:
         keys, sums = combined()
-        names = [list(x) for x in zip(*groups, strict=True)]
-        group = pa.array(keys >> 31)
-        out = [pa.array(x, pa.string()).take(group) for x in names]
+        cuts = np.flatnonzero(np.concatenate(([True], np.diff(keys // BLOCK_ENTRIES) > 0, [True])))
+        block = keys[cuts[:-1]] // BLOCK_ENTRIES
+        per_group = (1 << 31) // BLOCK_ENTRIES
+        group = pa.array(block // per_group)
+        offsets = pa.array(cuts, pa.int32())
         return pa.RecordBatch.from_arrays(
-            [*out, pa.array((keys & 0x7FFFFFFF).astype(np.int32)), pa.array(sums)],
-            names=["lang", "source", "entry", "n"])
+            [*[pa.array(list(x), pa.string()).take(group) for x in zip(*groups, strict=True)],
+             pa.array(block % per_group),
+             pa.ListArray.from_arrays(offsets, pa.array(keys % BLOCK_ENTRIES, pa.int32())),
+             pa.ListArray.from_arrays(offsets, pa.array(sums))],
+            names=["lang", "source", "block", "entries", "sums"])
 
     for batch in batches:
         lang, source, vector = batch.columns
@@ -127,32 +135,62 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
-def _vector_sums(terms: DataFrame, least: int) -> DataFrame:
-    """lang, source, term, n: exact sums of the documents' sparse vectors, entries that occur."""
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries and sums over the rows of each block, which follow one another."""
+    key, total = None, np.zeros(BLOCK_ENTRIES, dtype=np.int64)
+
+    def rows() -> pa.RecordBatch:
+        at = np.flatnonzero(total)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([key[0]] * len(at), pa.string()), pa.array([key[1]] * len(at), pa.string()),
+             pa.array(key[2] * BLOCK_ENTRIES + at), pa.array(total[at])],
+            names=["lang", "source", "entry", "n"])
+
+    for batch in batches:
+        entries, sums = batch.column(3), batch.column(4)
+        for i, own in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)):
+            if own != key:
+                if key is not None:
+                    yield rows()
+                key = own
+                total[:] = 0
+            total[entries[i].values.to_numpy()] += sums[i].values.to_numpy()
+    if key is not None:
+        yield rows()
+
+
+def _vector_sums(terms: DataFrame, least: int, part: int) -> tuple[DataFrame, DataFrame]:
+    """(lang, source, entry, n: exact sums of the documents' sparse vectors, entries that occur;
+    entry, term: what the entries are)."""
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least),
                             vocabSize=(1 << 31) - 1).fit(terms)
     spark = terms.sparkSession
-    names = spark.createDataFrame(list(enumerate(model.vocabulary)), "entry int, name string")
-    sums = (model.transform(terms).select("lang", "source", F.unwrap_udt("vector").alias("vector"))
-            .mapInArrow(_summed, "lang string, source string, entry int, n long")
-            .groupBy("lang", "source", "entry").agg(F.sum("n").alias("n")))
-    term = F.expr("substr(name, length(lang) + 2)")
-    return sums.join(names, "entry").select("lang", "source", term.alias("term"), "n")
+    vectors = model.transform(terms).select("lang", "source", F.unwrap_udt("vector").alias("vector"))
+    key = ["lang", "source", "block"]
+    sums = (vectors.mapInArrow(_partial_sums, "lang string, source string, block long, "
+                               "entries array<int>, sums array<long>")
+            .repartition(partitions(spark), *key).sortWithinPartitions(*key)
+            .mapInArrow(_merged, "lang string, source string, entry long, n long"))
+    names = spark.createDataFrame(
+        [(i, name.rpartition(" ")[2]) for i, name in enumerate(model.vocabulary)],
+        "entry long, term string")
+    # Each vectorizer numbers its own entries.
+    own = F.col("entry") + (part << 31)
+    return sums.withColumn("entry", own), names.withColumn("entry", own)
 
 
 def group_sums(documents: DataFrame, least: int = MIN_DOCUMENTS, text: str = "text",
-               lang: str = "lang", source: str = "source") -> DataFrame:
-    """lang, source, term, n: how often a source has each kept term that it has."""
+               lang: str = "lang", source: str = "source") -> tuple[DataFrame, DataFrame]:
+    """lang, source, entry, n: how often a source has each kept term that it has; and entry, term.
+    An entry belongs to one language."""
     terms = stored(_terms(documents, text, lang, source), "divergence-terms")
     drawn = (terms.select(F.explode(F.array_distinct("drawn")).alias("term"))
              .groupBy("term").count().where(F.col("count") >= least).count())
     parts = max(1, -(-(drawn << _DRAWN_BITS) // VOCABULARY))
-    if parts == 1:
-        return _vector_sums(terms, least)
-    return reduce(DataFrame.union, [
-        _vector_sums(terms.withColumn("terms", F.filter(
-            "terms", lambda term: F.pmod(F.xxhash64(term), F.lit(parts)) == part)), least)  # noqa: B023
-        for part in range(parts)])
+    found = [_vector_sums(terms if parts == 1 else terms.withColumn("terms", F.filter(
+        "terms", lambda term: F.pmod(F.xxhash64(term), F.lit(parts)) == part)), least, part)  # noqa: B023
+             for part in range(parts)]
+    return tuple(reduce(DataFrame.union, frames) for frames in zip(*found, strict=True))
 
 
 def _share(count: Column | int, total: str, terms: str) -> Column:
@@ -187,7 +225,7 @@ def slice_sums(left: tuple, right: tuple) -> np.ndarray:
     """For each source of one block and each of another, the differences over the terms of a slice
     that either has, less what a term that both lack would add.
 
-    A block is (p of an absent term by source, place of the source, term and p by row).
+    A block is (p of an absent term by source, place of the source, entry and p by row).
     """
     (absent_l, at_l, term_l, p_l), (absent_r, at_r, term_r, p_r) = left, right
     total = np.zeros((len(absent_l), len(absent_r)), dtype=np.int64)
@@ -213,9 +251,8 @@ def slice_sums(left: tuple, right: tuple) -> np.ndarray:
 
 
 def _block(rows: pa.Table, first: int) -> tuple:
-    """Sources of a block in order, and the rows of its terms; rows without a term name sources."""
-    number, p, absent = (rows[c].to_numpy() for c in ("number", "p", "absent"))
-    term = rows["code"].to_numpy()
+    """Sources of a block in order, and the rows of its terms; those of entry -1 name sources."""
+    number, p, absent, term = (rows[c].to_numpy() for c in ("number", "p", "absent", "entry"))
     low, high = np.searchsorted(number, [first, first + BLOCK_SOURCES])
     number, p, absent, term = (x[low:high] for x in (number, p, absent, term))
     sources, place = np.unique(number, return_inverse=True)
@@ -227,9 +264,7 @@ def _block(rows: pa.Table, first: int) -> tuple:
 
 def _pair_sums(key: tuple, rows: pa.Table) -> pa.Table:
     lang, _, i, j = (k.as_py() for k in key)
-    coded = rows["term"].combine_chunks().dictionary_encode()
-    coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
-    rows = rows.append_column("code", coded.indices.fill_null(-1)).sort_by("number")
+    rows = rows.sort_by("number")
     (left, own), (right, other) = (_block(rows, b * BLOCK_SOURCES) for b in (i, j))
     total = slice_sums(own, other)
     a, b = np.nonzero(left[:, None] < right[None])
@@ -241,16 +276,16 @@ def _pairs(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """lang, source, item, value for each two sources of a language, in both orders."""
     # Every source stands in every slice, if without a term.
     present = groups.where("v > 0").select(
-        "lang", "number", "blocks", "absent", F.lit(None).cast("string").alias("term"),
+        "lang", "number", "blocks", "absent", F.lit(-1).cast("long").alias("entry"),
         F.lit(0).cast("long").alias("p"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
-    with_slice = rows.select("lang", "number", "blocks", "absent", "term", "p", F.pmod(
-        F.xxhash64("term"), F.col("slices")).alias("slice"))
+    with_slice = rows.select("lang", "number", "blocks", "absent", "entry", "p", F.pmod(
+        F.xxhash64("entry"), F.col("slices")).alias("slice"))
     own = F.expr(f"number div {BLOCK_SOURCES}")
     sent = with_slice.unionByName(present).withColumn("other", F.explode(F.sequence(
         F.lit(0).cast("long"), F.col("blocks") - 1))).select(
             "lang", "slice", F.least(own, "other").alias("i"), F.greatest(own, "other").alias("j"),
-            "number", "absent", "term", "p")
+            "number", "absent", "entry", "p")
     sums = (sent.groupBy("lang", "slice", "i", "j")
             .applyInArrow(_pair_sums, "lang string, a long, b long, value long")
             .groupBy("lang", "a", "b").agg(F.sum("value").alias("value")))
@@ -272,8 +307,10 @@ def audited(documents: DataFrame, least: int = MIN_DOCUMENTS, top: int = TOP, te
     """lang, source, part, item, value, rank: how far each other source of the language is (part
     ``pair``), and the terms in which a source exceeds its language most (part ``term``)."""
     prepared(documents.sparkSession)
-    sums = stored(group_sums(documents, least, text, lang, source), "divergence-sums")
-    by_lang = sums.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
+    sums, terms = group_sums(documents, least, text, lang, source)
+    sums = stored(sums, "divergence-sums")
+    by_lang = stored(sums.groupBy("lang", "entry").agg(F.sum("n").alias("lang_n")),
+                     "divergence-langs")
     langs = by_lang.groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count("*").alias("v"))
     totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     names = documents.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"),
@@ -292,11 +329,15 @@ def audited(documents: DataFrame, least: int = MIN_DOCUMENTS, top: int = TOP, te
     pair = _pairs(rows, groups).withColumn("part", F.lit("pair"))
     order = W.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pair = pair.withColumn("rank", F.row_number().over(order))
-    term = (rows.select("lang", "source", "term", "p").join(
-                by_lang.join(langs, "lang").select("lang", "term", _share(
-                    F.col("lang_n"), "lang_total", "v").alias("q")), ["lang", "term"])
-            .where("p > q").select("lang", "source", F.lit("term").alias("part"),
-                                   F.col("term").alias("item"), _difference("p", "q").alias("value"))
+    shares = by_lang.join(langs, "lang").select("entry", _share(
+        F.col("lang_n"), "lang_total", "v").alias("q"))
+    ahead = (rows.select("lang", "source", "entry", "p").join(shares, "entry").where("p > q")
+             .withColumn("value", _difference("p", "q"))
+             # Equal values stay together until their terms are there to tell them apart.
+             .withColumn("rank", F.rank().over(W.partitionBy("lang", "source").orderBy(
+                 F.desc("value")))).where(F.col("rank") <= top))
+    term = (ahead.join(terms, "entry").select("lang", "source", F.lit("term").alias("part"),
+                                              F.col("term").alias("item"), "value")
             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top))
     columns = ["lang", "source", "part", "item", "value", "rank"]
     return pair.select(*columns).union(term.select(*columns))
