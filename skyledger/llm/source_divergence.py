@@ -179,6 +179,11 @@ def _vector_sums(terms: DataFrame, least: int, part: int) -> tuple[DataFrame, Da
     return sums.withColumn("entry", own), names.withColumn("entry", own)
 
 
+def _vectorizers(drawn: int) -> int:
+    """How many share the terms, if ``drawn`` of them were picked and are kept."""
+    return max(1, -(-(drawn << _DRAWN_BITS) // VOCABULARY))
+
+
 def group_sums(documents: DataFrame, least: int = MIN_DOCUMENTS, text: str = "text",
                lang: str = "lang", source: str = "source") -> tuple[DataFrame, DataFrame]:
     """lang, source, entry, n: how often a source has each kept term that it has; and entry, term.
@@ -186,7 +191,7 @@ def group_sums(documents: DataFrame, least: int = MIN_DOCUMENTS, text: str = "te
     terms = stored(_terms(documents, text, lang, source), "divergence-terms")
     drawn = (terms.select(F.explode(F.array_distinct("drawn")).alias("term"))
              .groupBy("term").count().where(F.col("count") >= least).count())
-    parts = max(1, -(-(drawn << _DRAWN_BITS) // VOCABULARY))
+    parts = _vectorizers(drawn)
     found = [_vector_sums(terms if parts == 1 else terms.withColumn("terms", F.filter(
         "terms", lambda term: F.pmod(F.xxhash64(term), F.lit(parts)) == part)), least, part)  # noqa: B023
              for part in range(parts)]
@@ -250,10 +255,10 @@ def slice_sums(left: tuple, right: tuple) -> np.ndarray:
     return total
 
 
-def _block(rows: pa.Table, first: int) -> tuple:
+def _block(rows: pa.Table, first: int, size: int) -> tuple:
     """Sources of a block in order, and the rows of its terms; those of entry -1 name sources."""
     number, p, absent, term = (rows[c].to_numpy() for c in ("number", "p", "absent", "entry"))
-    low, high = np.searchsorted(number, [first, first + BLOCK_SOURCES])
+    low, high = np.searchsorted(number, [first, first + size])
     number, p, absent, term = (x[low:high] for x in (number, p, absent, term))
     sources, place = np.unique(number, return_inverse=True)
     of = np.zeros(len(sources), dtype=np.int64)
@@ -262,14 +267,19 @@ def _block(rows: pa.Table, first: int) -> tuple:
     return sources, (of, place[has], term[has], p[has])
 
 
-def _pair_sums(key: tuple, rows: pa.Table) -> pa.Table:
-    lang, _, i, j = (k.as_py() for k in key)
-    rows = rows.sort_by("number")
-    (left, own), (right, other) = (_block(rows, b * BLOCK_SOURCES) for b in (i, j))
-    total = slice_sums(own, other)
-    a, b = np.nonzero(left[:, None] < right[None])
-    return pa.table({"lang": pa.array([lang] * len(a), pa.string()), "a": left[a].astype(np.int64),
-                     "b": right[b].astype(np.int64), "value": total[a, b]})
+def _pair_sums(size: int):
+    """For a language, a slice of its terms and two blocks of ``size`` sources: a row a pair."""
+    def summed(key: tuple, rows: pa.Table) -> pa.Table:
+        lang, _, i, j = (k.as_py() for k in key)
+        rows = rows.sort_by("number")
+        (left, own), (right, other) = (_block(rows, b * size, size) for b in (i, j))
+        total = slice_sums(own, other)
+        a, b = np.nonzero(left[:, None] < right[None])
+        return pa.table({"lang": pa.array([lang] * len(a), pa.string()),
+                         "a": left[a].astype(np.int64), "b": right[b].astype(np.int64),
+                         "value": total[a, b]})
+
+    return summed
 
 
 def _pairs(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -287,7 +297,7 @@ def _pairs(rows: DataFrame, groups: DataFrame) -> DataFrame:
             "lang", "slice", F.least(own, "other").alias("i"), F.greatest(own, "other").alias("j"),
             "number", "absent", "entry", "p")
     sums = (sent.groupBy("lang", "slice", "i", "j")
-            .applyInArrow(_pair_sums, "lang string, a long, b long, value long")
+            .applyInArrow(_pair_sums(BLOCK_SOURCES), "lang string, a long, b long, value long")
             .groupBy("lang", "a", "b").agg(F.sum("value").alias("value")))
     one = groups.select("lang", "v", F.col("number").alias("a"), F.col("source").alias("source_a"),
                         F.col("absent").alias("p0"))
