@@ -6,8 +6,9 @@ has a set of Jaccard similarity 0.8 or more; it is judged on the input, so that
 still removes later ones. Lines without words stay.
 
 1. Lines with equal sets are one class; only its first line can stay.
-2. Words are counted in all lines. Each class orders its words by rarity; similar sets share one
-   of their first n - ceil(0.8 n) + 1 words (prefix filter). Where two classes meet at a word,
+2. Words are counted in all lines, by 32 bits of a hash, and go back to the buckets that have them
+   with a byte that says how rare each is. Each class orders its words by rarity; similar sets share
+   one of their first n - ceil(0.8 n) + 1 words (prefix filter). Where two classes meet at a word,
    sizes must fit (length filter), so must the words left behind it (positional filter), and the
    64 parity bits of both sets may differ in no more bits than the sets may in words. A class that
    meets no other this way is alone.
@@ -31,7 +32,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from skyledger.llm.tables import partitions, stored
 from skyledger.llm.words import Words, mixed, order_by, slices, text_bytes
@@ -136,57 +136,95 @@ def _short(words: np.ndarray) -> np.ndarray:
     return (words >> _U64(32)).astype(np.int64)
 
 
-def _word_counts(key: tuple, texts: pa.Table) -> pa.Table:
-    lines = Lines(_flat(texts["text"]))
-    words, counts = np.unique(_short(lines.members), return_counts=True)
-    return pa.table({"word": words, "lines": counts.astype(np.int64),
-                     "bucket": np.full(len(words), key[0].as_py(), np.int32)})
+def _word_counts(parts: int):
+    """A row for each part of the words that a bucket has: the words and in how many lines."""
+    def counted(key: tuple, texts: pa.Table) -> pa.Table:
+        words, counts = np.unique(_short(Lines(_flat(texts["text"])).members), return_counts=True)
+        part = words % parts
+        order = np.argsort(part, kind="stable")
+        words, counts, part = (x[order] for x in (words, counts, part))
+        cuts = np.flatnonzero(np.concatenate(([True], np.diff(part) > 0, [True]))) if len(part) else []
+        pieces = list(zip(cuts[:-1], cuts[1:], strict=True))
+        return pa.table({
+            "part": np.array([part[a] for a, _ in pieces], dtype=np.int32),
+            "bucket": np.full(len(pieces), key[0].as_py(), np.int32),
+            "words": pa.array([words[a:b].astype(np.uint32).tobytes() for a, b in pieces], pa.binary()),
+            "counts": pa.array([counts[a:b].astype(np.uint32).tobytes() for a, b in pieces],
+                               pa.binary())})
+
+    return counted
+
+
+def _levels(rows: pa.Table) -> pa.Table:
+    """Of one part of the words, a row back to each bucket: its words that other lines have, too,
+    and how frequent each is, in quarters of a power of two."""
+    words, counts = (np.frombuffer(b"".join(rows[c].to_pylist()), np.uint32) for c in ("words", "counts"))
+    different, place = np.unique(words, return_inverse=True)
+    total = np.zeros(len(different), dtype=np.int64)
+    np.add.at(total, place, counts.astype(np.int64))
+    level = np.minimum(4 * np.log2(np.maximum(total, 1)), 255).astype(np.uint8)[place]
+    buckets, packed, levels, begin = rows["bucket"].to_pylist(), [], [], 0
+    for own in rows["words"].to_pylist():
+        end = begin + len(own) // 4
+        known = level[begin:end] > 0
+        packed.append(words[begin:end][known].tobytes())
+        levels.append(level[begin:end][known].tobytes())
+        begin = end
+    return pa.table({"bucket": pa.array(buckets, pa.int32()), "words": pa.array(packed, pa.binary()),
+                     "levels": pa.array(levels, pa.binary())})
 
 
 def _ordered(lines: Lines, rows: np.ndarray, words: np.ndarray,
-             counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+             levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(line, word, position, word before) of the prefixes of the lines, rarest words first."""
     picked = np.zeros(len(lines.sizes), dtype=bool)
     picked[rows] = True
     at = np.flatnonzero(picked[lines.owner])
     members, owner = lines.members[at], lines.owner[at]
     order = np.argsort(words)
-    words, counts = words[order], counts[order]
-    df = np.ones(len(members), dtype=np.int64)
+    words, levels = words[order], levels[order]
+    df = np.zeros(len(members), dtype=np.int64)
     if len(words):
         short = _short(members)
         place = np.minimum(np.searchsorted(words, short), len(words) - 1)
-        df = np.where(words[place] == short, counts[place], 1)
-    # Equal counts stay in the order of hashes, which all lines share.
-    order = np.argsort((owner << 40) | np.minimum(df, (1 << 40) - 1), kind="stable")
+        df = np.where(words[place] == short, levels[place], 0)
+    # Equal levels stay in the order of hashes, which all lines share.
+    order = np.argsort((owner << 8) | df, kind="stable")
     members, owner, df = members[order], owner[order], df[order]
     n = lines.sizes[owner]
     position = np.arange(len(owner)) - np.repeat(np.cumsum(lines.sizes[rows]) - lines.sizes[rows],
                                                  lines.sizes[rows])
-    prefix = (position < n - (4 * n + 4) // 5 + 1) & (df > 1)
+    prefix = (position < n - (4 * n + 4) // 5 + 1) & (df > 0)
     # Words of one line alone are no place to meet, so that the word before must not be one.
-    met = np.where((position[1:] > 0) & (df[:-1] > 1), members[:-1], _U64(0))
-    before = np.concatenate((np.zeros(min(1, len(members)), dtype=_U64), met))
-    return owner[prefix], members[prefix], position[prefix], before[prefix]
+    short = _short(members)
+    met = np.where((position[1:] > 0) & (df[:-1] > 0), short[:-1], 0)
+    before = np.concatenate((np.zeros(min(1, len(members)), dtype=np.int64), met))
+    return owner[prefix], short[prefix], position[prefix], before[prefix]
 
 
 def _prefixes(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
-    """Size and position, word, parity bits and the word before, for each word of a prefix."""
-    kinds, a, b = (known[c].to_numpy() for c in ("kind", "a", "b"))
+    """Size and position, the word and the one before, and parity bits, for each word of a prefix.
+
+    Two lines with the same word before have met there, also if different words share their 32
+    bits, as it is by those that lines meet.
+    """
     lines = Lines(_flat(texts["text"]))
-    rows, _ = lines.among(a[kinds == 0])
+    rows, _ = lines.among(known["k1"].drop_null().to_numpy())
     rows = np.sort(rows[lines.sizes[rows] > 3])
-    line, word, position, before = _ordered(lines, rows, a[kinds == 1], b[kinds == 1])
+    words, levels = (np.frombuffer(b"".join(known[c].drop_null().to_pylist()), kind).astype(np.int64)
+                     for c, kind in (("words", np.uint32), ("levels", np.uint8)))
+    line, word, position, before = _ordered(lines, rows, words, levels)
     bits = lines.parities().view(np.int64)
     return pa.table({"shape": (lines.sizes[line] << 32) | position,
-                     "word": word.view(np.int64), "bits": bits[line],
-                     "before": before.view(np.int64), "bucket": np.full(len(line), key[0].as_py(), np.int32)})
+                     "meet": ((word.astype(_U64) << _U64(32)) | before.astype(_U64)).view(np.int64),
+                     "bits": bits[line], "bucket": np.full(len(line), key[0].as_py(), np.int32)})
 
 
 def _meeting(word, size, position, bits, before) -> np.ndarray:
-    """Which rows, sorted by word, meet another of the same word that all filters let pass.
+    """Which rows, sorted by word and size, meet another of the same word that all filters let pass.
 
-    Two lines with the same word before have met there.
+    Two lines with the same word before have met there. A row looks on until the lines are too long
+    for it.
     """
     met = np.zeros(len(word), dtype=bool)
     left = np.arange(len(word))
@@ -194,14 +232,14 @@ def _meeting(word, size, position, bits, before) -> np.ndarray:
     while True:
         step += 1
         left = left[left + step < len(word)]
-        left = left[word[left] == word[left + step]]
+        other = left + step
+        near = (word[left] == word[other]) & (5 * size[left] >= 4 * size[other])
+        left, other = left[near], other[near]
         if not len(left):
             return met
-        other = left + step
         both = size[left] + size[other]
-        common = 1 + np.minimum(size[left] - position[left], size[other] - position[other]) - 1
-        fits = (5 * np.minimum(size[left], size[other]) >= 4 * np.maximum(size[left], size[other]))
-        fits &= 9 * common >= 4 * both
+        common = np.minimum(size[left] - position[left], size[other] - position[other])
+        fits = 9 * common >= 4 * both
         fits &= (before[left] != before[other]) | (before[left] == 0)
         fits &= np.bitwise_count(bits[left] ^ bits[other]) <= both // 9
         met[left[fits]] = True
@@ -227,7 +265,16 @@ def _by_run(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 
 
 def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for run in _by_run(batches, "word"):
+    def with_words() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            meet = batch.column("meet").to_numpy().view(_U64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("bucket"), batch.column("bits"),
+                 pa.array((meet >> _U64(32)).astype(np.int64)), batch.column("shape"),
+                 pa.array((meet & _U64(0xFFFFFFFF)).astype(np.int64))],
+                names=["bucket", "bits", "word", "shape", "before"])
+
+    for run in _by_run(with_words(), "word"):
         shape = run["shape"].to_numpy()
         met = _meeting(run["word"].to_numpy(), shape >> 32, shape & 0xFFFFFFFF,
                        run["bits"].to_numpy().view(_U64), run["before"].to_numpy())
@@ -380,17 +427,21 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text")
 
     dealt = rows.repartition(n, "bucket")
     narrow = dealt.groupBy("bucket")
-    counted = narrow.applyInArrow(_word_counts, "word long, lines long, bucket int")
-    # A row for each word and bucket at most, however frequent the word.
-    counts = counted.withColumn("total", F.sum("lines").over(W.partitionBy("word"))) \
-        .where("total > 1")
+    # A word goes out once from each bucket that has it, however frequent it is, and comes back once.
+    counted = narrow.applyInArrow(
+        _word_counts(n), "part int, bucket int, words binary, counts binary")
+    levels = counted.groupBy("part").applyInArrow(
+        _levels, "bucket int, words binary, levels binary")
     long_firsts = firsts.where("n > 3")
-    known = long_firsts.select("bucket", F.lit(0).alias("kind"), F.col("k1").alias("a"),
-                               F.lit(0).cast("long").alias("b")).union(
-        counts.select("bucket", F.lit(1).alias("kind"), "word", "total"))
+    nothing = F.lit(None).cast("binary")
+    known = long_firsts.select("bucket", "k1", nothing.alias("words"), nothing.alias("levels")).union(
+        levels.select("bucket", F.lit(None).cast("long").alias("k1"), "words", "levels"))
     prefixes = narrow.cogroup(known.groupBy("bucket")).applyInArrow(
-        _prefixes, "shape long, word long, bits long, before long, bucket int")
-    plausible = prefixes.repartition(n, "word").sortWithinPartitions("word").mapInArrow(
+        _prefixes, "shape long, meet long, bits long, bucket int")
+    # By word, and by size within a word; the sign of the word is that of its bits.
+    word = F.shiftright("meet", 32)
+    plausible = prefixes.repartition(n, word).sortWithinPartitions(
+        F.shiftrightunsigned("meet", 32), "shape").mapInArrow(
         _plausible, "bucket int, bits long, word long")
     named = long_firsts.select("bucket", F.lit(0).alias("kind"), F.col("k1").alias("a"),
                                F.lit(0).cast("long").alias("b")).union(

@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import (ann, bpe, chat, mixing, ngram_join, simhash_trees, source_divergence,
-                           substring_dedup, toxicity, url_filter, vector_codes, winnowing)
+from skyledger.llm import (ann, bpe, chat, line_dedup, mixing, ngram_join, simhash_trees,
+                           source_divergence, substring_dedup, toxicity, url_filter, vector_codes,
+                           winnowing)
 from skyledger.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +69,12 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         "formatted_chars long, rewrites boolean")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated(table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "lines", "lines_left",
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
     model = toxicity.fitted(documents, table(spark, sf_dir, "labels", "doc_id", "toxic"))
@@ -150,6 +157,35 @@ SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_cha
 FROM loss
 """
 
+_LINES_SQL = r"""
+WITH pieces AS MATERIALIZED (
+    SELECT doc_id, i, piece || CASE WHEN i < n THEN chr(10) ELSE '' END AS piece,
+           list_sort(list_distinct(regexp_extract_all(piece, '[^\x20\x09-\x0D]+'))) AS words
+    FROM (SELECT doc_id, len(p) AS n, unnest(p) AS piece, generate_subscripts(p, 1) AS i
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents))
+), classes AS MATERIALIZED (
+    SELECT words, len(words) AS n, row_number() OVER (ORDER BY min(doc_id * 1000000 + i)) AS class,
+           min(doc_id * 1000000 + i) AS place
+    FROM pieces WHERE len(words) > 0 GROUP BY words
+), members AS MATERIALIZED (
+    SELECT class, n, unnest(words) AS word FROM classes
+), late AS MATERIALIZED (
+    SELECT DISTINCT b AS class FROM (
+        SELECT x.class AS a, y.class AS b, count(*) AS common, x.n AS p, y.n AS q
+        FROM members x JOIN members y ON x.word = y.word AND x.class < y.class
+            AND 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)
+        GROUP BY ALL
+    ) WHERE 9 * common >= 4 * (p + q)
+), judged AS (
+    SELECT doc_id, i, piece, len(p.words) AS n,
+           len(p.words) = 0 OR (place = doc_id * 1000000 + i AND late.class IS NULL) AS kept
+    FROM pieces p LEFT JOIN classes c ON p.words = c.words LEFT JOIN late ON late.class = c.class
+)
+SELECT doc_id, count(*) FILTER (n > 0) AS lines, count(*) FILTER (n > 0 AND kept) AS lines_left,
+       sha256(coalesce(string_agg(piece, '' ORDER BY i) FILTER (kept), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 _URL_SQL = r"""
 WITH parts AS (
     SELECT page_id,
@@ -360,7 +396,7 @@ FROM coded
 
 def oracles() -> dict[str, str]:
     """SQL where it can express an operator; the others are tested against brute force."""
-    return {"op3_chat": _CHAT_SQL, "op6_url_filter": _URL_SQL, "op8_mixing": _MIXING_SQL,
+    return {"op3_chat": _CHAT_SQL, "op4_line_dedup": _LINES_SQL, "op6_url_filter": _URL_SQL, "op8_mixing": _MIXING_SQL,
             "op9_substring_dedup": _SUBSTRING_SQL,
             "op10_ngram_join": _NGRAM_SQL, "op11_source_divergence": _DIVERGENCE_SQL,
             "op12_vector_codes": _CODES_SQL}
