@@ -5,13 +5,13 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skyledger.schemas import RAW_FLIGHTS, REQUIRED_COLUMNS
-from skyledger.sinks.files import LAYOUTS, write_partitioned
-from skyledger.sources.files import monthly_pattern
+from skyledger.sinks.files import LAYOUTS, replace_months, write_partitioned
+from skyledger.sources.files import months_of, monthly_pattern, path_month
 from skyledger.sources.tolerant import (
     BAD_REASON,
     BOOKKEEPING,
@@ -20,13 +20,14 @@ from skyledger.sources.tolerant import (
     OPEN_QUOTE,
     read_tolerant,
 )
-from skyledger.storage import materialise
+from skyledger.storage import matching_paths, materialise
 
 log = logging.getLogger(__name__)
 
 # ---- fixed values -------------------------------------------------------------------------
 
 MAX_BAD_RECORDS = 1000
+STRAY = "month:stray"
 
 # -------------------------------------------------------------------------------------------
 
@@ -49,6 +50,13 @@ class Load:
     def bad(self) -> DataFrame:
         return self.rows.filter(F.col(BAD_REASON).isNotNull())
 
+    def rejected(self) -> DataFrame:
+        """file_path, reason and row (JSON) of the bad rows, of whatever columns."""
+        return self.bad.select(
+            F.col(FILE_PATH).alias("file_path"), F.col(BAD_REASON).alias("reason"),
+            F.to_json(F.struct(*[c for c in self.rows.columns if c not in BOOKKEEPING]))
+            .alias("row"))
+
     def report(self) -> DataFrame:
         """Per file: rows loaded, rows skipped, bytes; from three columns of the staged rows."""
         good = F.col(BAD_REASON).isNull()
@@ -63,59 +71,72 @@ def stage_csv(spark: SparkSession, path: str | list[str], schema: StructType = R
               required: list[str] | None = None, quoted_newlines: bool = True) -> Load:
     """Parse CSV files once into typed, staged rows.
 
-    Files are read in splits, so even a single huge file is parsed by many tasks. Only the
-    files that turn out to hold line breaks inside quotes are read again, with their records
-    put together across lines and splits, which replaces their first reading.
+    Files are read in splits, so even a single huge file is parsed by many tasks. Only the files
+    in which a field opens a quote that its line does not close are read again by physical lines,
+    which replaces their first reading: see ``sources.spanning``.
     """
     needed = [name for name in (REQUIRED_COLUMNS if required is None else required)
               if name in schema.fieldNames()]
     rows = materialise(read_tolerant(spark, path, schema, needed), "load")
     if not quoted_newlines:
         return Load(rows)
-    # At most one entry per input file.
-    spanning = [row[0] for row in
-                rows.filter(OPEN_QUOTE).select(FILE_PATH).distinct().collect()]
+    flagged = rows.filter(OPEN_QUOTE).select(FILE_PATH).distinct()
+    # At most one entry per input file, which the driver has listed already.
+    spanning = [row[0] for row in flagged.collect()]
     if not spanning:
         return Load(rows)
-    log.info("%d files have line breaks inside quotes", len(spanning))
+    log.info("%d files have quotes that their line does not close", len(spanning))
     again = materialise(read_tolerant(spark, spanning, schema, needed, spanning=True), "load")
-    return Load(rows.filter(~F.col(FILE_PATH).isin(spanning)).unionByName(again))
+    return Load(rows.join(flagged, FILE_PATH, "left_anti").select(*rows.columns)
+                .unionByName(again))
+
+
+def only_own_months(load: Load) -> Load:
+    """Rows of another month than their file's are bad rows."""
+    year, month = path_month(FILE_PATH)
+    own = F.coalesce((F.col("Year") == year) & (F.col("Month") == month), F.lit(False))
+    return Load(load.rows.withColumn(BAD_REASON, F.coalesce(
+        BAD_REASON, F.when(~own, F.lit(STRAY)))))
 
 
 def load_csv(spark: SparkSession, path: str | list[str], target: str, mode: str = "append",
              schema: StructType = RAW_FLIGHTS, required: list[str] | None = None,
              partition_by: list[str] | None = None, cluster_by: list[str] | None = None,
              max_bad_records: int = MAX_BAD_RECORDS, quoted_newlines: bool = True,
-             wanted: Column | None = None) -> DataFrame:
-    """Load files in one job; returns the per-file report. Rows that are not ``wanted`` are bad.
+             own_months: bool = False, rejected: str | None = None) -> DataFrame:
+    """Load files in one job; returns the per-file report, which counts as loaded what is stored.
 
     Modes: ``append``; ``overwrite`` replaces the table once, for all files together;
-    ``replace_months`` replaces only the partitions that occur in the input, so that repeating
-    a load changes nothing. The target is untouched when there are more than
-    ``max_bad_records`` bad rows.
+    ``replace_months`` replaces exactly the months that the names of the files say (YYYY_MM.csv), so
+    that repeating a load changes nothing: a file without rows empties its month. With
+    ``own_months``, and always in that mode, rows of another month than their file's are bad. The
+    target is untouched when there are more than ``max_bad_records`` bad rows. Bad rows are added
+    to ``rejected`` as JSON, with file and reason, in either case.
     """
-    modes = {"append": ("append", False), "overwrite": ("overwrite", False),
-             "replace_months": ("overwrite", True)}
-    if mode not in modes:
-        raise ValueError(f"mode {mode!r} is none of {list(modes)}")
-    write_mode, touched_only = modes[mode]
+    if mode not in ("append", "overwrite", "replace_months"):
+        raise ValueError(f"mode {mode!r} is none of append, overwrite, replace_months")
+    layout = LAYOUTS["flights_raw"]
+    partition_by = list(layout.partition_by) if partition_by is None else partition_by
+    cluster_by = layout.cluster_by if cluster_by is None else cluster_by
+    months = set()
+    if mode == "replace_months":
+        if partition_by != ["Year", "Month"]:
+            raise ValueError("replace_months needs a table by Year and Month")
+        patterns = [path] if isinstance(path, str) else path
+        months = months_of(file for one in patterns for file, _ in matching_paths(spark, one))
     load = stage_csv(spark, path, schema, required, quoted_newlines)
+    if own_months or mode == "replace_months":
+        load = only_own_months(load)
     report = load.report()
     bad = report.agg(F.coalesce(F.sum("bad_rows"), F.lit(0))).first()[0]
-    good = load.good
-    if wanted is not None:
-        # A stray row of another month would replace that month by itself.
-        inside = F.coalesce(wanted, F.lit(False))
-        bad += good.filter(~inside).count()
-        good = good.filter(inside)
+    if bad and rejected:
+        load.rejected().write.mode("append").parquet(rejected)
     if bad > max_bad_records:
         raise TooManyBadRecords(f"{bad} bad rows, {max_bad_records} allowed")
-    layout = LAYOUTS["flights_raw"]
-    write_partitioned(
-        good, target,
-        list(layout.partition_by) if partition_by is None else partition_by,
-        layout.cluster_by if cluster_by is None else cluster_by,
-        write_mode, touched_only)
+    if mode == "replace_months":
+        replace_months(load.good, target, months, cluster_by)
+    else:
+        write_partitioned(load.good, target, partition_by, cluster_by, mode)
     return report
 
 
@@ -130,9 +151,7 @@ def load_years(spark: SparkSession, folder: str, target: str, start_year: int, e
                mode: str = "replace_months", **options) -> DataFrame:
     """The files of a range of years, optionally of the same months in each year."""
     pattern = monthly_pattern(folder, start_year, end_year, start_month, end_month)
-    months = F.col("Month").between(start_month or 1, end_month or 12)
-    wanted = F.col("Year").between(start_year, end_year) & months
-    return load_csv(spark, pattern, target, mode, wanted=wanted, **options)
+    return load_csv(spark, pattern, target, mode, own_months=True, **options)
 
 
 def load_month(spark: SparkSession, folder: str, target: str, year: int, month: int,

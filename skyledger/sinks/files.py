@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -13,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from skyledger import schemas
 from skyledger.sources.files import read_csv
-from skyledger.storage import qualified, swap_directory
+from skyledger.storage import delete_path, path_exists, qualified, swap_directory
 
 log = logging.getLogger(__name__)
 
@@ -60,6 +61,26 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str],
      .partitionBy(*partition_by).parquet(path))
 
 
+def replace_months(df: DataFrame, path: str, months: Iterable[tuple[int, int]],
+                   cluster_by: list[str] | None = None) -> None:
+    """Make the rows of ``df`` all that a table by Year and Month holds of the given ``months``.
+
+    The rows are written beside the table first, and then each month's directory takes the place
+    of the old one; a month without rows goes. Other months are not touched, whatever the rows say.
+    A run that stops in between leaves every month either old or new, and can be repeated.
+    """
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    write_partitioned(df, staged, ["Year", "Month"], cluster_by)
+    for year, month in sorted(months):
+        part = f"Year={year}/Month={month}"
+        if path_exists(spark, f"{staged}/{part}"):
+            swap_directory(spark, f"{staged}/{part}", f"{path.rstrip('/')}/{part}")
+        elif path_exists(spark, f"{path}/{part}"):
+            delete_path(spark, f"{path}/{part}")
+    delete_path(spark, staged)
+
+
 def compact_parquet(spark: SparkSession, source: str, target: str,
                     files: int | None = None) -> DataFrame:
     """Rewrite a directory of many files as few (without a number: as many as fit the advisory

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import re
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # ---- fixed values: monthly files are called YYYY_MM.csv -----------------------------------
 
 MONTHLY_NAME = r"^(\d{4})_(\d{1,2})\.csv$"
+# The same in the path of a file, also of one in a directory of that name.
+MONTHLY_PATH = r"/(\d{4})_(\d{1,2})\.csv(?:/[^/]*)?$"
 
 # -------------------------------------------------------------------------------------------
 
@@ -111,3 +114,19 @@ def with_file_month(df: DataFrame) -> DataFrame:
         return F.regexp_extract(name, MONTHLY_NAME, group).try_cast("int")
 
     return df.select("*", number(1).alias("file_year"), number(2).alias("file_month"))
+
+
+def path_month(path: Column | str) -> tuple[Column, Column]:
+    """Year and month that the path of a monthly file names, or nulls."""
+    return tuple(F.regexp_extract(path, MONTHLY_PATH, group).try_cast("int") for group in (1, 2))
+
+
+def months_of(paths: Iterable[str]) -> set[tuple[int, int]]:
+    """The (year, month) of each path; one that names none is refused."""
+    months = set()
+    for path in paths:
+        found = re.search(MONTHLY_PATH, path)
+        if not found:
+            raise ValueError(f"{path} is not named like 2001_05.csv")
+        months.add((int(found[1]), int(found[2])))
+    return months

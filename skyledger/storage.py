@@ -56,6 +56,14 @@ def size_in_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop_path).getLength()
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """(path, length) of the files and directories that a pattern matches, in order."""
+    fs, hadoop_path = _file_system(spark, pattern)
+    found = fs.globStatus(hadoop_path) or []
+    return sorted((status.getPath().toString(), fs.getContentSummary(status.getPath()).getLength())
+                  for status in found)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """Absolute form with scheme, so that two spellings of one folder compare equal."""
     fs, hadoop_path = _file_system(spark, path)
@@ -78,7 +86,9 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
 
 def swap_directory(spark: SparkSession, staged: str, target: str) -> None:
     """Put ``staged`` in the place of ``target``; the old content goes only after the new is there."""
-    retired = f"{target.rstrip('/')}.retired-{uuid.uuid4().hex}"
+    folder, _, _ = target.rstrip("/").rpartition("/")
+    # A name that readers skip, as it may stand among the directories of a table.
+    retired = f"{folder}/_retired-{uuid.uuid4().hex}"
     replaces = path_exists(spark, target)
     if replaces:
         move_path(spark, target, retired)
