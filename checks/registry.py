@@ -7,21 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from checks import views
 from checks.sql import BAD_FLIGHT_NUMBER
 from skyledger.functions.flights import fact_key, hhmm_timestamp
 from skyledger.functions.messages import flight_id, flight_id_by_number
 from skyledger.operators import analytics, cleaning, curate, dimensions, fact, quality, sampling
-from skyledger.plans import history
+from skyledger.plans import history, ledger
 from skyledger.plans.report import report_results
 from skyledger.schemas import FLAT_FLIGHT, RAW_FLIGHTS
 from skyledger.sinks import files as sink_files
 from skyledger.sinks.messages import flight_messages, normalise_payload, ride_messages
 from skyledger.sources import files as source_files
 from skyledger.sources import messages as source_messages
-from skyledger.storage import materialise, move_path, scratch_path
+from skyledger.storage import delete_path, materialise, move_path, scratch_path
 from skyledger.streaming import parse, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,9 +96,60 @@ def load_tolerant_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, schema = _untyped_csv(spark, sf_dir)
     report = history.stage_csv(spark, path, schema).report()
+    sizes = source_files.list_files(spark, f"{path}/*.csv").agg(F.sum("length").alias("listed_bytes"))
+    files = source_files.list_files(spark, f"{path}/*.csv").count()
+    return history.load_totals(report).crossJoin(sizes).select(
+        (F.col("total_files") == files).alias("all_files"), "total_rows", "total_bad_rows",
+        (F.col("total_bytes") == F.col("listed_bytes")).alias("all_bytes"))
+
+
+def _written_lines(lines: DataFrame, header: list[str]) -> str:
+    """``part, order, value`` as CSV files with a header line, one for each part, in order."""
+    path = scratch_path(lines.sparkSession, "lines")
+    heads = lines.select("part").distinct().select(
+        "part", F.lit(None).cast("long").alias("order"), F.lit(",".join(header)).alias("value"))
+    (heads.unionByName(lines).repartition("part").sortWithinPartitions("part", "order")
+     .select("part", "value").write.partitionBy("part").text(path))
+    return f"{path}/*"
+
+
+def _quoted_csv(spark: SparkSession, sf_dir: str, last: Column) -> tuple[str, StructType]:
+    """Flights as CSV lines; ``last`` is the text of the last column, quotes and all."""
+    flights = views.flights(spark, sf_dir)
+    *others, end = flights.columns
+    lines = flights.select(
+        F.pmod(F.xxhash64("Tail_Number"), F.lit(5)).alias("part"),
+        F.xxhash64(*flights.columns).alias("order"),
+        F.concat(F.to_csv(F.struct(*others)), F.lit(","), last).alias("value"))
+    return _written_lines(lines, flights.columns), _csv_schema(flights)
+
+
+def load_unclosed_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some lines open a quote in the last column that nothing closes: those are the bad rows."""
+    end = views.flights(spark, sf_dir).columns[-1]
+    wrong = F.col("Flight_Number_Reporting_Airline") == BAD_FLIGHT_NUMBER
+    text = F.coalesce(F.col(end).cast("string"), F.lit(""))
+    path, schema = _quoted_csv(spark, sf_dir, F.when(wrong, F.concat(F.lit('"9,a,'), text))
+                               .otherwise(text))
+    report = history.stage_csv(spark, path, schema).report()
     return history.load_totals(report).select("total_rows", "total_bad_rows")
 
 
+def load_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some records have line breaks, a comma and a quote inside the quotes of the last column."""
+    flights = views.flights(spark, sf_dir)
+    broken = F.col("Flight_Number_Reporting_Airline") == BAD_FLIGHT_NUMBER
+    text = F.coalesce(F.col(flights.columns[-1]).cast("string"), F.lit(""))
+    path, schema = _quoted_csv(spark, sf_dir, F.when(broken, F.concat(
+        F.lit('"a""'), text, F.lit(',\n2001,5\n'), text, F.lit('"'))).otherwise(text))
+    as_text = StructType([*schema.fields[:-1], StructField(flights.columns[-1], StringType())])
+    load = history.stage_csv(spark, path, as_text)
+    tail = F.when(broken, F.col(flights.columns[-1]))
+    return load.rows.groupBy(F.col("_bad_reason").isNull().alias("good")).agg(
+        F.count("*").alias("rows"), F.sum("Distance").alias("distance"),
+        F.count_if(tail.contains("\n2001,5\n")).alias("broken"))
+
+
 def _monthly_folder(spark: SparkSession, sf_dir: str) -> tuple[str, StructType]:
     """Flights as CSV below ``YYYY_MM.csv`` (a directory each, so that months can be split)."""
     flights = views.flights(spark, sf_dir)
@@ -148,6 +199,65 @@ def load_month_stray_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_files.read_parquet(spark, target, schema)
 
 
+def _two_months(spark: SparkSession, sf_dir: str) -> tuple[str, str, StructType, DataFrame]:
+    """(folder, table with May and June, schema, flights of the year)."""
+    folder, schema = _monthly_folder(spark, sf_dir)
+    target = scratch_path(spark, "flights-raw")
+    history.load_years(spark, folder, target, SAMPLED_YEAR, SAMPLED_YEAR, 5, 6, schema=schema)
+    return folder, target, schema, sampling.year_filter(views.flights(spark, sf_dir), SAMPLED_YEAR)
+
+
+def _by_month(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
+    return source_files.read_parquet(spark, target, schema).groupBy("Year", "Month").agg(
+        F.count("*").alias("rows"))
+
+
+def load_years_missing_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The year once more from a folder that has May alone, with some rows of June in it."""
+    _, target, schema, flights = _two_months(spark, sf_dir)
+    again = scratch_path(spark, "monthly")
+    stray = (F.col("Month") == 6) & (F.col("Origin") == "A00")
+    sink_files.export_csv(flights.filter((F.col("Month") == 5) | stray),
+                          f"{again}/{SAMPLED_YEAR}_05.csv")
+    report = history.load_years(spark, again, target, SAMPLED_YEAR, SAMPLED_YEAR, schema=schema,
+                                max_bad_records=1 << 40)
+    total = history.load_totals(report).select("total_rows", "total_bad_rows")
+    return _by_month(spark, target, schema).crossJoin(total)
+
+
+def load_month_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """May once more from a file that has a header and no rows."""
+    _, target, schema, flights = _two_months(spark, sf_dir)
+    again = scratch_path(spark, "monthly")
+    sink_files.export_csv(flights.limit(0), f"{again}/{SAMPLED_YEAR}_05.csv")
+    history.load_month(spark, again, target, SAMPLED_YEAR, 5, schema=schema)
+    return _by_month(spark, target, schema)
+
+
+def load_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three months in one batch, of which June is beyond the budget; then June is mended and the
+    run repeated, which loads June alone."""
+    folder, schema = _monthly_folder(spark, sf_dir)
+    target, log = scratch_path(spark, "flights-raw"), scratch_path(spark, "ledger")
+    june = f"{folder}/{SAMPLED_YEAR}_06.csv"
+    aside = scratch_path(spark, "monthly")
+    move_path(spark, june, aside)
+    flights = sampling.year_filter(views.flights(spark, sf_dir), SAMPLED_YEAR)
+    sink_files.export_csv(flights.where("Month = 6").withColumn("Distance", F.lit("far")), june)
+    pattern = f"{folder}/{SAMPLED_YEAR}_0[567].csv"
+    options = {"schema": schema, "max_bad_records": 0}
+    ledger.load_batches(spark, pattern, target, log, **options)
+    first = _by_month(spark, target, schema).withColumn("run", F.lit(1))
+    first = materialise(first, "first-run")
+    delete_path(spark, june)
+    move_path(spark, aside, june)
+    second = ledger.load_batches(spark, pattern, target, log, **options)
+    rejected = ledger.rejected_rows(spark, log).agg(F.count("*").alias("rejected"))
+    loaded = second.agg(F.count("*").alias("files"), F.sum("output_rows").alias("loaded"))
+    return (first.unionByName(_by_month(spark, target, schema).withColumn("run", F.lit(2)))
+            .crossJoin(rejected).crossJoin(loaded))
+
+
 def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {name: f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "events")}
     inventory = sink_files.table_inventory(spark, tables)
@@ -465,6 +575,11 @@ def queries() -> dict[str, Query]:
         "load_years": load_years,
         "load_month": load_month,
         "load_month_stray_rows": load_month_stray_rows,
+        "load_unclosed_quote": load_unclosed_quote,
+        "load_quoted_breaks": load_quoted_breaks,
+        "load_years_missing_file": load_years_missing_file,
+        "load_month_emptied": load_month_emptied,
+        "load_batches": load_batches,
         "dataset_summary": dataset_summary,
         "export_roundtrip": export_roundtrip,
         "export_json_roundtrip": export_json_roundtrip,

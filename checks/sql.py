@@ -322,6 +322,12 @@ _JOINED_FLIGHT = "k.fact_key, k.Tail_Number, k.CRSDepTime, k.ArrTime"
 BAD_FLIGHT_NUMBER = 13
 
 
+_TOTALS = f"""CAST(count(*) FILTER (WHERE Flight_Number_Reporting_Airline <> {BAD_FLIGHT_NUMBER})
+                 AS BIGINT) AS total_rows,
+            CAST(count(*) FILTER (WHERE Flight_Number_Reporting_Airline = {BAD_FLIGHT_NUMBER})
+                 AS BIGINT) AS total_bad_rows"""
+
+
 def oracles() -> dict[str, str]:
     everything = "SELECT * FROM fl"
     return {
@@ -336,11 +342,25 @@ def oracles() -> dict[str, str]:
             AS CancellationCode) FROM fl"""),
         "load_tolerant_csv": _with(_FL, f"""{everything}
             WHERE Flight_Number_Reporting_Airline <> {BAD_FLIGHT_NUMBER}"""),
-        "load_report": _with(_FL, f"""SELECT
-            CAST(count(*) FILTER (WHERE Flight_Number_Reporting_Airline <> {BAD_FLIGHT_NUMBER})
-                 AS BIGINT) AS total_rows,
-            CAST(count(*) FILTER (WHERE Flight_Number_Reporting_Airline = {BAD_FLIGHT_NUMBER})
-                 AS BIGINT) AS total_bad_rows FROM fl"""),
+        "load_report": _with(_FL, f"""SELECT true AS all_files, true AS all_bytes,
+            {_TOTALS} FROM fl"""),
+        "load_unclosed_quote": _with(_FL, f"SELECT {_TOTALS} FROM fl"),
+        "load_quoted_breaks": _with(_FL, f"""SELECT true AS good, {_COUNT} AS rows,
+            sum(Distance) AS distance, CAST(count(*) FILTER (
+                WHERE Flight_Number_Reporting_Airline = {BAD_FLIGHT_NUMBER}) AS BIGINT) AS broken
+            FROM fl"""),
+        "load_years_missing_file": _with(_FL, f"""SELECT Year, Month, {_COUNT} AS rows,
+            (SELECT {_COUNT} FROM fl WHERE Year = 1998 AND Month = 5) AS total_rows,
+            (SELECT {_COUNT} FROM fl WHERE Year = 1998 AND Month = 6 AND Origin = 'A00')
+                AS total_bad_rows
+            FROM fl WHERE Year = 1998 AND Month IN (5, 6) GROUP BY ALL"""),
+        "load_month_emptied": _with(_FL, f"""SELECT Year, Month, {_COUNT} AS rows FROM fl
+            WHERE Year = 1998 AND Month = 6 GROUP BY ALL"""),
+        "load_batches": _with(_FL, f"""SELECT Year, Month, {_COUNT} AS rows, run,
+            2 * (SELECT {_COUNT} FROM fl WHERE Year = 1998 AND Month = 6) AS rejected,
+            1 AS files, (SELECT {_COUNT} FROM fl WHERE Year = 1998 AND Month = 6) AS loaded
+            FROM fl, range(1, 3) r(run)
+            WHERE Year = 1998 AND Month IN (5, 6, 7) AND (run = 2 OR Month <> 6) GROUP BY ALL"""),
         "load_all": _with(_FL, everything),
         "load_years": _with(_FL, f"""{everything} WHERE Year BETWEEN 1996 AND 1998
             AND Month BETWEEN 6 AND 8"""),
