@@ -73,6 +73,17 @@ def compact_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink_files.compact_parquet(spark, source, scratch_path(spark, "compact"), files=2)
 
 
+def compact_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table by year and month in many files, compacted: rows and one file for each directory,
+    found by its key values."""
+    path = scratch_path(spark, "many-files")
+    (views.flights(spark, sf_dir).repartition(8).write.partitionBy("Year", "Month").parquet(path))
+    sink_files.compact_partitions(spark, path)
+    return source_files.read_parquet(spark, path).filter(F.col("Year") == SAMPLED_YEAR).groupBy(
+        "Year", "Month").agg(F.count("*").alias("rows"), F.sum("Distance").alias("distance"),
+                             F.count_distinct(F.col("_metadata.file_path")).alias("files"))
+
+
 def convert_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = views.flights(spark, sf_dir)
     target = scratch_path(spark, "converted")
@@ -568,6 +579,7 @@ def queries() -> dict[str, Query]:
         "sql_passthrough": sql_passthrough,
         "partitioned_roundtrip": partitioned_roundtrip,
         "compact_parquet": compact_parquet,
+        "compact_partitions": compact_partitions,
         "convert_csv": convert_csv,
         "load_tolerant_csv": load_tolerant_csv,
         "load_report": load_report,

@@ -337,6 +337,8 @@ def oracles() -> dict[str, str]:
             WHERE Year = 1998 GROUP BY Origin ORDER BY Origin"""),
         "partitioned_roundtrip": _with(_FL, everything),
         "compact_parquet": _with(_FL, everything),
+        "compact_partitions": _with(_FL, f"""SELECT Year, Month, {_COUNT} AS rows,
+            sum(Distance) AS distance, 1 AS files FROM fl WHERE Year = 1998 GROUP BY ALL"""),
         # Without a null token, quoted-empty text reads as null.
         "convert_csv": _with(_FL, """SELECT * REPLACE (nullif(CancellationCode, '')
             AS CancellationCode) FROM fl"""),

@@ -96,13 +96,58 @@ def compact_parquet(spark: SparkSession, source: str, target: str,
 
 
 def compact_in_place(spark: SparkSession, path: str, files: int | None = None) -> DataFrame:
-    """Compact into a sibling directory and swap it in once it is complete."""
-    staged = f"{path.rstrip('/')}.compacting"
-    compact_parquet(spark, path, staged, files)
-    swap_directory(spark, staged, path)
+    """Compact into a sibling directory and swap it in once it is complete. A table in directories
+    of key values keeps them: see ``compact_partitions``."""
+    if _partition_files(spark, path).filter("folder <> ''").isEmpty():
+        staged = f"{path.rstrip('/')}.compacting"
+        compact_parquet(spark, path, staged, files)
+        swap_directory(spark, staged, path)
+    else:
+        compact_partitions(spark, path)
     return spark.read.parquet(path)
 
 
+def _partition_files(spark: SparkSession, path: str) -> DataFrame:
+    """folder (below the table, like Year=2001/Month=5), files, bytes."""
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.parquet").load(path).select("path", "length"))
+    # The part of the path that is made of key values.
+    folder = F.regexp_extract("path", r"/((?:[^/=]+=[^/]*/)+)[^/]*$", 1)
+    return found.groupBy(F.rtrim(folder, F.lit("/")).alias("folder")).agg(
+        F.count("*").alias("files"), F.sum("length").alias("bytes"))
+
+
+def compact_partitions(spark: SparkSession, path: str, cluster_by: list[str] | None = None,
+                       file_bytes: int = 128 << 20) -> list[str]:
+    """Rewrite those directories of a partitioned table that have more files than their bytes need;
+    returns them.
+
+    One job packs the rows of all such directories into files of the advisory partition size, small
+    directories side by side and large ones in several parts. Then each directory is swapped by
+    itself, so that readers see the old files or the new ones, and other directories stay as
+    they are.
+    """
+    needed = F.ceil(F.col("bytes") / file_bytes)
+    # One entry per directory of the table.
+    folders = [row.folder for row in _partition_files(spark, path)
+               .filter((F.col("folder") != "") & (F.col("files") > needed)).collect()]
+    if not folders:
+        return []
+    table = path.rstrip("/")
+    names = [part.split("=")[0] for part in folders[0].split("/")]
+    rows = spark.read.option("basePath", table).parquet(*[f"{table}/{folder}" for folder in folders])
+    staged = f"{table}.compacting-{uuid.uuid4().hex}"
+    write_partitioned(rows, staged, names, cluster_by)
+    absent = [folder for folder in folders if not path_exists(spark, f"{staged}/{folder}")]
+    if absent:
+        delete_path(spark, staged)
+        raise ValueError(f"key values that do not come back as they were: {absent[:3]}")
+    for folder in folders:
+        swap_directory(spark, f"{staged}/{folder}", f"{table}/{folder}")
+    delete_path(spark, staged)
+    return sorted(folders)
+
+
 def convert_csv(spark: SparkSession, source: str, target: str, schema: StructType | None = None,
                 infer: bool = False, partition_by: list[str] | None = None,
                 files: int | None = None, dry_run: bool = False,

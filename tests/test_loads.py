@@ -146,3 +146,26 @@ def test_one_bad_file_among_many(spark, tmp_path):
     assert rows(ledger.outcomes(spark, log), "outcome") == [("loaded",)] * 5
     with pytest.raises(ValueError, match="repeated"):
         ledger.load_batches(spark, f"{folder}/*.csv", target, log, mode="append")
+
+
+def test_compaction_keeps_directories(spark, tmp_path):
+    from skyledger.sinks import files as sinks
+    from tests.conftest import plan_of
+
+    path = str(tmp_path / "table")
+    rows_of = spark.range(4000).selectExpr("id", "2000 + id % 2 AS Year", "1 + id % 3 AS Month")
+    rows_of.repartition(6).write.partitionBy("Year", "Month").parquet(path)
+    spark.range(10).selectExpr("id", "2005 AS Year", "7 AS Month").coalesce(1).write.mode(
+        "append").partitionBy("Year", "Month").parquet(path)
+    before = months(spark, path)
+    kept = storage.matching_paths(spark, f"{path}/Year=2005/Month=7/*.parquet")
+    done = sinks.compact_partitions(spark, path, ["id"])
+    assert len(done) == 6 and "Year=2001/Month=2" in done
+    assert months(spark, path) == before
+    assert len(storage.matching_paths(spark, f"{path}/Year=*/Month=*/*.parquet")) == 7
+    assert storage.matching_paths(spark, f"{path}/Year=2005/Month=7/*.parquet") == kept
+    pruned = spark.read.parquet(path).where("Year = 2001 AND Month = 2")
+    assert "PartitionFilters: [isnotnull(Year" in plan_of(pruned)
+    assert sinks.compact_partitions(spark, path) == []
+    assert sinks.compact_in_place(spark, path).count() == 4010
+    assert storage.matching_paths(spark, f"{path}.compacting*") == []
