@@ -7,12 +7,13 @@ import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.operators import curate, quality, sampling
 from skyledger.operators.analytics import table_summary
 from skyledger.operators.cleaning import clean_flights, clean_flights_dedup
 from skyledger.operators.dimensions import DIMENSIONS
-from skyledger.plans import history, report, star_schema
+from skyledger.plans import history, ledger, report, star_schema
 from skyledger.session import build_session
 from skyledger.sinks import files as sinks
 from skyledger.sources import files as sources
@@ -33,6 +34,14 @@ def convert(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.ledger:
+        found = (f"{args.input.rstrip('/')}/*.csv" if args.start_year is None else sources.monthly_pattern(
+            args.input, args.start_year, args.end_year or args.start_year, args.start_month,
+            args.end_month))
+        run = ledger.load_batches(spark, found, args.output, args.ledger, args.batch_files)
+        run.groupBy("outcome").agg(F.count("*").alias("files"), F.sum("output_rows").alias("rows"),
+                                   F.sum("bad_rows").alias("bad_rows")).show(truncate=False)
+        return
     if args.start_year is None:
         result = history.load_all(spark, args.input, args.output, args.mode)
     else:
@@ -151,6 +160,8 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--dry-run", action="store_true")
 
     command = job("load", load, "input", "output")
+    command.add_argument("--ledger")
+    command.add_argument("--batch-files", type=int, default=ledger.BATCH_FILES)
     command.add_argument("--mode", choices=["append", "overwrite", "replace_months"],
                          default="replace_months")
     for bound in ("start-year", "end-year", "start-month", "end-month"):

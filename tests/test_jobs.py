@@ -43,6 +43,23 @@ def test_load_and_convert(spark, tmp_path):
     assert (tmp_path / "out" / "b=y").is_dir()
 
 
+def test_load_with_a_ledger(spark, tmp_path):
+    from skyledger.schemas import RAW_FLIGHTS
+
+    names = RAW_FLIGHTS.fieldNames()
+    values = {"Year": "2020", "Quarter": "1", "Month": "2", "DayofMonth": "3", "DayOfWeek": "1",
+              "FlightDate": "2020-02-03", "Reporting_Airline": "AA"}
+    rows = [",".join(values.get(name, "") for name in names)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "2020_02.csv").write_text("\n".join([",".join(names), *rows]) + "\n")
+    arguments = ["load", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out"),
+                 "--ledger", str(tmp_path / "ledger"), "--start-year", "2020"]
+    for _ in range(2):
+        main(arguments, spark)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "ledger/attempts")).count() == 1
+
+
 def test_unknown_dimension_is_refused(capsys):
     with pytest.raises(SystemExit):
         parser().parse_args(["dims", "--input", "a", "--output", "b", "--dims", "weather"])
