@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from skyledger.operators import dimensions, fact
 from skyledger.operators.cleaning import clean_flights
 from skyledger.operators.ids import with_dense_id
 from skyledger.plans import star_schema
+from skyledger.storage import matching_paths, shared_dir
 from tests.conftest import plan_of, rows
 
 
@@ -51,12 +54,17 @@ def test_ids_of_nothing_and_of_nulls(spark):
     assert rows(with_dense_id(df, "n", ["k"])) == [("a", 2), ("b", 3), (None, 1)]
 
 
-def test_rows_are_never_gathered_for_numbering(cleaned):
-    """Only the slice sizes (an aggregate over the slice number) pass through one task."""
-    plan = dimensions.dim_delays(cleaned)._jdf.queryExecution().executedPlan().toString()
-    rows_side, sizes_side = plan.split("BroadcastExchange", 1)
-    assert "Exchange" not in rows_side.replace("BroadcastHashJoin", "")
-    assert "fact_key" not in sizes_side
+def test_ids_are_stored_values(spark, cleaned):
+    """Reading a numbered table takes no join, window or exchange, and no slices stay behind."""
+    plan = plan_of(dimensions.dim_delays(cleaned))
+    assert not any(step in plan for step in ("Exchange", "Join", "Window"))
+    assert not matching_paths(spark, f"{shared_dir(spark)}/skyledger/*-slices-*")
+
+
+def test_fact_with_ids_joins_each_lookup_once(cleaned, dims):
+    plan = plan_of(fact.fact_table_with_ids(cleaned, **dims))
+    joins = re.findall(r"^\(\d+\) \w*Join", plan, re.M)
+    assert len(joins) == 5
 
 
 @pytest.mark.parametrize("name, id_column", [
