@@ -14,7 +14,7 @@ from checks.sql import BAD_FLIGHT_NUMBER
 from skyledger.functions.flights import fact_key, hhmm_timestamp
 from skyledger.functions.messages import flight_id, flight_id_by_number
 from skyledger.operators import analytics, cleaning, curate, dimensions, fact, quality, sampling
-from skyledger.plans import history, ledger
+from skyledger.plans import bucketed, history, ledger
 from skyledger.plans.report import report_results
 from skyledger.schemas import FLAT_FLIGHT, RAW_FLIGHTS
 from skyledger.sinks import files as sink_files
@@ -634,6 +634,7 @@ def queries() -> dict[str, Query]:
         "fact_table": _fact(fact.fact_table),
         "fact_table_smj": _fact(fact.fact_table_hinted),
         "fact_table_with_ids": _fact(fact.fact_table_with_ids),
+        "fact_table_bucketed": _fact(bucketed.fact_table_bucketed),
 
         "table_info": _on_flights(analytics.table_info),
         "table_summary": _on_flights(analytics.table_summary),

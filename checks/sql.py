@@ -482,6 +482,10 @@ def oracles() -> dict[str, str]:
               AND k.DOT_ID_Reporting_Airline = a.DOT_ID_Reporting_Airline
             LEFT JOIN d_delay1 y ON k.fact_key = y.fact_key
             LEFT JOIN d_cancel1 c ON k.fact_key = c.fact_key"""),
+        "fact_table_bucketed": _with(_STAR, f"""SELECT DISTINCT
+            {", ".join("k." + name for name in FACT)}, y.delay_id, c.cancellation_id
+            FROM kf k LEFT JOIN d_delay1 y ON k.fact_key = y.fact_key
+            LEFT JOIN d_cancel1 c ON k.fact_key = c.fact_key"""),
 
         # analyses
         "table_info": _with(_FL, f"""SELECT {_COUNT} AS total_rows,

@@ -147,7 +147,7 @@ def fact_table_hinted(flights: DataFrame, dim_time: DataFrame, dim_airport: Data
                       broadcast_if_small(dim_cancel))
 
 
-def _event_ids(dim_delay: DataFrame, dim_cancel: DataFrame) -> DataFrame:
+def event_ids(dim_delay: DataFrame, dim_cancel: DataFrame) -> DataFrame:
     """(fact_key, delay_id, cancellation_id), one row per key."""
     no_id = F.lit(None).cast("bigint")
     delays = dim_delay.select("fact_key", "delay_id", no_id.alias("cancellation_id"))
@@ -170,7 +170,7 @@ def fact_table_with_ids(flights: DataFrame, dim_time: DataFrame, dim_airport: Da
     """
     facts = (with_fact_key(flights)
              .select(*FACT_COLUMNS, "DOT_ID_Reporting_Airline").distinct())
-    facts = _join_large(facts, _event_ids(dim_delay, dim_cancel), ["fact_key"])
+    facts = _join_large(facts, event_ids(dim_delay, dim_cancel), ["fact_key"])
 
     dates = dim_time.select("FlightDate", "time_id")
     facts = _join_dim(facts, dim_time, dates, ["FlightDate"], max_rows)

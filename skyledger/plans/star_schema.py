@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.operators import fact
 from skyledger.operators.dimensions import DIMENSIONS, build_dims
+from skyledger.plans.bucketed import fact_table_bucketed
 from skyledger.sinks.files import save_dimension, write_parquet
 
 log = logging.getLogger(__name__)
@@ -31,6 +32,7 @@ FACT_BUILDS = {
     "default": fact.fact_table,
     "hinted": fact.fact_table_hinted,
     "with_ids": fact.fact_table_with_ids,
+    "bucketed": fact_table_bucketed,
 }
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from skyledger.operators import dimensions, fact
 from skyledger.operators.cleaning import clean_flights
 from skyledger.operators.ids import with_dense_id
-from skyledger.plans import star_schema
+from skyledger.plans import bucketed, star_schema
 from skyledger.storage import matching_paths, shared_dir
 from tests.conftest import plan_of, rows
 
@@ -161,6 +161,31 @@ def test_hot_fact_key_is_split(spark, cleaned, dims):
     assert "skew=true" in executed
 
 
+def test_bucketed_fact_merges_without_an_exchange(cleaned, dims):
+    built = bucketed.fact_table_bucketed(cleaned, **dims)
+    plan = plan_of(built)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    expected = fact.fact_table_with_ids(cleaned, **dims).select(*built.columns)
+    assert built.exceptAll(expected).count() == 0 == expected.exceptAll(built).count()
+
+
+def test_bucketed_fact_deals_hot_and_missing_keys(spark, cleaned, dims):
+    """A third of the rows on one key and a third without one: no bucket holds either whole."""
+    one = cleaned.filter("Cancelled = 0 AND Diverted = 0").limit(1)
+    hot = repeated(one, 8000)
+    keyless = hot.withColumn("Origin", F.lit(None).cast("string"))
+    source = cleaned.unionByName(hot).unionByName(keyless)
+    bucketed.store_bucketed(source, dims["dim_delay"], dims["dim_cancel"], "hot_facts",
+                            "hot_events", buckets=16)
+    sizes = [row["count"] for row in spark.table("hot_facts").groupBy(
+        F.input_file_name()).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * sum(sizes) / 16
+    built = bucketed.bucketed_fact(spark, "hot_facts", "hot_events")
+    assert "Exchange" not in plan_of(built)
+    expected = fact.fact_table_with_ids(source, **dims).select(*built.columns)
+    assert built.exceptAll(expected).count() == 0 == expected.exceptAll(built).count()
+
+
 def test_large_dimensions_join_alike(cleaned, dims):
     """With a broadcast limit of zero every join takes the other way; the rows are the same."""
     small = fact.fact_table_with_ids(cleaned, **dims)
