@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -538,6 +539,37 @@ def stream_dual_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("sink", "flight_date").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def stream_dual_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One read for both sinks. The second sink fails once, in the second batch, after the first
+    sink has committed it; the query is started again and both hold every row once."""
+    stream = _stream(spark, views.status_messages(spark, sf_dir))
+    files, copy, log, markers = (scratch_path(spark, label) for label in
+                                 ("stream", "stream", "stream-log", "markers"))
+    calls = []
+    second = sinks.parquet_target(copy)
+
+    def failing(batch: DataFrame, name: str) -> None:
+        calls.append(name)
+        if len(calls) == 2:
+            raise OSError("the second sink is away")
+        second(batch, name)
+
+    write = sinks.dual_batch_writer(
+        {"files": sinks.parquet_target(files, sinks.PARTITION_BY), "copy": failing}, markers)
+
+    def drain() -> None:
+        sinks.batch_sink(parse.flight_stream(stream), write, log,
+                         trigger="available").start().awaitTermination()
+
+    try:
+        drain()
+    except StreamingQueryException:
+        drain()
+    stored, copied = (sinks.read_batches(spark, path, FLAT_FLIGHT) for path in (files, copy))
+    return stored.withColumn("sink", F.lit("files")).unionByName(
+        copied.withColumn("sink", F.lit("copy")))
+
+
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the messages, a stop, the other half, and one run with nothing new."""
     messages = materialise(views.status_messages(spark, sf_dir), "messages")
@@ -675,6 +707,7 @@ def queries() -> dict[str, Query]:
         "stream_foreach_batch": stream_foreach_batch,
         "stream_wide": stream_wide,
         "stream_dual_sink": stream_dual_sink,
+        "stream_dual_replayed": stream_dual_replayed,
         "stream_restart": stream_restart,
         "stream_two_checkpoints": stream_two_checkpoints,
     }

@@ -573,6 +573,8 @@ def oracles() -> dict[str, str]:
         "stream_dual_sink": _with(_STATUS, " UNION ALL ".join(
             f"""SELECT '{sink}' AS sink, flight_date, {_COUNT} AS rows FROM flat
             GROUP BY flight_date""" for sink in ("files", "copy"))),
+        "stream_dual_replayed": _with(_STATUS, " UNION ALL ".join(
+            f"SELECT '{sink}' AS sink, * FROM flat" for sink in ("files", "copy"))),
         "stream_restart": _with(_STATUS, "SELECT flight_id, flight_status FROM flat"),
         "stream_two_checkpoints": _with(_STATUS, "SELECT flight_id, flight_status FROM flat"),
     }

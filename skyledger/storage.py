@@ -75,6 +75,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, with the folders above it; nothing happens if it is there."""
+    fs, hadoop_path = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        fs.create(hadoop_path, True).close()
+
+
 def move_path(spark: SparkSession, source: str, target: str) -> None:
     """Rename; the folder above the target is made if need be."""
     fs, target_path = _file_system(spark, target)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
+
+from skyledger.storage import path_exists, touch
 
 # ---- fixed values -------------------------------------------------------------------------
 
@@ -56,9 +60,62 @@ def replayable_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        name = f"{query}-{batch_id}" if query else f"{batch_id}"
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COLUMN}={name}")
+        batch.write.mode("overwrite").parquet(_batch_folder(path, _batch_name(batch, batch_id)))
+
+    return write
+
+
+def _batch_name(batch: DataFrame, batch_id: int) -> str:
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise RuntimeError("batches are named after their query: write them from foreachBatch")
+    return f"{query}-{batch_id}"
+
+
+def _batch_folder(path: str, name: str) -> str:
+    return f"{path.rstrip('/')}/{BATCH_COLUMN}={name}"
+
+
+Target = Callable[[DataFrame, str], None]
+
+
+def parquet_target(path: str, partition_by: str | None = None) -> Target:
+    """A target of ``dual_batch_writer``: the batch's directory below ``path``, replaced whole."""
+
+    def write(batch: DataFrame, name: str) -> None:
+        writer = batch.write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(_batch_folder(path, name))
+
+    return write
+
+
+def dual_batch_writer(targets: Mapping[str, Target],
+                      markers: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that commits one batch to several targets.
+
+    The batch is parsed once and kept on the executors' disks while the targets are written (a lost
+    executor's part is read again). After each target an empty marker file goes to
+    ``markers/<target>/<query>-<batch>``. If a target fails, so does the batch, and Spark hands the
+    same one out after the restart: targets with a marker are left as they are and only the others
+    are written. A target that failed half-way is overwritten, so writing to one must replace
+    what an earlier try of the same batch left.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, name = batch.sparkSession, _batch_name(batch, batch_id)
+        marks = {target: f"{markers.rstrip('/')}/{target}/{name}" for target in targets}
+        pending = [target for target in targets if not path_exists(spark, marks[target])]
+        if not pending:
+            return
+        batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            for target in pending:
+                targets[target](batch, name)
+                touch(spark, marks[target])
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -82,6 +139,15 @@ def start_dual_sink(stream: DataFrame, path: str, checkpoint: str, second_path:
     return [files, copy]
 
 
+def dual_sink(stream: DataFrame, path: str, second_path: str, markers: str, checkpoint: str,
+              trigger: str | None = TRIGGER,
+              partition_by: str | None = PARTITION_BY) -> DataStreamWriter:
+    """One query that reads the stream once and writes files by date and the warehouse copy; both
+    hold the same batches whenever it rests."""
+    targets = {"files": parquet_target(path, partition_by), "copy": parquet_target(second_path)}
+    return batch_sink(stream, dual_batch_writer(targets, markers), checkpoint, trigger)
+
+
 def console_sink(stream: DataFrame, checkpoint: str,
                  trigger: str | None = TRIGGER) -> DataStreamWriter:
     """Print decoded messages."""
@@ -90,6 +156,8 @@ def console_sink(stream: DataFrame, checkpoint: str,
     return _triggered(writer, trigger)
 
 
-def read_batches(spark, path: str) -> DataFrame:
-    """All batches a replayable writer has stored, without the batch column."""
-    return spark.read.parquet(path).drop(F.col(BATCH_COLUMN))
+def read_batches(spark, path: str, schema: StructType | None = None) -> DataFrame:
+    """All batches a replayable writer has stored, without the batch column. A ``schema`` spares
+    reading footers and gives columns that are directories their type."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).drop(F.col(BATCH_COLUMN))

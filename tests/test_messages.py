@@ -167,7 +167,15 @@ def test_restart_continues_where_it_stopped(spark, tmp_path, topic):
     assert (tmp_path / "out" / "flight_date=2024-11-03").is_dir()
 
 
-def test_replayed_batch_is_stored_once(spark, tmp_path, topic):
+@pytest.fixture
+def in_query(spark):
+    """As within foreachBatch of a query."""
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "q")
+    yield
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+
+
+def test_replayed_batch_is_stored_once(spark, tmp_path, in_query):
     write = sinks.replayable_batch_writer(str(tmp_path / "out"))
     batch = spark.range(5)
     write(batch, 0)
@@ -176,6 +184,53 @@ def test_replayed_batch_is_stored_once(spark, tmp_path, topic):
     assert sinks.read_batches(spark, str(tmp_path / "out")).count() == 7
 
 
+def test_a_batch_of_no_query_has_no_name(spark, tmp_path):
+    with pytest.raises(RuntimeError, match="foreachBatch"):
+        sinks.replayable_batch_writer(str(tmp_path / "out"))(spark.range(5), 0)
+
+
+def test_dual_writer_repairs_the_target_that_failed(spark, tmp_path, in_query):
+    """The second target breaks half-way; on replay it alone is written, and a third time none."""
+    out, written = str(tmp_path / "second"), []
+    store = sinks.parquet_target(out)
+
+    def first(batch, name):
+        written.append(("first", name, batch.count()))
+
+    def second(batch, name):
+        written.append(("second", name, batch.count()))
+        store(batch.limit(2) if len(written) == 2 else batch, name)
+        if len(written) == 2:
+            raise OSError("away")
+
+    write = sinks.dual_batch_writer({"first": first, "second": second}, str(tmp_path / "marks"))
+    with pytest.raises(OSError, match="away"):
+        write(spark.range(5), 0)
+    write(spark.range(5), 0)
+    write(spark.range(5), 0)
+    write(spark.range(3), 1)
+    assert written == [("first", "q-0", 5), ("second", "q-0", 5), ("second", "q-0", 5),
+                       ("first", "q-1", 3), ("second", "q-1", 3)]
+    assert sinks.read_batches(spark, out).count() == 8
+
+
+def test_dual_sink_reads_the_stream_once(spark, tmp_path, topic):
+    path, add = topic
+    places = [str(tmp_path / name) for name in ("files", "copy", "markers", "log")]
+
+    def run():
+        flat = parse.flight_stream(source.message_files(spark, path))
+        query = sinks.dual_sink(flat, *places, trigger="available").start()
+        query.awaitTermination()
+        files, copy = (sinks.read_batches(spark, place, FLAT_FLIGHT) for place in places[:2])
+        assert files.exceptAll(copy.select(*files.columns)).count() == 0
+        return files.count(), copy.count(), sum(p["numInputRows"] for p in query.recentProgress)
+
+    assert run() == (3, 3, 3)
+    add("d")
+    assert run() == (4, 4, 1)
+
+
 def test_a_second_checkpoint_keeps_stored_batches(spark, tmp_path):
     """100 rows stored, then a query with a checkpoint of its own adds 7."""
     out = str(tmp_path / "out")
