@@ -14,7 +14,8 @@ from checks import views
 from checks.sql import BAD_FLIGHT_NUMBER
 from skyledger.functions.flights import fact_key, hhmm_timestamp
 from skyledger.functions.messages import flight_id, flight_id_by_number
-from skyledger.operators import analytics, cleaning, curate, dimensions, fact, quality, sampling
+from skyledger.operators import (
+    analytics, cleaning, curate, dimensions, fact, profile, quality, sampling)
 from skyledger.plans import bucketed, history, ledger
 from skyledger.plans.report import report_results
 from skyledger.schemas import FLAT_FLIGHT, RAW_FLIGHTS
@@ -422,6 +423,31 @@ def report_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union
 
 
+def table_summary_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of the history without 1998, then 1998's with a third of June missing, then June
+    again; merged by year. Aircraft, of which there are many, only as close enough or not."""
+    flights, path = views.flights(spark, sf_dir), scratch_path(spark, "profiles")
+    year = sampling.year_filter(flights, SAMPLED_YEAR)
+    profile.update_profiles(flights.filter(F.col("Year") != SAMPLED_YEAR), path)
+    profile.update_profiles(year.filter((F.col("Month") != 6) | (F.col("DayofMonth") > 10)), path)
+    profile.update_profiles(year.filter(F.col("Month") == 6), path, [(SAMPLED_YEAR, 6)])
+    merged = profile.merged_profile(profile.read_profiles(spark, path), "Year")
+    exact = flights.groupBy("Year").agg(F.count_distinct("Tail_Number").alias("aircraft"))
+    error = F.abs(F.col("unique_aircraft") / F.col("aircraft") - 1)
+    return merged.join(exact, "Year").withColumn("aircraft_within_3_percent", error <= 0.03).drop(
+        "unique_aircraft", "aircraft")
+
+
+def block_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the directories of a table by year and month, drawn by their names."""
+    path = scratch_path(spark, "partitioned")
+    flights = views.flights(spark, sf_dir)
+    sink_files.write_partitioned(flights, path, ["Year", "Month"])
+    folder = F.regexp_extract("_metadata.file_path", "(Year=[^/]*/Month=[^/]*)/", 1)
+    return sampling.block_sample(source_files.read_parquet(spark, path, flights.schema), 0.25,
+                                 seed=7, block=folder)
+
+
 def _null_profile(df: DataFrame) -> DataFrame:
     return quality.null_profile(df, [*quality.CHECKED_COLUMNS, "Dest", "DepTime", "ArrTime",
                                      "CancellationCode"])
@@ -434,6 +460,15 @@ def _draw() -> Column:
     return F.md5(F.concat_ws("|", *[F.col(name).cast("string") for name in parts]))
 
 
+def _number_of(digest: Column) -> Column:
+    """A number in [0, 1) from the first 32 bits of a hexadecimal digest."""
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
+
+
+def _drawn_number() -> Column:
+    return _number_of(_draw())
+
+
 def _sampled_year(df: DataFrame) -> DataFrame:
     return sampling.random_sample(df, year=SAMPLED_YEAR, by=_draw())
 
@@ -682,6 +717,8 @@ def queries() -> dict[str, Query]:
         "dow_vs_mean": _on_flights(analytics.dow_vs_mean),
         "report_outputs": report_outputs,
 
+        "table_summary_merged": table_summary_merged,
+        "block_sample": block_sample,
         "year_filter": _on_flights(lambda df: sampling.year_filter(df, SAMPLED_YEAR)),
         "recent_data": _on_flights(lambda df: sampling.recent_data(df, as_of=AS_OF)),
         "specific_routes": _on_flights(
@@ -694,6 +731,12 @@ def queries() -> dict[str, Query]:
         "weighted_route_sample": _on_flights(
             lambda df: sampling.weighted_sample(curate.route_frequency(df), "count", 5, seed=7)),
 
+        "table_sample_drawn": _on_flights(
+            lambda df: sampling.table_sample(df, by=_drawn_number())),
+        "weighted_route_sample_drawn": _on_flights(lambda df: sampling.weighted_sample(
+            curate.route_frequency(df), "count", 5,
+            by=_number_of(F.md5(F.concat_ws("|", F.lit("7"), "Origin", "Dest"))))),
+
         "rt_flight_id": _on(views.status_flights, lambda df: df.select(
             flight_id().alias("flight_id"), F.col("flight.number").alias("flight_number"))),
         "rt_flight_id_alt": _on(views.status_flights, lambda df: df.select(

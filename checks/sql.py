@@ -261,6 +261,10 @@ _DRAW = ("md5(concat_ws('|', CAST(FlightDate AS VARCHAR), Tail_Number, "
          "CAST(CRSDepTime AS VARCHAR)))")
 
 
+def _number_of(digest: str) -> str:
+    return f"CAST('0x' || substr({digest}, 1, 8) AS BIGINT) / 4294967296.0"
+
+
 def _rest(*used: str) -> str:
     return _order([name for name in FLIGHT_COLUMNS if name not in used])
 
@@ -526,6 +530,23 @@ def oracles() -> dict[str, str]:
             f"SELECT 'table_info', 1, {_COUNT} FROM fl"])),
 
         # samples
+        "table_summary_merged": _with(_FL, f"""SELECT Year, {_COUNT} AS total_rows,
+            count(DISTINCT Reporting_Airline) AS unique_airlines,
+            count(DISTINCT Origin) AS unique_origins,
+            count(DISTINCT Dest) AS unique_destinations, min(FlightDate) AS earliest_date,
+            max(FlightDate) AS latest_date, avg(DepDelay) AS avg_dep_delay,
+            avg(ArrDelay) AS avg_arr_delay,
+            CAST(count(*) FILTER (WHERE Cancelled > 0) AS BIGINT) AS cancelled_flights,
+            CAST(count(*) FILTER (WHERE Diverted > 0) AS BIGINT) AS diverted_flights,
+            true AS aircraft_within_3_percent FROM fl GROUP BY Year"""),
+        "block_sample": _with(_FL, f"""{everything} WHERE
+            md5('7|Year=' || Year || '/Month=' || Month)[:16] < '4000000000000000'"""),
+        "table_sample_drawn": _with(_FL, f"""{everything} WHERE {_number_of(_DRAW)} < 0.01
+            ORDER BY {_number_of(_DRAW)}, {_rest()} LIMIT 1000"""),
+        "weighted_route_sample_drawn": _with(_FL, f"""SELECT Origin, Dest, {_COUNT} AS count
+            FROM fl GROUP BY Origin, Dest ORDER BY
+            -ln(1 - {_number_of("md5('7|' || Origin || '|' || Dest)")}) / count(*), Origin, Dest
+            LIMIT 5"""),
         "year_filter": _with(_FL, f"{everything} WHERE Year = 1998"),
         "recent_data": _with(_FL, f"""{everything}
             WHERE FlightDate >= DATE '2001-10-15' - 30

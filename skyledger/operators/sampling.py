@@ -54,11 +54,30 @@ def random_sample(flights: DataFrame, rows: int = SAMPLE_ROWS, year: int | None
 
 
 def table_sample(flights: DataFrame, fraction: float = SAMPLE_FRACTION, rows: int = SAMPLE_ROWS,
-                 seed: int | None = None) -> DataFrame:
+                 seed: int | None = None, by: Column | None = None) -> DataFrame:
     """Bernoulli sample of the rows; of more than ``rows`` those with the smallest draws, so that
-    the sample is spread over the whole table."""
-    return (flights.withColumn(_DRAW, _uniform(flights, seed)).filter(F.col(_DRAW) < fraction)
-            .orderBy(_DRAW, *(_rest(flights) if seed is not None else [])).limit(rows).drop(_DRAW))
+    the sample is spread over the whole table. ``by``: numbers in [0, 1) in place of the draws."""
+    settled = by is not None or seed is not None
+    return (flights.withColumn(_DRAW, _draw(flights, by, seed)).filter(F.col(_DRAW) < fraction)
+            .orderBy(_DRAW, *(_rest(flights) if settled else [])).limit(rows).drop(_DRAW))
+
+
+def block_sample(table: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int = 0,
+                 block: Column | None = None) -> DataFrame:
+    """All rows of a share of the table's files; ``table`` is read from files and not yet changed.
+
+    A file is drawn by a hash of seed and path. The condition names nothing but the file, so that
+    Spark settles it when it lists files, and no byte of the others is read. The layouts here keep
+    files at about a storage block's size; a table in a few large files is better sampled by rows.
+    ``block``: what to draw by in place of the path, an expression over ``_metadata``; files with
+    equal values are drawn together.
+    """
+    name = F.col("_metadata.file_path") if block is None else block
+    drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), name))
+    if fraction >= 1:
+        return table
+    # The first 64 bits of the digest, compared as text with those of the fraction.
+    return table.filter(F.substring(drawn, 1, 16) < f"{int(fraction * (1 << 64)):016x}")
 
 
 def recent_data(flights: DataFrame, days: int = RECENT_DAYS, limit: int = RECENT_ROWS,
@@ -102,16 +121,17 @@ def airlines_sample(flights: DataFrame, airlines: list[str], rows_each: int = AI
                      *_rest(flights, "Reporting_Airline", "FlightDate")))
 
 
-def weighted_sample(df: DataFrame, weight: str, rows: int = 1,
-                    seed: int | None = None) -> DataFrame:
+def weighted_sample(df: DataFrame, weight: str, rows: int = 1, seed: int | None = None,
+                    by: Column | None = None) -> DataFrame:
     """``rows`` rows without replacement, each draw proportional to ``weight``.
 
     The smallest exponential waiting times with rate ``weight`` win (Efraimidis and Spirakis);
-    rows of zero or null weight never do.
+    rows of zero or null weight never do. ``by``: numbers in [0, 1) in place of the draws.
     """
-    waiting = -F.log(F.lit(1.0) - _uniform(df, seed)) / F.col(weight)
+    waiting = -F.log(F.lit(1.0) - _draw(df, by, seed)) / F.col(weight)
+    settled = by is not None or seed is not None
     return (df.filter(F.col(weight) > 0).withColumn(_DRAW, waiting)
-            .orderBy(_DRAW, *(_rest(df) if seed is not None else [])).limit(rows).drop(_DRAW))
+            .orderBy(_DRAW, *(_rest(df) if settled else [])).limit(rows).drop(_DRAW))
 
 
 def sample_stats(sample: DataFrame) -> DataFrame:
