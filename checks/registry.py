@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from checks import views
-from checks.sql import BAD_FLIGHT_NUMBER
+from checks.sql import BAD_FLIGHT_NUMBER, CURATED
 from skyledger.functions.flights import fact_key, hhmm_timestamp
 from skyledger.functions.messages import flight_id, flight_id_by_number
 from skyledger.operators import (
@@ -277,6 +278,27 @@ def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory.filter(F.col("num_bytes") > 0).select("table_name", "num_rows")
 
 
+def catalog_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared tables, one filled in two loads, as the catalog and the files tell of them."""
+    database = f"flights_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
+    tables = sink_files.create_tables(spark, database)
+    flights = views.flights(spark, sf_dir).select(*[
+        name for name in RAW_FLIGHTS.fieldNames() if name in CURATED])
+    raw = f"{database}.flights_raw"
+    for part in (F.col("Year") < SAMPLED_YEAR, F.col("Year") >= SAMPLED_YEAR):
+        sink_files.append_to_table(flights.filter(part), raw)
+    files = (spark.table(raw).select("_metadata.file_path", "_metadata.file_size").distinct()
+             .agg(F.sum("file_size").alias("bytes")))
+    distance = spark.table(raw).agg(F.sum("Distance").alias("distance"))
+    inventory = sink_files.catalog_inventory(spark, tables)
+    full = F.col("num_bytes") == F.col("bytes")
+    return inventory.crossJoin(files).crossJoin(distance).select(
+        F.substring_index("table_name", ".", -1).alias("table_name"), "num_rows", "partitioning",
+        "clustering", F.when(F.col("num_rows") > 0, full).otherwise(F.col("num_bytes") == 0)
+        .alias("all_bytes"), F.when(F.col("num_rows") > 0, F.col("distance")).alias("distance"))
+
+
 def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = analytics.delays_by_year(views.flights(spark, sf_dir))
     return source_files.read_csv(spark, _write_csv(result), result.schema)
@@ -660,6 +682,7 @@ def queries() -> dict[str, Query]:
         "load_month_emptied": load_month_emptied,
         "load_batches": load_batches,
         "dataset_summary": dataset_summary,
+        "catalog_summary": catalog_summary,
         "export_roundtrip": export_roundtrip,
         "export_json_roundtrip": export_json_roundtrip,
         "export_parquet_roundtrip": export_parquet_roundtrip,

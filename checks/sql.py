@@ -376,6 +376,13 @@ def oracles() -> dict[str, str]:
         "dataset_summary": " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, {_COUNT} AS num_rows FROM {name}"
             for name in ("lineitem", "orders", "events")),
+        "catalog_summary": _with(_FL, f"""SELECT 'flights_raw' AS table_name, {_COUNT} AS num_rows,
+            'Year,Month' AS partitioning, 'Reporting_Airline,Origin,Dest' AS clustering,
+            true AS all_bytes, sum(Distance) AS distance FROM fl
+            UNION ALL SELECT 'flights_processed', 0, 'event_date', 'airline,origin,destination',
+              true, NULL
+            UNION ALL SELECT 'flights_analytics', 0, 'year,month', 'airline,origin,destination',
+              true, NULL"""),
         "export_roundtrip": _with(_FL, _BY_YEAR),
         "export_json_roundtrip": _with(_FL, _BY_YEAR),
         "export_parquet_roundtrip": _with(_FL, _BY_YEAR),

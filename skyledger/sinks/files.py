@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skyledger import schemas
+from skyledger.sinks.catalog import declare_clustering, table_layout
 from skyledger.sources.files import read_csv
 from skyledger.storage import delete_path, path_exists, qualified, swap_directory
 
@@ -220,7 +221,8 @@ LAYOUTS = {
 
 def create_tables(spark: SparkSession, database: str | None = None,
                   names: list[str] | None = None) -> list[str]:
-    """Create the empty partitioned tables that do not exist yet."""
+    """Create the empty partitioned tables that do not exist yet. The order of their rows is kept
+    with the table, see ``catalog.table_layout``; that of an existing table stays as it is."""
     created = []
     for name in names or list(LAYOUTS):
         layout = LAYOUTS[name]
@@ -228,6 +230,8 @@ def create_tables(spark: SparkSession, database: str | None = None,
         empty = layout.stored(spark.createDataFrame([], layout.schema))
         (empty.write.mode("ignore").format("parquet")
          .partitionBy(*layout.partition_by).saveAsTable(table))
+        if not table_layout(spark, table).declared:
+            declare_clustering(spark, table, layout.cluster_by)
         created.append(table)
     return created
 
@@ -250,17 +254,51 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", target: str |
          .mode(mode).save())
 
 
+def append_to_table(df: DataFrame, table: str) -> None:
+    """Add rows to a catalog table in the layout that the catalog holds for it: rows of one
+    directory together, in the order that the table declares. Columns go by name; one that the
+    table lacks is an error, one that ``df`` lacks becomes null."""
+    spark = df.sparkSession
+    layout, schema = table_layout(spark, table), spark.table(table).schema
+    extra = set(df.columns) - set(schema.names)
+    if extra:
+        raise ValueError(f"{table} has no columns {sorted(extra)}")
+    rows = df.select(*[
+        (F.col(f"`{field.name}`") if field.name in df.columns else F.lit(None))
+        .cast(field.dataType).alias(field.name) for field in schema])
+    if layout.partition_by or layout.cluster_by:
+        rows = clustered(rows, layout.partition_by, layout.cluster_by)
+    rows.write.insertInto(table)
+
+
 def table_inventory(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
     """(table_name, num_rows, num_bytes, partitioning, clustering) of Parquet tables by path.
 
     Rows come from the file footers, bytes from the file listing; no column is read.
     """
+    return _inventory(spark, {name: (spark.read.parquet(path), path)
+                              for name, path in tables.items()},
+                      {name: (list(LAYOUTS[name].partition_by), LAYOUTS[name].cluster_by)
+                       for name in tables.keys() & LAYOUTS.keys()})
+
+
+def catalog_inventory(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
+    """The same of catalog tables, empty ones included, with the layout that the catalog holds."""
+    layouts = {name: table_layout(spark, name) for name in tables}
+    return _inventory(spark, {name: (spark.table(name), layout.location)
+                              for name, layout in layouts.items()},
+                      {name: (layout.partition_by, layout.cluster_by)
+                       for name, layout in layouts.items()})
+
+
+def _inventory(spark: SparkSession, tables: Mapping[str, tuple[DataFrame, str]],
+               layouts: Mapping[str, tuple[list[str], list[str]]]) -> DataFrame:
     nothing = F.lit(0).cast("bigint")
     parts = []
-    for name, path in tables.items():
+    for name, (rows, path) in tables.items():
         files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
                  .option("pathGlobFilter", "*.parquet").load(path))
-        parts.append(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("num_rows")).select(
+        parts.append(rows.agg(F.count(F.lit(1)).alias("num_rows")).select(
             F.lit(name).alias("table_name"), "num_rows", nothing.alias("num_bytes")))
         parts.append(files.agg(F.sum("length").alias("num_bytes")).select(
             F.lit(name).alias("table_name"), nothing.alias("num_rows"), "num_bytes"))
@@ -270,12 +308,10 @@ def table_inventory(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame
               .agg(F.sum("num_rows").alias("num_rows"),
                    F.coalesce(F.sum("num_bytes"), nothing).alias("num_bytes")))
 
-    def declared(part: str):
+    def declared(part: int):
         label = F.lit(None).cast("string")
-        for name in tables.keys() & LAYOUTS.keys():
-            columns = ",".join(getattr(LAYOUTS[name], part))
-            label = F.when(F.col("table_name") == name, columns).otherwise(label)
+        for name, layout in layouts.items():
+            label = F.when(F.col("table_name") == name, ",".join(layout[part])).otherwise(label)
         return label
 
-    return totals.select("*", declared("partition_by").alias("partitioning"),
-                         declared("cluster_by").alias("clustering"))
+    return totals.select("*", declared(0).alias("partitioning"), declared(1).alias("clustering"))
