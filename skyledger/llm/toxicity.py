@@ -8,8 +8,10 @@ id. A quarter of the sample, again by hash, is left out of lexicon and trees and
 each row with the weight of the labels of its kind that it stands for, so that scores follow the
 rate of all usable labels and not that of the sample. Every document is scored, over its whole text.
 
-Null and empty texts have features of zero and a score like others. Labels that are null or
-neither 0 nor 1 are not used; repeated ids are scored row by row. Without labels of both kinds
+Null and empty texts have features of zero and a score like others; very long ones are read
+whole. Labels that are null or neither 0 nor 1, of an id that is not among the documents, or that
+contradict another label of their id are not used; of a repeated id one text is learned from, and
+every row is scored. Without labels of both kinds
 there is nothing to learn: every score is then the share of positives, weighted likewise (0 if
 there is none). Further columns are not read.
 """
@@ -175,18 +177,26 @@ def held_out(doc_id: Column) -> Column:
 def sampled(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text, label, weight, calibrates: the bounded sample that everything is learned from.
 
-    ``weight`` is the number of usable labels of the same kind for each one that was drawn.
+    Only labels of given documents are drawn. An id counts once: one whose labels contradict each
+    other is not learned from, and of several texts of an id the one with the least digest is.
+    ``weight`` is the number of usable ids of the same kind for each one that was drawn.
     """
-    known = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).where(
-        "doc_id is not null and label in (0, 1)").where(~held_out(F.col("doc_id")))
+    given = documents.where("doc_id is not null").select("doc_id").distinct()
+    known = stored(
+        labels.select("doc_id", F.col("toxic").cast("int").alias("label"))
+        .where("doc_id is not null and label in (0, 1)").where(~held_out(F.col("doc_id")))
+        .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
+        .where("label = other").drop("other").join(given, "doc_id", "left_semi"), "toxic-labels")
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     picked = [known.where(F.col("label") == label)
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
               .withColumn("weight", F.lit(max(counts.get(label, 0) / most, 1.0)))
               for label, most in ((1, POSITIVES), (0, NEGATIVES))]
-    chosen = picked[0].union(picked[1]).dropDuplicates(["doc_id"])
-    texts = documents.select("doc_id", "text")
-    return stored(texts.join(F.broadcast(chosen), "doc_id").select(
+    chosen = picked[0].union(picked[1])
+    text = F.coalesce("text", F.lit(""))
+    texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy(
+        "doc_id", "label", "weight").agg(F.min_by("text", F.sha2(text, 256)).alias("text"))
+    return stored(texts.select(
         "doc_id", "text", "label", "weight",
         (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)) == 0).alias("calibrates")),
         "toxic-sample")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -289,6 +290,41 @@ def test_toxicity_learns_and_handles_missing_labels(session):
     assert {r.score for r in toxicity.scored(docs, none, ["doc_id"]).collect()} == {0.0}
 
 
+def test_toxicity_sample_is_bounded_and_usable(session, monkeypatch):
+    """Labels of other documents take no place in the sample, an id that repeats takes one, and
+    one whose labels contradict each other none."""
+    monkeypatch.setattr(toxicity, "POSITIVES", 40)
+    monkeypatch.setattr(toxicity, "NEGATIVES", 80)
+    single = session.range(300).selectExpr("id as doc_id", "concat('text ', id) as text")
+    again = session.range(500).selectExpr("2L as doc_id", "concat('again ', id) as text")
+    unknown = session.sql("SELECT CAST(NULL AS BIGINT) AS doc_id, 'no id' AS text")
+    docs = single.union(again).union(unknown)
+    marks = session.range(5000).selectExpr("id as doc_id", "int(id % 3 = 0) as toxic").union(
+        session.sql("SELECT 4L, 0 UNION ALL SELECT 4L, 1 UNION ALL SELECT CAST(NULL AS BIGINT), 1"))
+    usable = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5 and i != 4]
+    rows = toxicity.sampled(docs, marks).collect()
+    ids = [r.doc_id for r in rows]
+    assert len(set(ids)) == len(ids) == 120 and set(ids) <= set(usable)
+    for label, most in ((1, 40), (0, 80)):
+        kind = [i for i in usable if int(i % 3 == 0) == label]
+        picked = [r for r in rows if r.label == label]
+        assert len(picked) == most
+        assert picked[0].weight == pytest.approx(len(kind) / most)
+        assert all(r.doc_id in kind for r in picked)
+    first, second = (toxicity.sampled(source, marks.limit(0)).count() for source in (docs, docs.limit(0)))
+    assert first == second == 0
+
+
+def test_toxicity_of_a_repeated_id_learns_one_text(session):
+    texts = [f"again {i}" for i in range(50)] + [None]
+    one = next(i for i in range(9) if zlib.crc32(str(i).encode()) % 5)
+    docs = session.createDataFrame([(one, t) for t in texts], "doc_id long, text string")
+    marks = session.createDataFrame([(one, 1), (one, 1)], "doc_id long, toxic int")
+    (row,) = toxicity.sampled(docs, marks).collect()
+    assert row.text == min(texts, key=lambda t: hashlib.sha256((t or "").encode()).hexdigest())
+    assert (row.label, row.weight) == (1, 1.0)
+
+
 def test_toxicity_scores_follow_the_rate_of_all_labels(session, monkeypatch):
     # One text in ten is toxic, and nothing in the texts says which.
     docs = session.range(2000).selectExpr("id as doc_id", "'some words of a doubtful kind' as text")
