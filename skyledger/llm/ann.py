@@ -11,9 +11,10 @@ abandoned. Survivors are measured on their original vectors in double precision.
 Lists are dealt in cells of bounded size, so that a list that holds much of the table is scanned
 by many tasks; every cell of a probed list is scanned, and no candidate is capped.
 
-Vectors that are null, empty or zero, hold a null, NaN or infinite component, or have another
-number of components than most take no part; neither do rows without an id. Rows that repeat both
-id and vector count once. A table without valid vectors, or with a query alone, gives no rows for
+Vectors that are null, empty or zero, or hold a null, NaN or infinite component take no part;
+neither do rows without an id. There is no distance between vectors of different numbers of
+components: each width is searched by itself, with an index of its own, so that a query finds rows
+of its own width. Rows that repeat both id and vector count once. A table without valid vectors, or with a query alone, gives no rows for
 it. Other columns are not read.
 """
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -164,10 +166,15 @@ def nearest(
     rows = embeddings.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
     rows = stored(rows.where(F.col("vec_id").isNotNull() & valid(F.col("vector")))
                   .withColumn("vector", F.col("vector").cast("array<double>")), "ann-rows")
-    widths = rows.groupBy(F.size("vector").alias("width")).count() \
-        .orderBy(F.desc("count"), F.desc("width")).head(1)
-    width = widths[0]["width"] if widths else 1
-    rows = rows.where(F.size("vector") == width)
+    widths = sorted(r["width"] for r in rows.select(F.size("vector").alias("width")).distinct().collect())
+    found = [_nearest_of_width(rows.where(F.size("vector") == width), width, is_query, k, probes, margin)
+             for width in widths or [1]]
+    return reduce(DataFrame.union, found)
+
+
+def _nearest_of_width(rows: DataFrame, width: int, is_query: Callable[[Column], Column], k: int,
+                      probes: int | None, margin: float) -> DataFrame:
+    """``nearest`` of valid rows (vec_id, vector) that all have ``width`` components."""
     spark = rows.sparkSession
 
     # One more than k ids of a class, as a query leaves itself out.

@@ -124,22 +124,44 @@ PAIRS = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
 
 #: Stands for a null id, which comes last.
 _NULL_ID = -(1 << 63)
+_LEAST = -(1 << 63)
 
 
-def _slots(edges: np.ndarray, heads: dict[int, int]):
-    """slot: range of ids, the largest ids in slot 0. guest_in: the slot that sees an id as guest.
+def _edges(bounds: list[int]) -> list[tuple[int, int]]:
+    """(down, mark) at which slots begin. An id that holds several shares of the rows is cut into as
+    many slots by its marks."""
+    edges = []
+    for down in sorted(set(bounds)):
+        shares = bounds.count(down)
+        edges += [(down, _LEAST + i * ((1 << 64) // shares)) for i in range(shares)]
+    return edges
 
-    ``edges`` has an id per partition at most, ``heads`` the largest id of each slot.
+
+def _slots(edges: list[tuple[int, int]], heads: dict[int, tuple[int, int]]):
+    """slot: how many edges lie at or before a row. guest_in: the slot that sees a row as guest.
+
+    ``edges`` has an entry per partition at most, ``heads`` the first row of each slot.
     """
+    downs, marks = (np.array([e[i] for e in edges], dtype=np.int64) for i in (0, 1))
     order = sorted(heads)
     host = {heads[slot]: order[i - 1] for i, slot in enumerate(order)}
+    first_downs = np.array([down for down, _ in host], dtype=np.int64)
 
     @F.pandas_udf("slot int, guest_in int")
-    def slots(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for ids in parts:
-            yield pd.DataFrame({
-                "slot": (len(edges) - np.searchsorted(edges, ids.to_numpy())).astype(np.int32),
-                "guest_in": ids.map(host).fillna(-1).astype(np.int32)})
+    def slots(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for down, mark in parts:
+            down, mark = down.to_numpy(), mark.to_numpy()
+            begin, slot = (np.searchsorted(downs, down, side) for side in ("left", "right"))
+            # Of the edges of one id those at or before the mark count.
+            several = slot - begin > 1
+            for at in np.unique(begin[several]):
+                chosen = several & (begin == at)
+                own = marks[at:np.searchsorted(downs, downs[at], "right")]
+                slot[chosen] = at + np.searchsorted(own, mark[chosen], "right")
+            guest_in = np.full(len(down), -1, dtype=np.int32)
+            for i in np.flatnonzero(np.isin(down, first_downs)):
+                guest_in[i] = host.get((down[i].item(), mark[i].item()), -1)
+            yield pd.DataFrame({"slot": slot.astype(np.int32), "guest_in": guest_in})
 
     return slots
 
@@ -148,26 +170,33 @@ def _in_order(documents: DataFrame) -> DataFrame:
     """guest, doc_id, text: a partition per slot, its documents by descending id, then its guest.
 
     The guest of a slot is the first document of the next slot that has any; behind the last slot
-    the first follows again. Equal ids go by text. Texts are shuffled once; an id per partition
-    goes to the driver.
+    the first follows again. ``down`` is the complement of the id, so that ids descend. Rows of an
+    id that holds several shares of the table go by a digest of their text, ``mark``, and then by
+    the text, other equal ids by the text. Texts are shuffled once; an id per partition goes to the
+    driver.
     """
     n = partitions(documents.sparkSession)
-    ids = documents.select(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("id"))
+    rows = documents.withColumn("down", F.bitwise_not(F.coalesce("doc_id", F.lit(_NULL_ID))))
     fractions = [i / n for i in range(1, n)] or [0.5]
-    bounds = ids.agg(F.percentile_approx("id", fractions, 10_000)).first()[0] or []
-    edges = np.array(sorted(set(bounds))[:n - 1], dtype=np.int64)
-    slot = _slots(edges, {})
-    heads = {row["slot"]: row["head"] for row in ids.select(slot("id")["slot"].alias("slot"), "id")
-             .groupBy("slot").agg(F.max("id").alias("head")).collect()}
-    dealt = documents.withColumn("id", F.coalesce("doc_id", F.lit(_NULL_ID))) \
-        .withColumn("at", _slots(edges, heads)("id")).select(
-        "doc_id", "id", "text", F.explode(F.filter(F.array(
+    bounds = rows.agg(F.percentile_approx("down", fractions, 10_000)).first()[0] or []
+    edges = _edges(list(bounds)[:n - 1])
+    hot = sorted({down for down, mark in edges if mark != _LEAST})
+    mark = F.lit(0).cast("long")
+    if hot:
+        mark = F.when(F.array_contains(F.lit(hot).cast("array<bigint>"), F.col("down")),
+                      F.xxhash64("text")).otherwise(mark)
+    rows = rows.withColumn("mark", mark)
+    heads = {r["slot"]: (r["head"]["down"], r["head"]["mark"]) for r in rows.select(
+        _slots(edges, {})("down", "mark")["slot"].alias("slot"), "down", "mark").groupBy("slot")
+        .agg(F.min(F.struct("down", "mark")).alias("head")).collect()}
+    dealt = rows.withColumn("at", _slots(edges, heads)("down", "mark")).select(
+        "doc_id", "down", "mark", "text", F.explode(F.filter(F.array(
             F.struct(F.lit(False).alias("guest"), F.col("at.slot").alias("slot")),
             F.struct(F.lit(True).alias("guest"), F.col("at.guest_in").alias("slot"))),
             lambda x: x["slot"] >= 0)).alias("place"))
     return dealt.select(F.col("place.slot").alias("slot"), F.col("place.guest").alias("guest"),
-                        "doc_id", "id", "text").repartitionById(n, "slot") \
-        .sortWithinPartitions("guest", F.col("id").desc(), "text").select("guest", "doc_id", "text")
+                        "doc_id", "down", "mark", "text").repartitionById(n, "slot") \
+        .sortWithinPartitions("guest", "down", "mark", "text").select("guest", "doc_id", "text")
 
 
 def beside_next(documents: DataFrame, key: str = "doc_id", text: str = "text",
@@ -177,6 +206,11 @@ def beside_next(documents: DataFrame, key: str = "doc_id", text: str = "text",
     The next document is the one with the next smaller id; the first follows on the last, a null
     id is the smallest. The edited text has its last floor(n / 2) of n code points replaced by
     the first as many of the next document. Columns: ``PAIRS``.
+
+    Rows that repeat an id follow each other in an order that depends on their texts alone; repeated
+    rows stay as often as they are there. An id, or the lack of one, that holds much of the table
+    is cut into several tasks by its texts. Null texts count as empty, very long ones are hashed piece by
+    piece, an empty table gives no rows, and other columns are not read. Ids must be integers.
     """
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
 

@@ -60,6 +60,75 @@ def test_winnowing(session, corpus):
     assert winnowing.beside_next(corpus.limit(0)).count() == 0
 
 
+def plain_fingerprint(text, gram=winnowing.GRAM, window=winnowing.WINDOW):
+    """(hash, position) by a loop over the windows."""
+    points = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+    if not len(points):
+        return set()
+    gram = min(gram, len(points))
+    hashes = winnowing._gram_hashes(points, gram).tolist()
+    window = min(window, len(hashes))
+    kept = set()
+    for start in range(len(hashes) - window + 1):
+        least = min(hashes[start:start + window])
+        at = max(i for i in range(start, start + window) if hashes[i] == least)
+        kept.add((least, at))
+    return kept
+
+
+def test_likeness_against_loops_over_windows(session, corpus):
+    texts = texts_of(corpus.where("length(text) < 1000 or text is null"))
+    order = sorted(texts, reverse=True)
+    found = {r.doc_id: r for r in winnowing.beside_next(
+        corpus.where("length(text) < 1000 or text is null")).collect()}
+
+    def alike(a, b):
+        x, y = ({h for h, _ in plain_fingerprint(t)} for t in (a, b))
+        return len(x & y) / len(x | y) if x or y else 1.0
+
+    for here, after in zip(order, [*order[1:], order[0]], strict=True):
+        text, following = texts[here], texts[after]
+        n = len(text)
+        edited = text[:n - n // 2] + following[:n // 2]
+        row = found[here]
+        assert row.near_next == pytest.approx(alike(text, following))
+        assert row.near_edited == pytest.approx(alike(text, edited))
+        for printed, source in ((row.fingerprint, text), (row.edited_fingerprint, edited)):
+            want = sorted(plain_fingerprint(source), key=lambda x: x[1])
+            assert printed == "".join(f"{h:016x}{at:08x}" for h, at in want)
+
+
+@pytest.mark.parametrize("hot", [None, 77])
+def test_rows_of_one_id_are_fingerprinted_by_several_tasks(session, hot):
+    rng = np.random.default_rng(21)
+    rows = [(hot, " ".join(f"w{x}" for x in rng.integers(0, 99, 12))) for _ in range(600)]
+    rows += [(i, f"text number {i} of some length") for i in range(60)] + [(hot, None), (5, "x"), (5, "x")]
+    docs = session.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    session.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        parts = winnowing._in_order(docs).rdd.glom().collect()
+        found = winnowing.beside_next(docs).collect()
+    finally:
+        session.conf.set("spark.sql.shuffle.partitions", "4")
+    parts = [part for part in parts if part]
+    assert max(map(len, parts)) < 200
+    own = [[r for r in part if not r.guest] for part in parts]
+    order = [(r.doc_id, r.text) for part in own for r in part]
+    assert sorted(order, key=repr) == sorted(rows, key=repr)
+    ids = [-(1 << 63) if i is None else i for i, _ in order]
+    assert ids == sorted(ids, reverse=True)
+    for part, following in zip(parts, [*own[1:], own[0]], strict=True):
+        assert [(r.doc_id, r.text) for r in part if r.guest][0] == \
+            (following[0].doc_id, following[0].text)
+    want = []
+    for (doc_id, text), (_, following) in zip(order, [*order[1:], order[0]], strict=True):
+        text, following = text or "", following or ""
+        edited = text[:len(text) - len(text) // 2] + following[:len(text) // 2]
+        want.append((doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    assert sorted([(r.doc_id, r.n_chars, r.edited_sha256) for r in found], key=repr) == \
+        sorted(want, key=repr)
+
+
 def test_winnowing_picks_the_rightmost_least():
     rng = np.random.default_rng(1)
     text = "".join(rng.choice(list("ab"), 400))
@@ -89,6 +158,20 @@ def test_ann_against_brute_force(session):
     assert {r.query_id for r in found} == {0, 100, 200}
 
 
+def test_ann_searches_each_width(session):
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.standard_normal(6 if i % 3 else 9).tolist(), "x") for i in range(120)]
+    df = session.createDataFrame(rows, "vec_id long, embedding array<double>, rank string")
+    found = ann.nearest(df, lambda i: i % 20 == 0, probes=10_000, margin=1e9).collect()
+    points = {i: np.array(v) for i, v, _ in rows}
+    for query in range(0, 120, 20):
+        near = sorted((float(np.sqrt(((points[query] - p) ** 2).sum())), i) for i, p in points.items()
+                      if i != query and len(p) == len(points[query]))[:10]
+        mine = sorted((r for r in found if r.query_id == query), key=lambda r: r.rank)
+        assert [(r.rank, r.vec_id) for r in mine] == [(n, i) for n, (_, i) in enumerate(near, 1)]
+    assert ann.nearest(df.limit(0), lambda i: i % 20 == 0).count() == 0
+
+
 def test_chat_spans_and_rewriting():
     turns = [("user", "\\### Assistant: </turn> ok"), ("assistant", "\\l<turn x>\n"), ("", "")]
     made = chat.render(turns)
