@@ -14,6 +14,7 @@ from skyledger.operators.analytics import table_summary
 from skyledger.operators.cleaning import clean_flights, clean_flights_dedup
 from skyledger.operators.dimensions import DIMENSIONS
 from skyledger.plans import history, ledger, report, star_schema
+from skyledger.schemas import RAW_FLIGHTS
 from skyledger.session import build_session
 from skyledger.sinks import files as sinks
 from skyledger.sources import files as sources
@@ -29,8 +30,9 @@ def _names(text: str) -> list[str]:
 
 
 def convert(spark: SparkSession, args: argparse.Namespace) -> None:
-    sinks.convert_csv(spark, args.input, args.output, infer=args.infer_schema,
-                      partition_by=args.partition_by, files=args.files, dry_run=args.dry_run)
+    sinks.convert_csv(spark, args.input, args.output, RAW_FLIGHTS if args.types == "flights" else None,
+                      infer=args.types == "infer", partition_by=args.partition_by, files=args.files,
+                      dry_run=args.dry_run, header=args.header)
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -154,7 +156,10 @@ def parser() -> argparse.ArgumentParser:
         return command
 
     command = job("convert", convert, "input", "output")
-    command.add_argument("--infer-schema", action="store_true")
+    # Types are inferred by default; the flights' own need no pass over the files to find them.
+    command.add_argument("--types", choices=("infer", "flights", "text"), default="infer")
+    command.add_argument("--infer-schema", action="store_const", const="infer", dest="types")
+    command.add_argument("--header", action=argparse.BooleanOptionalAction, default=True)
     command.add_argument("--partition-by", type=_names)
     command.add_argument("--files", type=int)
     command.add_argument("--dry-run", action="store_true")

@@ -152,10 +152,10 @@ def compact_partitions(spark: SparkSession, path: str, cluster_by: list[str] | N
 def convert_csv(spark: SparkSession, source: str, target: str, schema: StructType | None = None,
                 infer: bool = False, partition_by: list[str] | None = None,
                 files: int | None = None, dry_run: bool = False,
-                multiline: bool = False) -> bool:
+                multiline: bool = False, header: bool = True) -> bool:
     """CSV to Parquet; true if something was written. An empty input is found by looking for
     one row, not by counting all."""
-    df = read_csv(spark, source, schema, infer, multiline)
+    df = read_csv(spark, source, schema, infer, multiline, header=header)
     log.info("input schema: %s", df.schema.simpleString())
     if df.isEmpty():
         log.warning("no rows in %s", source)

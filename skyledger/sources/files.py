@@ -25,10 +25,11 @@ LISTING = "path string, length long"
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | None = None,
              infer: bool = False, multiline: bool = False,
-             null_token: str | None = None) -> DataFrame:
-    """CSV with a header line. Columns get the types of ``schema``; without one they are
-    strings, or inferred on request (which reads the files twice)."""
-    reader = spark.read.option("header", True).option("multiLine", multiline)
+             null_token: str | None = None, header: bool = True) -> DataFrame:
+    """CSV, by default with a header line; without one columns are called _c0, _c1 and so on.
+    Columns get the types of ``schema``; without one they are strings, or inferred on request
+    (which reads the files twice)."""
+    reader = spark.read.option("header", header).option("multiLine", multiline)
     reader = reader.option("quote", '"').option("escape", '"')
     if null_token is not None:
         reader = reader.option("nullValue", null_token)

@@ -43,6 +43,75 @@ def test_load_and_convert(spark, tmp_path):
     assert (tmp_path / "out" / "b=y").is_dir()
 
 
+def _raw_csv(path, rows):
+    """A file with the 109 published columns; ``rows`` hold those that differ from empty."""
+    from skyledger.schemas import RAW_FLIGHTS
+
+    names = RAW_FLIGHTS.fieldNames()
+    path.write_text("\n".join([",".join(names), *[
+        ",".join(str(row.get(name, "")) for name in names) for row in rows]]) + "\n")
+
+
+def _raw_rows():
+    for i in range(24):
+        cancelled = i % 8 == 0
+        yield {
+            "Year": 2020, "Quarter": 1, "Month": 2, "DayofMonth": 1 + i, "DayOfWeek": 1 + i % 7,
+            "FlightDate": f"2020-02-{1 + i:02d}", "Reporting_Airline": "AA",
+            "DOT_ID_Reporting_Airline": 19805, "IATA_CODE_Reporting_Airline": "AA",
+            "Tail_Number": f"N{i}", "Flight_Number_Reporting_Airline": 100 + i,
+            "OriginAirportID": 1 + i % 3, "OriginAirportSeqID": 10, "OriginCityMarketID": 5,
+            "Origin": f"A{i % 3}", "OriginCityName": "City", "OriginState": "TX",
+            "OriginStateFips": 48, "OriginStateName": "Texas", "OriginWac": 74,
+            "DestAirportID": 1 + (i + 1) % 3, "DestAirportSeqID": 10, "DestCityMarketID": 5,
+            "Dest": f"A{(i + 1) % 3}", "DestCityName": "City", "DestState": "TX",
+            "DestStateFips": 48, "DestStateName": "Texas", "DestWac": 74,
+            "CRSDepTime": 900, "CRSArrTime": 1100, "Cancelled": "1.00" if cancelled else "0.00",
+            "CancellationCode": "B" if cancelled else "", "Diverted": "0.00",
+            "CRSElapsedTime": "120.00", "Flights": "1.00", "Distance": "500.00",
+            "DistanceGroup": 3, "DivAirportLandings": 0,
+        } | ({} if cancelled else {
+            "DepTime": 905, "DepDelay": "5.00", "DepDelayMinutes": "5.00", "DepDel15": "0.00",
+            "DepartureDelayGroups": 0, "DepTimeBlk": "0900-0959", "TaxiOut": "10.00",
+            "WheelsOff": 915, "WheelsOn": 1055, "TaxiIn": "5.00", "ArrTime": 1100,
+            "ArrDelay": "0.00", "ArrDelayMinutes": "0.00", "ArrDel15": "0.00",
+            "ArrivalDelayGroups": 0, "ArrTimeBlk": "1100-1159", "ActualElapsedTime": "115.00",
+            "AirTime": "100.00"})
+
+
+@pytest.mark.parametrize("types", ["infer", "flights"])
+def test_converted_files_go_all_the_way_to_the_fact(spark, tmp_path, types):
+    (tmp_path / "in").mkdir()
+    rows = list(_raw_rows())
+    _raw_csv(tmp_path / "in" / "2020_02.csv", rows)
+    raw, cleaned, dims, fact, out = (str(tmp_path / name) for name in
+                                     ("raw", "cleaned", "dims", "fact", "out"))
+    main(["convert", "--input", str(tmp_path / "in"), "--output", raw, "--types", types], spark)
+    assert len(spark.read.parquet(raw).columns) == 109
+    main(["clean", "--input", raw, "--output", cleaned], spark)
+    assert spark.read.parquet(cleaned).count() == len(rows)
+    main(["dims", "--input", cleaned, "--output", dims], spark)
+    main(["fact", "--input", cleaned, "--output", fact, "--dims-folder", dims, "--build",
+          "with_ids"], spark)
+    found = spark.read.parquet(fact)
+    assert found.count() == len(rows)
+    assert found.where("cancellation_id is not null").count() == 3
+    assert found.where("delay_id is not null").count() == 21
+    main(["report", "--input", raw, "--output", out], spark)
+    assert storage.path_exists(spark, out + "/top_routes.csv")
+
+
+def test_files_without_a_header_line(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("1,x\n2,y\n")
+    for types, kind in (("infer", "int"), ("text", "string")):
+        target = str(tmp_path / types)
+        main(["convert", "--input", str(tmp_path / "in.csv"), "--output", target, "--types", types,
+              "--no-header"], spark)
+        found = spark.read.parquet(target)
+        assert found.dtypes == [("_c0", kind), ("_c1", "string")]
+        assert found.count() == 2
+
+
 def test_load_with_a_ledger(spark, tmp_path):
     from skyledger.schemas import RAW_FLIGHTS
 
