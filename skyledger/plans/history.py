@@ -87,7 +87,7 @@ def stage_csv(spark: SparkSession, path: str | list[str], schema: StructType = R
         return Load(rows)
     log.info("%d files have quotes that their line does not close", len(spanning))
     again = materialise(read_tolerant(spark, spanning, schema, needed, spanning=True), "load")
-    return Load(rows.join(flagged, FILE_PATH, "left_anti").select(*rows.columns)
+    return Load(rows.join(F.broadcast(flagged), FILE_PATH, "left_anti").select(*rows.columns)
                 .unionByName(again))
 
 
