@@ -72,7 +72,8 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compact_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = scratch_path(spark, "many-files")
-    views.flights(spark, sf_dir).repartition(32).write.parquet(source)
+    files = views.shares(spark, sf_dir, "lineitem", 16 << 20, least=32)
+    views.flights(spark, sf_dir).repartition(files).write.parquet(source)
     return sink_files.compact_parquet(spark, source, scratch_path(spark, "compact"), files=2)
 
 

@@ -14,15 +14,21 @@ from skyledger.storage import size_in_bytes
 
 
 # Below this size a table is spread over all cores after the scan: the test tables hold a single
-# row group each, which one task reads however many cores there are.
-SMALL_TABLE = 1 << 30
+# row group each, which one task reads however many cores there are. A task gets a bounded share.
+SMALL_TABLE, TASK_BYTES = 1 << 30, 8 << 20
+
+
+def shares(spark: SparkSession, sf_dir: str, name: str, share_bytes: int, least: int) -> int:
+    """Into how many parts of ``share_bytes`` a stored table falls, ``least`` at least."""
+    return max(least, -(-size_in_bytes(spark, f"{sf_dir}/{name}.parquet") // share_bytes))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
     rows = spark.read.parquet(path)
     if key and size_in_bytes(spark, path) < SMALL_TABLE:
-        return rows.repartition(spark.sparkContext.defaultParallelism, key)
+        return rows.repartition(shares(spark, sf_dir, name, TASK_BYTES,
+                                       spark.sparkContext.defaultParallelism), key)
     return rows
 
 
@@ -95,8 +101,12 @@ _FLIGHT = [
 
 
 def _flights_of(lines: DataFrame) -> DataFrame:
+    return _flights_of_marked(lines.selectExpr(*_MARKED))
+
+
+def _flights_of_marked(marked: DataFrame) -> DataFrame:
     return (
-        lines.selectExpr(*_MARKED).selectExpr("*", *_DELAYED)
+        marked.selectExpr("*", *_DELAYED)
         .selectExpr("*", "date >= DATE '1998-01-01' AND delay >= 15 AS late",
                     "double(200 + origin * 150 + dest * 10) AS distance")
         .selectExpr(*_FLIGHT)
@@ -107,6 +117,13 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flights_of(_line_items(spark, sf_dir))
 
 
+def flights_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flights, those of a month together: the narrow lines move, not the wide flights."""
+    marked = _line_items(spark, sf_dir).selectExpr(*_MARKED)
+    month = F.date_trunc("month", "date")
+    return _flights_of_marked(marked.withColumn("month", month).hint("rebalance", F.col("month")))
+
+
 def _with_copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     lines = _line_items(spark, sf_dir)
     return _flights_of(lines), _flights_of(lines.filter(F.col("l_linenumber") == 1))

@@ -15,7 +15,8 @@ from pyspark.sql.types import StructType
 from skyledger import schemas
 from skyledger.sinks.catalog import declare_clustering, table_layout
 from skyledger.sources.files import read_csv
-from skyledger.storage import delete_path, path_exists, qualified, swap_directory
+from skyledger.storage import (
+    delete_path, matching_paths, path_exists, qualified, swap_directory)
 
 log = logging.getLogger(__name__)
 
@@ -83,15 +84,19 @@ def replace_months(df: DataFrame, path: str, months: Iterable[tuple[int, int]],
 
 
 def compact_parquet(spark: SparkSession, source: str, target: str,
-                    files: int | None = None) -> DataFrame:
+                    files: int | None = None, file_bytes: int = 128 << 20) -> DataFrame:
     """Rewrite a directory of many files as few (without a number: as many as fit the advisory
-    partition size); returns a reader over the result.
+    partition size); returns a reader over the result. A source with more than ``file_bytes`` for
+    each of ``files`` gets more of them, as one task writes a file.
 
     Source and target must differ: overwriting a directory while reading it loses the data.
     """
     if qualified(spark, source) == qualified(spark, target):
         raise ValueError("compact into another directory, or use compact_in_place")
     df = spark.read.parquet(source)
+    if files:
+        held = sum(size for _, size in matching_paths(spark, source))
+        files = max(files, -(-held // file_bytes))
     write_parquet(df if files else df.hint("rebalance"), target, files=files)
     return spark.read.schema(df.schema).parquet(target)
 
