@@ -81,7 +81,8 @@ def compact_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table by year and month in many files, compacted: rows and one file for each directory,
     found by its key values."""
     path = scratch_path(spark, "many-files")
-    (views.flights(spark, sf_dir).repartition(8).write.partitionBy("Year", "Month").parquet(path))
+    files = views.shares(spark, sf_dir, "lineitem", 48 << 20, least=8)
+    views.flights(spark, sf_dir).repartition(files).write.partitionBy("Year", "Month").parquet(path)
     sink_files.compact_partitions(spark, path)
     return source_files.read_parquet(spark, path).filter(F.col("Year") == SAMPLED_YEAR).groupBy(
         "Year", "Month").agg(F.count("*").alias("rows"), F.sum("Distance").alias("distance"),
