@@ -537,14 +537,19 @@ def live_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.live_flights(flat, received=F.col("departure_scheduled"))
 
 
-def _archived(messages: DataFrame, files: int = 4) -> str:
-    path = scratch_path(messages.sparkSession, "topic")
-    messages.repartition(files).write.parquet(path)
-    return path
+# An archived file has the messages of so many bytes of stored events.
+ARCHIVED_BYTES = 4 << 20
 
 
-def _stream(spark: SparkSession, messages: DataFrame) -> DataFrame:
-    return source_messages.message_files(spark, _archived(messages), max_files_per_trigger=2)
+def _stream(spark: SparkSession, sf_dir: str, messages: DataFrame) -> DataFrame:
+    """The messages through archived files, in two batches or, with many files, in batches of twice
+    as many as there are cores."""
+    files = views.shares(spark, sf_dir, "events", ARCHIVED_BYTES, least=4)
+    path = scratch_path(spark, "topic")
+    messages.repartition(files).write.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return source_messages.message_files(
+        spark, path, max_files_per_trigger=min(-(-files // 2), 2 * max(cores, 1)))
 
 
 def _through_files(spark: SparkSession, stream: DataFrame, **layout: str | None) -> DataFrame:
@@ -556,13 +561,13 @@ def _through_files(spark: SparkSession, stream: DataFrame, **layout: str | None)
 
 def stream_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = views.status_messages(spark, sf_dir)
-    return _through_files(spark, parse.flight_stream(_stream(spark, messages)),
+    return _through_files(spark, parse.flight_stream(_stream(spark, sf_dir, messages)),
                           partition_by=None)
 
 
 def stream_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = views.status_messages(spark, sf_dir)
-    return _through_files(spark, parse.flight_stream(_stream(spark, messages)))
+    return _through_files(spark, parse.flight_stream(_stream(spark, sf_dir, messages)))
 
 
 def _through_batches(spark: SparkSession, stream: DataFrame) -> DataFrame:
@@ -575,18 +580,18 @@ def _through_batches(spark: SparkSession, stream: DataFrame) -> DataFrame:
 
 def stream_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = views.status_messages(spark, sf_dir)
-    return _through_batches(spark, parse.flight_stream(_stream(spark, messages)))
+    return _through_batches(spark, parse.flight_stream(_stream(spark, sf_dir, messages)))
 
 
 def stream_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = parse.parse_wide_messages(_stream(spark, _wide_messages(spark, sf_dir)))
+    wide = parse.parse_wide_messages(_stream(spark, sf_dir, _wide_messages(spark, sf_dir)))
     return _through_batches(spark, wide).select(
         "flight_date", "flight_status", "dept_airport",
         F.col("arrival.delay").alias("arrival_delay"))
 
 
 def stream_dual_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = parse.flight_stream(_stream(spark, views.status_messages(spark, sf_dir)))
+    flat = parse.flight_stream(_stream(spark, sf_dir, views.status_messages(spark, sf_dir)))
     files, copy = scratch_path(spark, "stream"), scratch_path(spark, "stream")
     for query in sinks.start_dual_sink(
             flat, files, scratch_path(spark, "stream-log"), copy,
@@ -600,7 +605,7 @@ def stream_dual_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dual_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One read for both sinks. The second sink fails once, in the second batch, after the first
     sink has committed it; the query is started again and both hold every row once."""
-    stream = _stream(spark, views.status_messages(spark, sf_dir))
+    stream = _stream(spark, sf_dir, views.status_messages(spark, sf_dir))
     files, copy, log, markers = (scratch_path(spark, label) for label in
                                  ("stream", "stream", "stream-log", "markers"))
     calls = []
@@ -653,7 +658,7 @@ def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
     out = scratch_path(spark, "stream")
     for half in (messages.filter(first), messages.filter(~first)):
-        sinks.batch_sink(parse.flight_stream(_stream(spark, half)),
+        sinks.batch_sink(parse.flight_stream(_stream(spark, sf_dir, half)),
                          sinks.replayable_batch_writer(out), scratch_path(spark, "stream-log"),
                          trigger="available").start().awaitTermination()
     return sinks.read_batches(spark, out).select("flight_id", "flight_status")
