@@ -367,13 +367,11 @@ def ride_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ride_to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def part(name: str) -> Column:
-        return F.get_json_object("value", f"$.{name}")
-
-    return ride_messages(views.rides(spark, sf_dir)).select(
-        "key", part("VendorID").alias("vendor"), part("tpep_pickup_datetime").alias("pickup"),
-        part("DOLocationID").alias("dropoff_location"),
-        part("total_amount").cast("double").alias("total_amount"))
+    # One parse of a message for all of its fields.
+    fields = F.json_tuple("value", "VendorID", "tpep_pickup_datetime", "DOLocationID", "total_amount")
+    return ride_messages(views.rides(spark, sf_dir)).select("key", fields.alias(
+        "vendor", "pickup", "dropoff_location", "total_amount")).withColumn(
+            "total_amount", F.col("total_amount").cast("double"))
 
 
 def ride_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
