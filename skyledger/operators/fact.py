@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from skyledger.functions.flights import fact_key
 
@@ -32,6 +33,13 @@ def with_fact_key(flights: DataFrame) -> DataFrame:
     return flights.withColumn("fact_key", fact_key())
 
 
+def distinct_facts(flights: DataFrame, *more: str) -> DataFrame:
+    """The distinct fact rows; the key, which follows from other columns of a row, is not moved."""
+    columns = [*FACT_COLUMNS, *more]
+    parts = flights.select(*[name for name in columns if name != "fact_key"]).distinct()
+    return with_fact_key(parts).select(*columns)
+
+
 def fact_flights_projection(flights: DataFrame) -> DataFrame:
     """Fact rows without any join."""
     return flights.select(*NARROW_FACT_COLUMNS)
@@ -66,14 +74,20 @@ def _join_large(facts: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFra
     straight from a shuffle made for it. ``lookup`` is an aggregate by its key, whose own
     partitioning Spark would reuse instead; a marked key makes it shuffle the (narrow) lookup
     for the join. Facts with a null in the key match nothing and would all meet in one task:
-    they get a scattered key that carries another mark.
+    they get a scattered key that carries another mark. A key of one text is moved in its marked
+    form alone.
     """
     separated = [part for name in keys for part in (F.lit("|"), F.col(name).cast("string"))]
     marked = F.concat(F.lit("k"), *separated)
     scattered = F.concat(F.lit("n"), F.xxhash64(*facts.columns).cast("string"))
     left = facts.withColumn("_key", F.coalesce(marked, scattered))
     right = lookup.withColumn("_key", marked).drop(*keys)
-    return left.join(right, "_key", "left").drop("_key")
+    if len(keys) > 1 or not isinstance(facts.schema[keys[0]].dataType, StringType):
+        return left.join(right, "_key", "left").drop("_key")
+    text = F.when(F.col("_key").startswith("k"), F.expr("substring(_key, 3)")).alias(keys[0])
+    return left.drop(*keys).join(right, "_key", "left").select(*[
+        text if name in keys else F.col(name) for name in facts.columns],
+        *[name for name in right.columns if name != "_key"])
 
 
 def _join_dim(facts: DataFrame, dim: DataFrame, lookup: DataFrame, keys: list[str],
@@ -135,7 +149,7 @@ def fact_table(flights: DataFrame, dim_time: DataFrame, dim_airport: DataFrame,
     joined = join_time(with_fact_key(flights), dim_time)
     joined = join_airline(join_airports(joined, dim_airport), dim_airline)
     joined = join_cancellation(join_delay(joined, dim_delay), dim_cancel)
-    return joined.select(*FACT_COLUMNS).distinct()
+    return distinct_facts(joined)
 
 
 def fact_table_hinted(flights: DataFrame, dim_time: DataFrame, dim_airport: DataFrame,
@@ -168,8 +182,7 @@ def fact_table_with_ids(flights: DataFrame, dim_time: DataFrame, dim_airport: Da
     many there are, and no join sees them. Both event dimensions are folded into one lookup so
     that the flights are shuffled on the fact key once.
     """
-    facts = (with_fact_key(flights)
-             .select(*FACT_COLUMNS, "DOT_ID_Reporting_Airline").distinct())
+    facts = distinct_facts(flights, "DOT_ID_Reporting_Airline")
     facts = _join_large(facts, event_ids(dim_delay, dim_cancel), ["fact_key"])
 
     dates = dim_time.select("FlightDate", "time_id")
