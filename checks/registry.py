@@ -24,7 +24,8 @@ from skyledger.sinks import files as sink_files
 from skyledger.sinks.messages import flight_messages, normalise_payload, ride_messages
 from skyledger.sources import files as source_files
 from skyledger.sources import messages as source_messages
-from skyledger.storage import delete_path, materialise, move_path, scratch_path
+from skyledger.storage import (
+    delete_path, matching_paths, materialise, move_path, scratch_path)
 from skyledger.streaming import parse, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,17 +167,16 @@ def load_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _monthly_folder(spark: SparkSession, sf_dir: str) -> tuple[str, StructType]:
-    """Flights as CSV below ``YYYY_MM.csv`` (a directory each, so that months can be split)."""
-    flights = views.flights(spark, sf_dir)
+    """Flights as compressed CSV below ``YYYY_MM.csv`` (a directory each, as a month may have several
+    files)."""
+    flights = views.flights_by_month(spark, sf_dir)
     root = scratch_path(spark, "monthly")
     name = F.format_string("%d_%02d.csv", "Year", "Month")
-    (sink_files.clustered(flights.withColumn("file", name), ["file"], [])
-     .write.option("header", True).partitionBy("file").csv(f"{root}/by-file"))
+    (flights.withColumn("file", name).write.option("header", True).option("compression", "gzip")
+     .partitionBy("file").csv(f"{root}/by-file"))
     folder = f"{root}/incoming"
-    months = flights.select("Year", "Month").distinct().collect()
-    for year, month in months:
-        file = f"{year}_{month:02d}.csv"
-        move_path(spark, f"{root}/by-file/file={file}", f"{folder}/{file}")
+    for month, _ in matching_paths(spark, f"{root}/by-file/file=*"):
+        move_path(spark, month, f"{folder}/{month.rpartition('file=')[2]}")
     return folder, _csv_schema(flights)
 
 

@@ -29,7 +29,7 @@ def with_dense_id(df: DataFrame, id_column: str, order_by: list[str]) -> DataFra
     (df.repartitionByRange(*order_by)
      .sortWithinPartitions(*order_by)
      .select("*", F.spark_partition_id().alias(_SLICE), (local_number + 1).alias(_POSITION))
-     .write.parquet(staged))
+     .write.option("compression", "zstd").parquet(staged))
     sliced = spark.read.parquet(staged)
     running = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -38,6 +38,6 @@ def with_dense_id(df: DataFrame, id_column: str, order_by: list[str]) -> DataFra
     )
     numbered = sliced.join(F.broadcast(offsets), _SLICE).select(
         *df.columns, (F.col(_BEFORE) + F.col(_POSITION)).alias(id_column))
-    numbered.write.parquet(final)
+    numbered.write.option("compression", "zstd").parquet(final)
     delete_path(spark, staged)
     return spark.read.schema(numbered.schema).parquet(final)
