@@ -377,7 +377,8 @@ def _links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
         "block", "chunk", "with", F.xxhash64("chunk", "with").alias("part")), "ngram-pairs")
     ends = pairs.select("block", "chunk", "part").union(
         pairs.where("chunk <> with").select("block", F.col("with").alias("chunk"), "part"))
-    return found.union(stored(_walk(chunked.join(ends, ["block", "chunk"])), "ngram-links"))
+    joined = so_far.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return joined.union(stored(_walk(chunked.join(ends, ["block", "chunk"])), "ngram-links"))
 
 
 def _grouped(documents: DataFrame, key: str, text: str, tie: Column) -> tuple[DataFrame, DataFrame]:
@@ -428,7 +429,7 @@ def _grouped(documents: DataFrame, key: str, text: str, tie: Column) -> tuple[Da
     vertex = F.xxhash64("node", "level")
     chain = met.select("n", "hash", "node", vertex.alias("a")).withColumn(
         "b", F.lag("a").over(by_size)).withColumn("less", F.lag("n").over(by_size)).where(
-        "5 * less >= 4 * n").select("a", "b").distinct()
+        "5 * less >= 4 * n").select("a", "b")
     blocks = stored(met.select("node", vertex.alias("vertex")).distinct().join(
         components(chain).withColumnRenamed("node", "vertex"), "vertex").select(
         "node", F.col("component").alias("block")).distinct(), "ngram-candidates")
