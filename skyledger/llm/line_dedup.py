@@ -6,17 +6,18 @@ has a set of Jaccard similarity 0.8 or more; it is judged on the input, so that
 still removes later ones. Lines without words stay.
 
 1. Lines with equal sets are one class; only its first line can stay.
-2. Words are counted in all lines, by 32 bits of a hash, and go back to the buckets that have them
-   with a byte that says how rare each is. Each class orders its words by rarity; similar sets share
+2. Words are counted in all lines, by 32 bits of a hash, and a byte that says how rare each is goes
+   back to the buckets that have it. Each class orders its words by rarity; similar sets share
    one of their first n - ceil(0.8 n) + 1 words (prefix filter). Where two classes meet at a word,
    sizes must fit (length filter), so must the words left behind it (positional filter), and the
-   64 parity bits of both sets may differ in no more bits than the sets may in words. A class that
-   meets no other this way is alone.
+   parity bits of both sets, 128 or for few words 64, may differ in no more bits than the sets may
+   in words. A class that meets no other this way is alone.
 3. The other classes meet again at those words with their whole sets, and the Jaccard similarity
    decides whether one of them has an earlier match.
 
 Sets of up to three words are similar only if equal. Texts are dealt to buckets in one shuffle that
-all passes read; a bucket sends each word and each class once.
+all passes read, compressed and with a key of each line's set; a bucket sends each word and each
+class once.
 
 Null and empty texts stay as they are, null texts as empty ones. Lines end at a line feed, which
 goes with a removed line. Rows that repeat an id are ordered by their text; equal rows are copies
@@ -33,16 +34,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.tables import partitions, stored
+from skyledger.llm.tables import partitions
 from skyledger.llm.words import Words, mixed, order_by, slices, text_bytes
 
 BUCKET_BYTES = 8 << 20
+#: Texts that a task holds to send those of one bucket together.
+HELD_BYTES = 16 << 20
+#: Lines of so many words at most have 64 parity bits.
+FEW = 48
 
 _U64 = np.uint64
 
 
-class Lines:
-    """Lines of some texts and the set of words of each, sorted by hash."""
+class Breaks:
+    """Where the lines of some texts begin and end, and the text and number of each."""
 
     def __init__(self, column: pa.Array):
         self.raw, self.offsets = raw, offsets = text_bytes(column)
@@ -54,8 +59,17 @@ class Lines:
         self.text = np.searchsorted(offsets, begins, side="right") - 1
         first = np.searchsorted(self.text, np.arange(len(offsets) - 1))
         self.number = np.arange(len(begins)) - first[self.text]
-        words = Words(raw, offsets)
-        owner = np.searchsorted(begins, words.starts, side="right") - 1
+
+
+class Lines(Breaks):
+    """Lines of some texts and the set of words of each, sorted by hash."""
+
+    def __init__(self, column: pa.Array):
+        super().__init__(column)
+        begins = self.begins
+        words = Words(self.raw, self.offsets)
+        owner = np.repeat(np.arange(len(begins)), np.diff(np.searchsorted(
+            words.starts, np.append(begins, len(self.raw)))))
         hashes = words.hashes()
         order = order_by(owner, hashes)
         hashes, owner = hashes[order], owner[order]
@@ -66,31 +80,32 @@ class Lines:
         self.stops = np.cumsum(self.sizes)
         self.starts = self.stops - self.sizes
 
-    def sums(self, seed: int) -> np.ndarray:
-        """A hash of each set."""
+    def keys(self) -> np.ndarray:
+        """A hash of each set, the last bit of which says whether it has more than three words."""
         total = np.zeros(len(self.members) + 1, dtype=_U64)
-        np.cumsum(mixed(self.members, seed), out=total[1:])
-        return mixed(total[self.stops] - total[self.starts], seed + 1)
-
-    def parities(self) -> np.ndarray:
-        """Bit b of a line: whether an odd number of its words has hash b."""
-        bits = _U64(1) << (mixed(self.members, 5) & _U64(63))
-        out = np.zeros(len(self.sizes), dtype=_U64)
+        np.cumsum(mixed(self.members, 1), out=total[1:])
+        sums = mixed(total[self.stops] - total[self.starts], 2)
+        return ((sums & ~_U64(1)) | (self.sizes > 3).astype(_U64)).view(np.int64)
+
+    def parities(self) -> tuple[np.ndarray, np.ndarray]:
+        """Bit b of a line, of 128: whether an odd number of its words has hash b. A line of few
+        words has 64, which are those of 128 folded."""
+        at = mixed(self.members, 5) & _U64(127)
+        bit = _U64(1) << (at & _U64(63))
+        out = np.zeros((2, len(self.sizes)), dtype=_U64)
         full = self.sizes > 0
         if full.any():
-            out[full] = np.bitwise_xor.reduceat(bits, self.starts[full])
-        return out
+            for half in (0, 1):
+                out[half, full] = np.bitwise_xor.reduceat(
+                    np.where((at >> _U64(6)) == _U64(half), bit, _U64(0)), self.starts[full])
+        few = self.sizes <= FEW
+        out[0, few] ^= out[1, few]
+        out[1, few] = 0
+        return out[0], out[1]
+
 
-    def among(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(lines, place of their class in ``keys``): the first line of each class that is named."""
-        own = self.sums(1).view(np.int64)
-        if not len(keys) or not len(own):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        order = np.argsort(keys, kind="stable")
-        at = np.minimum(np.searchsorted(keys[order], own), len(keys) - 1)
-        hit = np.flatnonzero((keys[order][at] == own) & (self.sizes > 0))
-        _, first = np.unique(own[hit], return_index=True)
-        return hit[first], order[at[hit[first]]]
+#: The key of a line without words.
+_EMPTY = int(((mixed(np.zeros(1, dtype=_U64), 2)) & ~_U64(1)).view(np.int64)[0])
 
 
 def _flat(column: pa.ChunkedArray) -> pa.Array:
@@ -107,27 +122,68 @@ def _ranks(documents: pa.RecordBatch | pa.Table) -> np.ndarray:
     return ranks
 
 
-def _first_lines(lines: Lines, keys: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """bucket, rows: rows of one bucket as a compressed Arrow stream, with the keys of their lines."""
+
+    def packed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        whole = pa.Table.from_batches(parts).combine_chunks()
+        buckets = whole["bucket"].to_numpy()
+        order = np.argsort(buckets, kind="stable")
+        whole, buckets = whole.drop_columns(["bucket"]).take(pa.array(order)), buckets[order]
+        cuts = np.flatnonzero(np.concatenate(([True], buckets[1:] != buckets[:-1], [True])))
+        rows = []
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, whole.schema,
+                                   options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_table(whole.slice(a, b - a).combine_chunks())
+            rows.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(buckets[cuts[:-1]], pa.int32()), pa.array(rows, pa.binary())],
+            names=["bucket", "rows"])
+
+    held, size = [], 0
+    for batch in batches:
+        for part in slices(batch, "text"):
+            lines = Lines(part.column(part.schema.get_field_index("text")))
+            ends = 8 * np.searchsorted(lines.text, np.arange(part.num_rows + 1))
+            keys = pa.Array.from_buffers(pa.binary(), part.num_rows, [
+                None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(lines.keys().tobytes())])
+            held.append(part.append_column("keys", keys))
+            size += len(lines.raw)
+            if size >= HELD_BYTES:
+                yield packed(held)
+                held, size = [], 0
+    if held:
+        yield packed(held)
+
+
+def _opened(rows: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
+    """The rows of a bucket; and of each line the key, the text and the number."""
+    texts = pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in rows["rows"]])
+    own = texts["keys"].to_pylist()
+    counts = np.array([len(x) // 8 for x in own], dtype=np.int64)
+    text = np.repeat(np.arange(len(own)), counts)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return texts, np.frombuffer(b"".join(own), np.int64), text, number
+
+
+def _first_lines(keys: np.ndarray, text: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(keys, lines): of each class its first line in the order of documents."""
-    full = np.flatnonzero(lines.sizes > 0)
-    ranked = full[np.argsort(rank[lines.text[full]], kind="stable")]
+    full = np.flatnonzero(keys != _EMPTY)
+    ranked = full[np.argsort(rank[text[full]], kind="stable")]
     found, first = np.unique(keys[ranked], return_index=True)
     return found, ranked[first]
 
 
-def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each slice the first line of each class: k1, k2, n, doc_id, tie, number, bucket."""
-    for batch in batches:
-        for part in slices(batch, "text"):
-            lines = Lines(part.column(3))
-            k1, k2 = (lines.sums(seed).view(np.int64) for seed in (1, 3))
-            _, at = _first_lines(lines, k1, _ranks(part))
-            text = lines.text[at]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k1[at]), pa.array(k2[at]), pa.array(lines.sizes[at]),
-                 part.column(0).take(pa.array(text)), part.column(1).take(pa.array(text)),
-                 pa.array(lines.number[at]), part.column(2).take(pa.array(text))],
-                names=["k1", "k2", "n", "doc_id", "tie", "number", "bucket"])
+def _classes(key: tuple, rows: pa.Table) -> pa.Table:
+    """Of each bucket the first line of each class."""
+    texts, keys, text, number = _opened(rows)
+    found, at = _first_lines(keys, text, _ranks(texts))
+    owner = pa.array(text[at])
+    return pa.table({"k1": found, "long": pa.array((found & 1) == 1),
+                     "doc_id": texts["doc_id"].take(owner), "tie": texts["tie"].take(owner),
+                     "number": number[at], "bucket": np.full(len(at), key[0].as_py(), np.int32)})
 
 
 def _short(words: np.ndarray) -> np.ndarray:
@@ -136,42 +192,59 @@ def _short(words: np.ndarray) -> np.ndarray:
     return (words >> _U64(32)).astype(np.int64)
 
 
+def _by_part(lines: Lines, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, counts, part): the words of a bucket by part and then by value."""
+    words = _short(lines.members)
+    keys, counts = np.unique(((words % parts) << 32) | words, return_counts=True)
+    return keys & 0xFFFFFFFF, counts, keys >> 32
+
+
+def _narrow(values: np.ndarray) -> tuple[bytes, bytes]:
+    """16 bits of each value; and those values that need more."""
+    wide = values >= 0xFFFF
+    return (np.where(wide, 0xFFFF, values).astype(np.uint16).tobytes(),
+            values[wide].astype(np.uint32).tobytes())
+
+
+def _widened(narrow: bytes, wide: bytes) -> np.ndarray:
+    values = np.frombuffer(narrow, np.uint16).astype(np.int64)
+    values[values == 0xFFFF] = np.frombuffer(wide, np.uint32)
+    return values
+
+
 def _word_counts(parts: int):
-    """A row for each part of the words that a bucket has: the words and in how many lines."""
-    def counted(key: tuple, texts: pa.Table) -> pa.Table:
-        words, counts = np.unique(_short(Lines(_flat(texts["text"])).members), return_counts=True)
-        part = words % parts
-        order = np.argsort(part, kind="stable")
-        words, counts, part = (x[order] for x in (words, counts, part))
+    """A row for each part of the words that a bucket has: the steps from word to word, in units of
+    the number of parts, and in how many lines they are."""
+    def counted(key: tuple, rows: pa.Table) -> pa.Table:
+        words, counts, part = _by_part(Lines(_flat(_opened(rows)[0]["text"])), parts)
         cuts = np.flatnonzero(np.concatenate(([True], np.diff(part) > 0, [True]))) if len(part) else []
         pieces = list(zip(cuts[:-1], cuts[1:], strict=True))
+        steps = [_narrow(np.diff(words[a:b] // parts, prepend=0)) for a, b in pieces]
+        counts = [_narrow(counts[a:b]) for a, b in pieces]
         return pa.table({
             "part": np.array([part[a] for a, _ in pieces], dtype=np.int32),
             "bucket": np.full(len(pieces), key[0].as_py(), np.int32),
-            "words": pa.array([words[a:b].astype(np.uint32).tobytes() for a, b in pieces], pa.binary()),
-            "counts": pa.array([counts[a:b].astype(np.uint32).tobytes() for a, b in pieces],
-                               pa.binary())})
+            "steps": pa.array([x for x, _ in steps], pa.binary()),
+            "far": pa.array([x for _, x in steps], pa.binary()),
+            "counts": pa.array([x for x, _ in counts], pa.binary()),
+            "many": pa.array([x for _, x in counts], pa.binary())})
 
     return counted
 
 
 def _levels(rows: pa.Table) -> pa.Table:
-    """Of one part of the words, a row back to each bucket: its words that other lines have, too,
-    and how frequent each is, in quarters of a power of two."""
-    words, counts = (np.frombuffer(b"".join(rows[c].to_pylist()), np.uint32) for c in ("words", "counts"))
-    different, place = np.unique(words, return_inverse=True)
+    """Of one part of the words, a row back to each bucket: how frequent each of its words is, in
+    quarters of a power of two; zero for words that no other line has."""
+    steps, far, counts, many = (rows[c].to_pylist() for c in ("steps", "far", "counts", "many"))
+    words = [np.cumsum(_widened(*x)) for x in zip(steps, far, strict=True)]
+    counts = np.concatenate([_widened(*x) for x in zip(counts, many, strict=True)])
+    different, place = np.unique(np.concatenate(words), return_inverse=True)
     total = np.zeros(len(different), dtype=np.int64)
-    np.add.at(total, place, counts.astype(np.int64))
+    np.add.at(total, place, counts)
     level = np.minimum(4 * np.log2(np.maximum(total, 1)), 255).astype(np.uint8)[place]
-    buckets, packed, levels, begin = rows["bucket"].to_pylist(), [], [], 0
-    for own in rows["words"].to_pylist():
-        end = begin + len(own) // 4
-        known = level[begin:end] > 0
-        packed.append(words[begin:end][known].tobytes())
-        levels.append(level[begin:end][known].tobytes())
-        begin = end
-    return pa.table({"bucket": pa.array(buckets, pa.int32()), "words": pa.array(packed, pa.binary()),
-                     "levels": pa.array(levels, pa.binary())})
+    ends = np.cumsum([len(x) for x in words])
+    return pa.table({"bucket": rows["bucket"], "part": rows["part"], "levels": pa.array(
+        [level[end - len(x):end].tobytes() for x, end in zip(words, ends, strict=True)], pa.binary())})
 
 
 def _ordered(lines: Lines, rows: np.ndarray, words: np.ndarray,
@@ -202,25 +275,32 @@ def _ordered(lines: Lines, rows: np.ndarray, words: np.ndarray,
     return owner[prefix], short[prefix], position[prefix], before[prefix]
 
 
-def _prefixes(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
+def _prefixes(parts: int):
     """Size and position, the word and the one before, and parity bits, for each word of a prefix.
 
     Two lines with the same word before have met there, also if different words share their 32
     bits, as it is by those that lines meet.
     """
-    lines = Lines(_flat(texts["text"]))
-    rows, _ = lines.among(known["k1"].drop_null().to_numpy())
-    rows = np.sort(rows[lines.sizes[rows] > 3])
-    words, levels = (np.frombuffer(b"".join(known[c].drop_null().to_pylist()), kind).astype(np.int64)
-                     for c, kind in (("words", np.uint32), ("levels", np.uint8)))
-    line, word, position, before = _ordered(lines, rows, words, levels)
-    bits = lines.parities().view(np.int64)
-    return pa.table({"shape": (lines.sizes[line] << 32) | position,
-                     "meet": ((word.astype(_U64) << _U64(32)) | before.astype(_U64)).view(np.int64),
-                     "bits": bits[line], "bucket": np.full(len(line), key[0].as_py(), np.int32)})
-
-
-def _meeting(word, size, position, bits, before) -> np.ndarray:
+    def prefixes(key: tuple, rows: pa.Table, known: pa.Table) -> pa.Table:
+        texts, keys, text, _ = _opened(rows)
+        lines = Lines(_flat(texts["text"]))
+        found, at = _first_lines(keys, text, _ranks(texts))
+        chosen = np.sort(at[np.isin(found, known["k1"].drop_null().to_numpy())])
+        words, _, _ = _by_part(lines, parts)
+        pieces = sorted(zip(known["part"].to_pylist(), known["levels"].to_pylist(), strict=True),
+                        key=lambda x: -1 if x[0] is None else x[0])
+        levels = np.frombuffer(b"".join(x for _, x in pieces if x is not None), np.uint8)
+        line, word, position, before = _ordered(lines, chosen, words, levels.astype(np.int64))
+        bits, more = (x.view(np.int64)[line] for x in lines.parities())
+        return pa.table({"shape": (lines.sizes[line] << 32) | position,
+                         "meet": ((word.astype(_U64) << _U64(32)) | before.astype(_U64)).view(np.int64),
+                         "bits": bits, "more": more,
+                         "bucket": np.full(len(line), key[0].as_py(), np.int32)})
+
+    return prefixes
+
+
+def _meeting(word, size, position, bits, more, before) -> np.ndarray:
     """Which rows, sorted by word and size, meet another of the same word that all filters let pass.
 
     Two lines with the same word before have met there. A row looks on until the lines are too long
@@ -241,9 +321,14 @@ def _meeting(word, size, position, bits, before) -> np.ndarray:
         common = np.minimum(size[left] - position[left], size[other] - position[other])
         fits = 9 * common >= 4 * both
         fits &= (before[left] != before[other]) | (before[left] == 0)
-        fits &= np.bitwise_count(bits[left] ^ bits[other]) <= both // 9
-        met[left[fits]] = True
-        met[other[fits]] = True
+        x, y = left[fits], other[fits]
+        differ, beyond = bits[x] ^ bits[y], more[x] ^ more[y]
+        # Of a line of few words the halves are folded, so are those of one it meets.
+        folded = np.bitwise_count(differ ^ beyond).astype(np.int64)
+        whole = np.bitwise_count(differ).astype(np.int64) + np.bitwise_count(beyond)
+        fits = np.where(size[x] <= FEW, folded, whole) <= (size[x] + size[y]) // 9
+        met[x[fits]] = True
+        met[y[fits]] = True
 
 
 def _by_run(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -269,30 +354,32 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             meet = batch.column("meet").to_numpy().view(_U64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("bucket"), batch.column("bits"),
+                [batch.column("bucket"), batch.column("bits"), batch.column("more"),
                  pa.array((meet >> _U64(32)).astype(np.int64)), batch.column("shape"),
                  pa.array((meet & _U64(0xFFFFFFFF)).astype(np.int64))],
-                names=["bucket", "bits", "word", "shape", "before"])
+                names=["bucket", "bits", "more", "word", "shape", "before"])
 
     for run in _by_run(with_words(), "word"):
         shape = run["shape"].to_numpy()
         met = _meeting(run["word"].to_numpy(), shape >> 32, shape & 0xFFFFFFFF,
-                       run["bits"].to_numpy().view(_U64), run["before"].to_numpy())
+                       run["bits"].to_numpy().view(_U64), run["more"].to_numpy().view(_U64),
+                       run["before"].to_numpy())
         yield from run.filter(pa.array(met)).select(["bucket", "bits", "word"]).to_batches()
 
 
-def _whole_sets(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
+def _whole_sets(key: tuple, rows: pa.Table, known: pa.Table) -> pa.Table:
     """word, class, members and place, for each word at which a class may have met a similar one.
 
     Kind 0 names the classes whose first line is here, kind 1 has a word and the parity bits of
     one of them; another one with the same bits comes along.
     """
     kinds, a, b = (known[c].to_numpy() for c in ("kind", "a", "b"))
-    lines = Lines(_flat(texts["text"]))
-    keys, at = _first_lines(lines, lines.sums(1).view(np.int64), _ranks(texts))
+    texts, keys, text, number = _opened(rows)
+    keys, at = _first_lines(keys, text, _ranks(texts))
     here = np.isin(keys, a[kinds == 0])
     keys, at = keys[here], at[here]
-    bits = lines.parities().view(np.int64)[at]
+    lines = Lines(_flat(texts["text"]))
+    bits = lines.parities()[0].view(np.int64)[at]
     order = np.argsort(bits, kind="stable")
     words, wanted = a[kinds == 1], b[kinds == 1]
     low, high = (np.searchsorted(bits[order], wanted, side=side) for side in ("left", "right"))
@@ -300,13 +387,13 @@ def _whole_sets(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
     picked = order[np.repeat(low, counts) + np.arange(counts.sum())
                    - np.repeat(np.cumsum(counts) - counts, counts)]
     line = at[picked]
-    text = pa.array(lines.text[line])
+    owner = pa.array(text[line])
     return pa.table({
         "word": pa.array(np.repeat(words, counts)), "k1": keys[picked],
         "members": pa.array([lines.members[lines.starts[i]:lines.stops[i]].tobytes()
                              for i in line], pa.binary()),
-        "doc_id": texts["doc_id"].take(text), "tie": texts["tie"].take(text),
-        "number": lines.number[line]})
+        "doc_id": texts["doc_id"].take(owner), "tie": texts["tie"].take(owner),
+        "number": number[line]})
 
 
 #: Sets compared with others at once.
@@ -370,21 +457,15 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(sorted(set(late)), pa.int64())], names=["k1"])
 
 
-def _rewritten(key: tuple, texts: pa.Table, stay: pa.Table) -> pa.Table:
+def _rewritten(key: tuple, rows: pa.Table, stay: pa.Table) -> pa.Table:
     """The rows of a bucket with the lines that stay; and lines with words before and after."""
-    lines = Lines(_flat(texts["text"]))
-    rank = _ranks(texts)
-    own = lines.sums(1).view(np.int64)
-    wanted = np.sort(stay["k1"].to_numpy())
-    full = lines.sizes > 0
+    texts, keys, text, _ = _opened(rows)
+    lines = Breaks(_flat(texts["text"]))
+    full = keys != _EMPTY
     keep = ~full
-    if len(wanted):
-        hit = np.flatnonzero(
-            full & (wanted[np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)] == own))
-        # In the order of documents, so that of equal lines the first one stays.
-        hit = hit[np.argsort(rank[lines.text[hit]], kind="stable")]
-        _, first = np.unique(own[hit], return_index=True)
-        keep[hit[first]] = True
+    # In the order of documents, so that of equal lines the first one stays.
+    found, first = _first_lines(keys, text, _ranks(texts))
+    keep[first[np.isin(found, stay["k1"].to_numpy())]] = True
     edges = np.zeros(len(lines.raw) + 1, dtype=np.int64)
     np.add.at(edges, lines.begins[keep], 1)
     np.add.at(edges, lines.ends[keep], -1)
@@ -392,12 +473,12 @@ def _rewritten(key: tuple, texts: pa.Table, stay: pa.Table) -> pa.Table:
     raw = lines.raw[chosen]
     stops = np.concatenate(([0], np.cumsum(chosen)))[lines.offsets].astype(np.int64)
     count = len(lines.offsets) - 1
-    text = pa.LargeStringArray.from_buffers(
+    left_over = pa.LargeStringArray.from_buffers(
         count, pa.py_buffer(stops.tobytes()), pa.py_buffer(raw.tobytes())).cast(pa.string())
     total = np.bincount(lines.text[full], minlength=count)
     left = np.bincount(lines.text[full & keep], minlength=count)
-    out = texts.drop_columns(["bucket", "tie", "text"])
-    return out.append_column("text", text).append_column(
+    out = texts.drop_columns(["keys", "tie", "text"])
+    return out.append_column("text", left_over).append_column(
         "lines", pa.array(total.astype(np.int64))).append_column(
         "lines_left", pa.array(left.astype(np.int64)))
 
@@ -420,24 +501,23 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text")
         F.xxhash64("doc_id", "tie"), F.lit(buckets).cast("long")).cast("int"))
 
     order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tie", "number")
-    firsts = stored(rows.select("doc_id", "tie", "bucket", "text").mapInArrow(
-        _classes, "k1 long, k2 long, n long, doc_id long, tie long, number long, bucket int")
-        .groupBy("k1", "k2").agg(F.min(F.struct(order.alias("order"), "bucket", "n")).alias("x"))
-        .select("k1", "x.bucket", "x.n"), "line-classes")
-
-    dealt = rows.repartition(n, "bucket")
+    dealt = rows.mapInArrow(_dealt, "bucket int, rows binary").repartition(n, "bucket")
     narrow = dealt.groupBy("bucket")
+    firsts = narrow.applyInArrow(
+        _classes, "k1 long, long boolean, doc_id long, tie long, number long, bucket int") \
+        .groupBy("k1").agg(F.min(F.struct(order.alias("order"), "bucket", "long")).alias("x")) \
+        .select("k1", "x.bucket", "x.long")
     # A word goes out once from each bucket that has it, however frequent it is, and comes back once.
     counted = narrow.applyInArrow(
-        _word_counts(n), "part int, bucket int, words binary, counts binary")
-    levels = counted.groupBy("part").applyInArrow(
-        _levels, "bucket int, words binary, levels binary")
-    long_firsts = firsts.where("n > 3")
-    nothing = F.lit(None).cast("binary")
-    known = long_firsts.select("bucket", "k1", nothing.alias("words"), nothing.alias("levels")).union(
-        levels.select("bucket", F.lit(None).cast("long").alias("k1"), "words", "levels"))
+        _word_counts(n),
+        "part int, bucket int, steps binary, far binary, counts binary, many binary")
+    levels = counted.groupBy("part").applyInArrow(_levels, "bucket int, part int, levels binary")
+    long_firsts = firsts.where("long")
+    known = long_firsts.select("bucket", "k1", F.lit(None).cast("int").alias("part"),
+                               F.lit(None).cast("binary").alias("levels")).union(
+        levels.select("bucket", F.lit(None).cast("long").alias("k1"), "part", "levels"))
     prefixes = narrow.cogroup(known.groupBy("bucket")).applyInArrow(
-        _prefixes, "shape long, meet long, bits long, bucket int")
+        _prefixes(n), "shape long, meet long, bits long, more long, bucket int")
     # By word, and by size within a word; the sign of the word is that of its bits.
     word = F.shiftright("meet", 32)
     plausible = prefixes.repartition(n, word).sortWithinPartitions(
