@@ -192,11 +192,10 @@ def _short(words: np.ndarray) -> np.ndarray:
     return (words >> _U64(32)).astype(np.int64)
 
 
-def _by_part(lines: Lines, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(words, counts, part): the words of a bucket by part and then by value."""
+def _by_part(lines: Lines, parts: int) -> np.ndarray:
+    """A number for each word, by which words go by part and then by value."""
     words = _short(lines.members)
-    keys, counts = np.unique(((words % parts) << 32) | words, return_counts=True)
-    return keys & 0xFFFFFFFF, counts, keys >> 32
+    return ((words % parts) << 32) | words
 
 
 def _narrow(values: np.ndarray) -> tuple[bytes, bytes]:
@@ -216,7 +215,9 @@ def _word_counts(parts: int):
     """A row for each part of the words that a bucket has: the steps from word to word, in units of
     the number of parts, and in how many lines they are."""
     def counted(key: tuple, rows: pa.Table) -> pa.Table:
-        words, counts, part = _by_part(Lines(_flat(_opened(rows)[0]["text"])), parts)
+        words, counts = np.unique(
+            _by_part(Lines(_flat(_opened(rows)[0]["text"])), parts), return_counts=True)
+        words, part = words & 0xFFFFFFFF, words >> 32
         cuts = np.flatnonzero(np.concatenate(([True], np.diff(part) > 0, [True]))) if len(part) else []
         pieces = list(zip(cuts[:-1], cuts[1:], strict=True))
         steps = [_narrow(np.diff(words[a:b] // parts, prepend=0)) for a, b in pieces]
@@ -247,20 +248,13 @@ def _levels(rows: pa.Table) -> pa.Table:
         [level[end - len(x):end].tobytes() for x, end in zip(words, ends, strict=True)], pa.binary())})
 
 
-def _ordered(lines: Lines, rows: np.ndarray, words: np.ndarray,
+def _ordered(lines: Lines, rows: np.ndarray,
              levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(line, word, position, word before) of the prefixes of the lines, rarest words first."""
     picked = np.zeros(len(lines.sizes), dtype=bool)
     picked[rows] = True
     at = np.flatnonzero(picked[lines.owner])
-    members, owner = lines.members[at], lines.owner[at]
-    order = np.argsort(words)
-    words, levels = words[order], levels[order]
-    df = np.zeros(len(members), dtype=np.int64)
-    if len(words):
-        short = _short(members)
-        place = np.minimum(np.searchsorted(words, short), len(words) - 1)
-        df = np.where(words[place] == short, levels[place], 0)
+    members, owner, df = lines.members[at], lines.owner[at], levels[at]
     # Equal levels stay in the order of hashes, which all lines share.
     order = np.argsort((owner << 8) | df, kind="stable")
     members, owner, df = members[order], owner[order], df[order]
@@ -276,7 +270,8 @@ def _ordered(lines: Lines, rows: np.ndarray, words: np.ndarray,
 
 
 def _prefixes(parts: int):
-    """Size and position, the word and the one before, and parity bits, for each word of a prefix.
+    """The word and the size, the word before and the position, parity bits, and bucket and place of
+    the class there, for each word of a prefix.
 
     Two lines with the same word before have met there, also if different words share their 32
     bits, as it is by those that lines meet.
@@ -285,17 +280,19 @@ def _prefixes(parts: int):
         texts, keys, text, _ = _opened(rows)
         lines = Lines(_flat(texts["text"]))
         found, at = _first_lines(keys, text, _ranks(texts))
-        chosen = np.sort(at[np.isin(found, known["k1"].drop_null().to_numpy())])
-        words, _, _ = _by_part(lines, parts)
+        picked = np.isin(found, known["k1"].drop_null().to_numpy())
+        places = np.zeros(len(keys), dtype=np.int64)
+        places[at] = np.arange(len(at))
+        chosen = np.sort(at[picked])
+        place = np.unique(_by_part(lines, parts), return_inverse=True)[1]
         pieces = sorted(zip(known["part"].to_pylist(), known["levels"].to_pylist(), strict=True),
                         key=lambda x: -1 if x[0] is None else x[0])
         levels = np.frombuffer(b"".join(x for _, x in pieces if x is not None), np.uint8)
-        line, word, position, before = _ordered(lines, chosen, words, levels.astype(np.int64))
+        line, word, position, before = _ordered(lines, chosen, levels[place].astype(np.int64))
         bits, more = (x.view(np.int64)[line] for x in lines.parities())
-        return pa.table({"shape": (lines.sizes[line] << 32) | position,
-                         "meet": ((word.astype(_U64) << _U64(32)) | before.astype(_U64)).view(np.int64),
-                         "bits": bits, "more": more,
-                         "bucket": np.full(len(line), key[0].as_py(), np.int32)})
+        return pa.table({"at": (word.astype(np.int32).astype(np.int64) << 32) | lines.sizes[line],
+                         "before": (before << 32).astype(np.int64) | position, "bits": bits, "more": more,
+                         "line": (np.int64(key[0].as_py()) << 32) | places[line]})
 
     return prefixes
 
@@ -352,48 +349,35 @@ def _by_run(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def with_words() -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            meet = batch.column("meet").to_numpy().view(_U64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("bucket"), batch.column("bits"), batch.column("more"),
-                 pa.array((meet >> _U64(32)).astype(np.int64)), batch.column("shape"),
-                 pa.array((meet & _U64(0xFFFFFFFF)).astype(np.int64))],
-                names=["bucket", "bits", "more", "word", "shape", "before"])
+            yield batch.append_column("word", pa.array(batch.column("at").to_numpy() >> 32))
 
     for run in _by_run(with_words(), "word"):
-        shape = run["shape"].to_numpy()
-        met = _meeting(run["word"].to_numpy(), shape >> 32, shape & 0xFFFFFFFF,
-                       run["bits"].to_numpy().view(_U64), run["more"].to_numpy().view(_U64),
-                       run["before"].to_numpy())
-        yield from run.filter(pa.array(met)).select(["bucket", "bits", "word"]).to_batches()
+        at, before = (run[c].to_numpy() for c in ("at", "before"))
+        bits, more = (run[c].to_numpy().view(_U64) for c in ("bits", "more"))
+        met = _meeting(at >> 32, at & 0xFFFFFFFF, before & 0xFFFFFFFF, bits, more, before >> 32)
+        yield from run.filter(pa.array(met)).select(["line", "word"]).to_batches()
 
 
-def _whole_sets(key: tuple, rows: pa.Table, known: pa.Table) -> pa.Table:
-    """word, class, members and place, for each word at which a class may have met a similar one.
-
-    Kind 0 names the classes whose first line is here, kind 1 has a word and the parity bits of
-    one of them; another one with the same bits comes along.
-    """
-    kinds, a, b = (known[c].to_numpy() for c in ("kind", "a", "b"))
+def _whole_sets(key: tuple, rows: pa.Table, met: pa.Table) -> pa.Table:
+    """word, class, members and place, for each word at which a class may have met a similar one."""
     texts, keys, text, number = _opened(rows)
     keys, at = _first_lines(keys, text, _ranks(texts))
-    here = np.isin(keys, a[kinds == 0])
-    keys, at = keys[here], at[here]
-    lines = Lines(_flat(texts["text"]))
-    bits = lines.parities()[0].view(np.int64)[at]
-    order = np.argsort(bits, kind="stable")
-    words, wanted = a[kinds == 1], b[kinds == 1]
-    low, high = (np.searchsorted(bits[order], wanted, side=side) for side in ("left", "right"))
-    counts = high - low
-    picked = order[np.repeat(low, counts) + np.arange(counts.sum())
-                   - np.repeat(np.cumsum(counts) - counts, counts)]
-    line = at[picked]
-    owner = pa.array(text[line])
+    place, which = np.unique(met["line"].to_numpy() & 0xFFFFFFFF, return_inverse=True)
+    at, keys = at[place], keys[place]
+    # Of the lines that met, a text each.
+    breaks = Breaks(_flat(texts["text"]))
+    sizes = breaks.ends[at] - breaks.begins[at]
+    stops = np.concatenate(([0], np.cumsum(sizes)))
+    raw = breaks.raw[np.repeat(breaks.begins[at] - stops[:-1], sizes) + np.arange(stops[-1])]
+    lines = Lines(pa.LargeStringArray.from_buffers(
+        len(at), pa.py_buffer(stops.astype(np.int64).tobytes()), pa.py_buffer(raw.tobytes())))
+    members = [lines.members[a:b].tobytes() for a, b in zip(lines.starts, lines.stops, strict=True)]
+    owner = pa.array(text[at][which])
     return pa.table({
-        "word": pa.array(np.repeat(words, counts)), "k1": keys[picked],
-        "members": pa.array([lines.members[lines.starts[i]:lines.stops[i]].tobytes()
-                             for i in line], pa.binary()),
+        "word": met["word"], "k1": keys[which],
+        "members": pa.array([members[i] for i in which.tolist()], pa.binary()),
         "doc_id": texts["doc_id"].take(owner), "tie": texts["tie"].take(owner),
-        "number": number[line]})
+        "number": number[at][which]})
 
 
 #: Sets compared with others at once.
@@ -447,7 +431,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         members = table["members"].to_pylist()
         late = []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            # A class comes twice if another one has the same parity bits.
+            # A class may come twice, by words that share their 32 bits.
             once = a + np.unique(keys[a:b], return_index=True)[1]
             if len(once) > 1:
                 found = _later([order[i] for i in once],
@@ -517,16 +501,12 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text")
                                F.lit(None).cast("binary").alias("levels")).union(
         levels.select("bucket", F.lit(None).cast("long").alias("k1"), "part", "levels"))
     prefixes = narrow.cogroup(known.groupBy("bucket")).applyInArrow(
-        _prefixes(n), "shape long, meet long, bits long, more long, bucket int")
-    # By word, and by size within a word; the sign of the word is that of its bits.
-    word = F.shiftright("meet", 32)
-    plausible = prefixes.repartition(n, word).sortWithinPartitions(
-        F.shiftrightunsigned("meet", 32), "shape").mapInArrow(
-        _plausible, "bucket int, bits long, word long")
-    named = long_firsts.select("bucket", F.lit(0).alias("kind"), F.col("k1").alias("a"),
-                               F.lit(0).cast("long").alias("b")).union(
-        plausible.select("bucket", F.lit(1).alias("kind"), "word", "bits"))
-    sets = narrow.cogroup(named.groupBy("bucket")).applyInArrow(
+        _prefixes(n), "at long, before long, bits long, more long, line long")
+    # By word, and by size within a word.
+    plausible = prefixes.repartition(n, F.shiftright("at", 32)).sortWithinPartitions("at").mapInArrow(
+        _plausible, "line long, word long")
+    met = plausible.groupBy(F.shiftright("line", 32).cast("int").alias("bucket"))
+    sets = narrow.cogroup(met).applyInArrow(
         _whole_sets, "word long, k1 long, members binary, doc_id long, tie long, number long")
     late = sets.repartition(n, "word").sortWithinPartitions("word").mapInArrow(
         _verified, "k1 long").distinct()

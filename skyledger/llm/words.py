@@ -64,7 +64,8 @@ class Words:
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, lower: bool = False,
                  between: np.ndarray = _SPACE):
         self.raw = _LOWER[raw] if lower else raw
-        inside = ~between[raw]
+        # Comparisons are faster than a look at the table.
+        inside = (raw != 0x20) & (raw - np.uint8(9) > 4) if between is _SPACE else ~between[raw]
         first = np.zeros(len(raw) + 1, dtype=bool)
         first[offsets[offsets < len(raw)]] = True
         starts = inside.copy()
