@@ -5,17 +5,22 @@ language keeps the terms that occur in at least ``MIN_DOCUMENTS`` of its documen
 one that a group of documents has ``count`` times among N has p = 1 + floor(10^9 (count + 2) /
 (N + 2 V)). Two distributions differ in a term by floor((p - q)^2 / (p + q)).
 
-1. CountVectorizer with minDF and the largest integer as vocabSize finds the terms of every language
-   and gives each document an exact sparse vector of counts. One fit serves all languages, since a
+1. Texts are split once, and the terms of some ``CHUNK_BYTES`` of documents are stored together, without
+   loss to what is asked. What a group (language, source) has there are rows that hold a term once and
+   have powers of two as weights, those that its count is the sum of. Which documents have a term are
+   as many rows with it as documents, but no more than ``MIN_DOCUMENTS``, as so many already keep it.
+   Either has no more terms than the texts have.
+2. CountVectorizer with minDF and the largest integer as vocabSize finds the terms of every language
+   and gives each row of a group an exact sparse vector. One fit serves all languages, since a
    term carries its language in front and so is counted among documents of its own; another language
-   costs no other pass. Texts are split once and their terms stored. The vocabulary goes through
-   the driver, as always with this method: one term in 256, picked by hash and counted in all
-   documents, tells how many are kept, and if there are more than ``VOCABULARY``, terms are dealt by
-   hash to several vectorizers, one after the other, so that what the driver holds stays bounded.
-2. The vectors of a group (language, source) are summed entry by entry, only entries that occur:
+   costs no other pass. The vocabulary goes through the driver, as always with this method: one term
+   in 256, picked by hash and counted in all documents, tells how many are kept, and if there are more
+   than ``VOCABULARY``, terms are dealt by hash to several vectorizers, one after the other, so that
+   what the driver holds stays bounded.
+3. The vectors of a group, by their weights, are summed entry by entry, only entries that occur:
    within each task, and then over tasks by blocks of ``BLOCK_ENTRIES`` entries, however large the
    group. Sums of all groups of a language are those of the language.
-3. Pairs of sources are evaluated on those sparse sums. A term that neither source has adds the same
+4. Pairs of sources are evaluated on those sparse sums. A term that neither source has adds the same
    to each pair, so that only terms of one of them or of both are visited. Terms are dealt by hash to
    slices of about ``SLICE_TERMS``, sources to blocks of ``BLOCK_SOURCES``; a task has two blocks in one
    slice and returns a partial sum for each pair.
@@ -47,51 +52,145 @@ BLOCK_ENTRIES = 4096
 #: One term in 2 ** 8 tells how many there are.
 _DRAWN_BITS = 8
 SLICE_TERMS, BLOCK_SOURCES = 2048, 128
+#: Documents summed up together, and different terms in a row of theirs.
+CHUNK_BYTES, ROW_TERMS = 1 << 23, 1024
+_COLUMNS = ["lang", "source", "weight", "terms", "found", "drawn"]
 
 #: Bytes between terms, all ASCII but the letters; those of other characters are parts of terms.
 _BETWEEN = np.arange(256) < 0x80
 _BETWEEN[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = False
 
 
-def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Rows of several batches in one, of at most ``limit`` bytes, if it holds more than one row."""
+    held, size = [], 0
     for batch in batches:
-        for part in slices(batch, "text"):
-            words = Words(*text_bytes(part.column(2)), lower=True, between=_BETWEEN)
-            sizes = words.ends - words.starts
-            inside = np.zeros(len(words.raw) + 1, dtype=np.int8)
-            inside[words.starts] = 1
-            inside[words.ends] -= 1
-            raw = words.raw[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
-            stops = np.concatenate(([0], np.cumsum(sizes)))
-            terms = pa.LargeStringArray.from_buffers(
-                len(words), pa.py_buffer(stops.tobytes()), pa.py_buffer(raw.tobytes()))
-            text = np.repeat(np.arange(part.num_rows), words.text_ends - words.text_starts)
-            langs = part.column(0).cast(pa.large_string()).take(pa.array(text))
-            named = pc.binary_join_element_wise(
-                langs, terms, pa.scalar(" ", pa.large_string())).cast(pa.string())
-            drawn = words.hashes() >> np.uint64(64 - _DRAWN_BITS) == 0
-            ends = np.concatenate(([0], words.text_ends))
-            few = np.concatenate(([0], np.cumsum(drawn)))[ends]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), named),
-                 pa.ListArray.from_arrays(pa.array(few, pa.int32()), named.filter(pa.array(drawn)))],
-                names=["lang", "source", "terms", "drawn"])
-
-
-def _terms(documents: DataFrame, text: str, lang: str, source: str) -> DataFrame:
-    """lang, source, terms: each term behind its language and a space, which no term holds; drawn:
-    those terms that a hash picks from all."""
+        for part in slices(batch, "text", limit):
+            if held and size + part.nbytes > limit:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+            held.append(part)
+            size += part.nbytes
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins; there is one key at least."""
+    return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+
+
+def _lengths(firsts: np.ndarray, size: int) -> np.ndarray:
+    return np.diff(firsts, append=size)
+
+
+def _cut(keys: np.ndarray, most: int) -> np.ndarray:
+    """Where rows begin: with each run of equal keys, and again behind ``most`` of them."""
+    firsts = _firsts(keys)
+    within = np.arange(len(keys)) - np.repeat(firsts, _lengths(firsts, len(keys)))
+    return np.flatnonzero(within % most == 0)
+
+
+def _lists(values: pa.Array, starts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()),
+                                    values.cast(pa.string()))
+
+
+def _no_lists(rows: int) -> pa.ListArray:
+    return _lists(pa.array([], pa.string()), np.zeros(rows, dtype=np.int64))
+
+
+def _summed_up(chunk: pa.RecordBatch, least: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_terms`` for some documents, each of at most ``most`` different terms."""
+    words = Words(*text_bytes(chunk.column(2)), lower=True, between=_BETWEEN)
+    if not len(words):
+        return
+    inside = np.zeros(len(words.raw) + 1, dtype=np.int8)
+    inside[words.starts] = 1
+    inside[words.ends] -= 1
+    raw = words.raw[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
+    stops = np.concatenate(([0], np.cumsum(words.ends - words.starts)))
+    encoded = pa.LargeStringArray.from_buffers(
+        len(words), pa.py_buffer(stops.tobytes()), pa.py_buffer(raw.tobytes())).dictionary_encode()
+
+    # Documents are numbered by group, so that those of a group or a language follow one another.
+    pairs = list(zip(chunk.column(0).to_pylist(), chunk.column(1).to_pylist(), strict=True))
+    groups = sorted(set(pairs))
+    langs = {own: i for i, own in enumerate(sorted({lang for lang, _ in groups}))}
+    number = {pair: i for i, pair in enumerate(groups)}
+    group = np.array([number[pair] for pair in pairs])
+    order = np.argsort(group, kind="stable")
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    group = group[order]
+    lang = np.array([langs[own] for own, _ in groups])[group]
+
+    bits = len(pairs).bit_length()
+    keys = encoded.indices.to_numpy().astype(np.int64) << bits
+    keys |= np.repeat(place, words.text_ends - words.text_starts)
+    keys.sort()
+    first = _firsts(keys)
+    n = _lengths(first, len(keys))
+    term, document = keys[first] >> bits, keys[first] & ((1 << bits) - 1)
+    first = _firsts(term * len(langs) + lang[document])
+    documents = _lengths(first, len(term))
+    named = pc.binary_join_element_wise(
+        pa.array(list(langs), pa.large_string()).take(pa.array(lang[document[first]])),
+        encoded.dictionary.take(pa.array(term[first])), pa.scalar(" ", pa.large_string()))
+    drawn = (Words(*text_bytes(encoded.dictionary), between=_BETWEEN).hashes()
+             >> np.uint64(64 - _DRAWN_BITS) == 0)[term[first]]
+
+    # Row i of a language stands for a document that has the terms of more than i documents.
+    found = [np.flatnonzero(documents > i) for i in range(max(1, least))]
+    at = np.concatenate(found)
+    cuts = _cut(np.repeat(np.arange(len(found)), [len(x) for x in found]), most)
+    few = np.concatenate(([0], np.cumsum(drawn[at])))[cuts]
+    yield pa.RecordBatch.from_arrays(
+        [pa.nulls(len(cuts), pa.string()), pa.nulls(len(cuts), pa.string()),
+         pa.nulls(len(cuts), pa.int64()), _no_lists(len(cuts)), _lists(named.take(pa.array(at)), cuts),
+         _lists(named.take(pa.array(at[drawn[at]])), few)], names=_COLUMNS)
+
+    # A count is the sum of the powers of two in it; each is the weight of a row that has the term.
+    start = _firsts(term * len(groups) + group[document])
+    count, own = np.add.reduceat(n, start), group[document[start]]
+    name = np.searchsorted(first, start, side="right") - 1
+    order = np.argsort(own, kind="stable")
+    count, own, name = count[order], own[order], name[order]
+    for bit in range(int(count.max()).bit_length()):
+        at = np.flatnonzero(count >> bit & 1)
+        if not len(at):
+            continue
+        cuts = _cut(own[at], most)
+        of = [groups[i] for i in own[at[cuts]]]
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.array(list(x), pa.string()) for x in zip(*of, strict=True)],
+             pa.array(np.full(len(cuts), 1 << bit)), _lists(named.take(pa.array(name[at])), cuts),
+             _no_lists(len(cuts)), _no_lists(len(cuts))], names=_COLUMNS)
+
+
+def _terms(documents: DataFrame, least: int, text: str, lang: str, source: str) -> DataFrame:
+    """The documents as fewer rows of terms, each behind its language and a space, which no term holds.
+
+    lang, source, weight, terms: a group has each term as often as the weights of its rows with it say.
+    found: the other rows; a term is in ``least`` of them if it is in as many documents, and in as many
+    as in documents otherwise. drawn: those of them that a hash picks from all.
+    """
+    limit, most = CHUNK_BYTES, ROW_TERMS
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches, limit):
+            yield from _summed_up(chunk, least, most)
+
     named = documents.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"),
                              F.coalesce(F.col(source), F.lit("")).alias("source"),
                              F.col(text).alias("text"))
-    return named.mapInArrow(
-        _split, "lang string, source string, terms array<string>, drawn array<string>")
+    return named.mapInArrow(split, "lang string, source string, weight long, terms array<string>, "
+                            "found array<string>, drawn array<string>")
 
 
 def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the vectors of each group in a task: a row for each block of entries, in which the
-    entries that occur stand."""
+    """Weighted sums of the vectors of each group in a task: a row for each block of entries, in
+    which the entries that occur stand."""
     groups: dict[tuple, int] = {}
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -116,7 +215,7 @@ def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             names=["lang", "source", "block", "entries", "sums"])
 
     for batch in batches:
-        lang, source, vector = batch.columns
+        lang, source, weight, vector = batch.columns
         indices, values = vector.field("indices"), vector.field("values")
         group = np.array([groups.setdefault(pair, len(groups)) for pair in zip(
             lang.to_pylist(), source.to_pylist(), strict=True)], dtype=np.int64)
@@ -124,7 +223,8 @@ def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         keys = (np.repeat(group, sizes) << 31) | indices.flatten().to_numpy()
         if len(keys):
             # Counts are whole doubles; as longs their sums stay exact beyond 2 ** 53, too.
-            held.append((keys, values.flatten().to_numpy().astype(np.int64)))
+            held.append((keys, values.flatten().to_numpy().astype(np.int64)
+                         * np.repeat(weight.to_numpy(), sizes)))
         if sum(len(k) for k, _ in held) > 1 << 22:
             held = [combined()]
             if len(held[0][0]) > 1 << 21:
@@ -160,12 +260,14 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _vector_sums(terms: DataFrame, least: int, part: int) -> tuple[DataFrame, DataFrame]:
-    """(lang, source, entry, n: exact sums of the documents' sparse vectors, entries that occur;
+    """(lang, source, entry, n: exact sums of the rows' sparse vectors, entries that occur;
     entry, term: what the entries are)."""
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least),
-                            vocabSize=(1 << 31) - 1).fit(terms)
+                            vocabSize=(1 << 31) - 1).fit(
+        terms.where("weight is null").select(F.col("found").alias("terms")))
     spark = terms.sparkSession
-    vectors = model.transform(terms).select("lang", "source", F.unwrap_udt("vector").alias("vector"))
+    vectors = (model.transform(terms.where("weight > 0").select("lang", "source", "weight", "terms"))
+               .select("lang", "source", "weight", F.unwrap_udt("vector").alias("vector")))
     key = ["lang", "source", "block"]
     sums = (vectors.mapInArrow(_partial_sums, "lang string, source string, block long, "
                                "entries array<int>, sums array<long>")
@@ -188,13 +290,13 @@ def group_sums(documents: DataFrame, least: int = MIN_DOCUMENTS, text: str = "te
                lang: str = "lang", source: str = "source") -> tuple[DataFrame, DataFrame]:
     """lang, source, entry, n: how often a source has each kept term that it has; and entry, term.
     An entry belongs to one language."""
-    terms = stored(_terms(documents, text, lang, source), "divergence-terms")
-    drawn = (terms.select(F.explode(F.array_distinct("drawn")).alias("term"))
+    terms = stored(_terms(documents, least, text, lang, source), "divergence-terms")
+    drawn = (terms.select(F.explode("drawn").alias("term"))
              .groupBy("term").count().where(F.col("count") >= least).count())
     parts = _vectorizers(drawn)
-    found = [_vector_sums(terms if parts == 1 else terms.withColumn("terms", F.filter(
-        "terms", lambda term: F.pmod(F.xxhash64(term), F.lit(parts)) == part)), least, part)  # noqa: B023
-             for part in range(parts)]
+    found = [_vector_sums(terms if parts == 1 else terms.withColumns({name: F.filter(
+        name, lambda term: F.pmod(F.xxhash64(term), F.lit(parts)) == part)  # noqa: B023
+        for name in ("terms", "found")}), least, part) for part in range(parts)]
     return tuple(reduce(DataFrame.union, frames) for frames in zip(*found, strict=True))
 
 

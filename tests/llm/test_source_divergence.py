@@ -85,6 +85,30 @@ def test_small_blocks_slices_and_vocabularies(session, monkeypatch):
     assert audit(session, rows, least=3) == plain(rows, 3)
 
 
+def test_small_chunks_and_rows_of_terms(session, monkeypatch):
+    monkeypatch.setattr(source_divergence, "CHUNK_BYTES", 700)
+    monkeypatch.setattr(source_divergence, "ROW_TERMS", 3)
+    rows = corpus()
+    assert audit(session, rows, least=4) == plain(rows, 4)
+
+
+def test_a_term_is_stored_less_often_than_texts_have_it(session, monkeypatch):
+    sizes = []
+
+    def stored(df, label):
+        if label == "divergence-terms":
+            lists = [f.name for f in df.schema if f.dataType.typeName() == "array"]
+            sizes.append(sum(df.selectExpr(*[f"sum(size({name}))" for name in lists]).first()))
+        return tables.stored(df, label)
+
+    monkeypatch.setattr(source_divergence, "stored", stored)
+    rows = [("one two two three three three " * 5 + "only" + "ab"[i % 2], "en", "ab"[i % 3 > 0])
+            for i in range(400)] + [("last words", "en", "b")] * 9
+    assert audit(session, rows) == plain(rows, 10)
+    # A row for each power of two and ten rows for documents, of three parts of the table at most.
+    assert sizes[0] < 3 * 7 * (2 * 12 + 10) < 400 * 31 / 15
+
+
 def test_slices_of_terms_sum_to_all_pairs():
     rng = np.random.default_rng(1)
     counts = rng.integers(0, 3, (9, 40)) * rng.integers(0, 50, (9, 40))
