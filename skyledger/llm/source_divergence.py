@@ -5,8 +5,8 @@ language keeps the terms that occur in at least ``MIN_DOCUMENTS`` of its documen
 one that a group of documents has ``count`` times among N has p = 1 + floor(10^9 (count + 2) /
 (N + 2 V)). Two distributions differ in a term by floor((p - q)^2 / (p + q)).
 
-1. Texts are split once, and the terms of some ``CHUNK_BYTES`` of documents are stored together, without
-   loss to what is asked. What a group (language, source) has there are rows that hold a term once and
+1. Texts are split once, and terms are stored for many documents of a task together, as many as have
+   ``HELD_ENTRIES`` different terms in their groups, without loss to what is asked. What a group (language, source) has there are rows that hold a term once and
    have powers of two as weights, those that its count is the sum of. Which documents have a term are
    as many rows with it as documents, but no more than ``MIN_DOCUMENTS``, as so many already keep it.
    Either has no more terms than the texts have.
@@ -34,6 +34,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +53,8 @@ BLOCK_ENTRIES = 4096
 #: One term in 2 ** 8 tells how many there are.
 _DRAWN_BITS = 8
 SLICE_TERMS, BLOCK_SOURCES = 2048, 128
-#: Documents summed up together, and different terms in a row of theirs.
-CHUNK_BYTES, ROW_TERMS = 1 << 23, 1024
+#: Documents counted at once, terms of groups that a task holds, and different terms in a row of theirs.
+CHUNK_BYTES, HELD_ENTRIES, ROW_TERMS = 1 << 22, 1 << 21, 1024
 _COLUMNS = ["lang", "source", "weight", "terms", "found", "drawn"]
 
 #: Bytes between terms, all ASCII but the letters; those of other characters are parts of terms.
@@ -100,11 +101,22 @@ def _no_lists(rows: int) -> pa.ListArray:
     return _lists(pa.array([], pa.string()), np.zeros(rows, dtype=np.int64))
 
 
-def _summed_up(chunk: pa.RecordBatch, least: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Rows of ``_terms`` for some documents, each of at most ``most`` different terms."""
+class _Counts(NamedTuple):
+    """What some documents hold: terms behind their language, and for each the documents that have
+    it and whether a hash picks it; groups, and the term, group and count of each entry."""
+    terms: pa.Array
+    documents: np.ndarray
+    drawn: np.ndarray
+    groups: list[tuple[str, str]]
+    term: np.ndarray
+    group: np.ndarray
+    count: np.ndarray
+
+
+def _counted(chunk: pa.RecordBatch) -> _Counts | None:
     words = Words(*text_bytes(chunk.column(2)), lower=True, between=_BETWEEN)
     if not len(words):
-        return
+        return None
     inside = np.zeros(len(words.raw) + 1, dtype=np.int8)
     inside[words.starts] = 1
     inside[words.ends] -= 1
@@ -140,31 +152,62 @@ def _summed_up(chunk: pa.RecordBatch, least: int, most: int) -> Iterator[pa.Reco
     drawn = (Words(*text_bytes(encoded.dictionary), between=_BETWEEN).hashes()
              >> np.uint64(64 - _DRAWN_BITS) == 0)[term[first]]
 
+    start = _firsts(term * len(groups) + group[document])
+    return _Counts(named, documents, drawn, groups, np.searchsorted(first, start, side="right") - 1,
+                   group[document[start]], np.add.reduceat(n, start))
+
+
+def _together(parts: list[_Counts]) -> _Counts:
+    if len(parts) == 1:
+        return parts[0]
+    encoded = pa.concat_arrays([part.terms for part in parts]).dictionary_encode()
+    of = np.split(encoded.indices.to_numpy().astype(np.int64),
+                  np.cumsum([len(part.terms) for part in parts])[:-1])
+    documents = np.zeros(len(encoded.dictionary), dtype=np.int64)
+    drawn = np.zeros(len(documents), dtype=bool)
+    number: dict[tuple, int] = {}
+    keys = []
+    for part, own in zip(parts, of, strict=True):
+        # A part has each of its terms once.
+        documents[own] += part.documents
+        drawn[own] = part.drawn
+        group = np.array([number.setdefault(pair, len(number)) for pair in part.groups])[part.group]
+        keys.append(own[part.term] << 32 | group)
+    keys, count = np.concatenate(keys), np.concatenate([part.count for part in parts])
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = _firsts(keys)
+    return _Counts(encoded.dictionary, documents, drawn, list(number), keys[first] >> 32,
+                   keys[first] & ((1 << 32) - 1), np.add.reduceat(count[order], first))
+
+
+def _rows(counts: _Counts, least: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_terms``, each of at most ``most`` different terms."""
     # Row i of a language stands for a document that has the terms of more than i documents.
-    found = [np.flatnonzero(documents > i) for i in range(max(1, least))]
+    found = [np.flatnonzero(counts.documents > i) for i in range(max(1, least))]
     at = np.concatenate(found)
     cuts = _cut(np.repeat(np.arange(len(found)), [len(x) for x in found]), most)
-    few = np.concatenate(([0], np.cumsum(drawn[at])))[cuts]
+    drawn = counts.drawn[at]
+    few = np.concatenate(([0], np.cumsum(drawn)))[cuts]
     yield pa.RecordBatch.from_arrays(
         [pa.nulls(len(cuts), pa.string()), pa.nulls(len(cuts), pa.string()),
-         pa.nulls(len(cuts), pa.int64()), _no_lists(len(cuts)), _lists(named.take(pa.array(at)), cuts),
-         _lists(named.take(pa.array(at[drawn[at]])), few)], names=_COLUMNS)
+         pa.nulls(len(cuts), pa.int64()), _no_lists(len(cuts)),
+         _lists(counts.terms.take(pa.array(at)), cuts),
+         _lists(counts.terms.take(pa.array(at[drawn])), few)], names=_COLUMNS)
 
     # A count is the sum of the powers of two in it; each is the weight of a row that has the term.
-    start = _firsts(term * len(groups) + group[document])
-    count, own = np.add.reduceat(n, start), group[document[start]]
-    name = np.searchsorted(first, start, side="right") - 1
-    order = np.argsort(own, kind="stable")
-    count, own, name = count[order], own[order], name[order]
+    order = np.argsort(counts.group, kind="stable")
+    term, group, count = counts.term[order], counts.group[order], counts.count[order]
     for bit in range(int(count.max()).bit_length()):
         at = np.flatnonzero(count >> bit & 1)
         if not len(at):
             continue
-        cuts = _cut(own[at], most)
-        of = [groups[i] for i in own[at[cuts]]]
+        cuts = _cut(group[at], most)
+        of = [counts.groups[i] for i in group[at[cuts]]]
         yield pa.RecordBatch.from_arrays(
             [*[pa.array(list(x), pa.string()) for x in zip(*of, strict=True)],
-             pa.array(np.full(len(cuts), 1 << bit)), _lists(named.take(pa.array(name[at])), cuts),
+             pa.array(np.full(len(cuts), 1 << bit)),
+             _lists(counts.terms.take(pa.array(term[at])), cuts),
              _no_lists(len(cuts)), _no_lists(len(cuts))], names=_COLUMNS)
 
 
@@ -175,11 +218,21 @@ def _terms(documents: DataFrame, least: int, text: str, lang: str, source: str)
     found: the other rows; a term is in ``least`` of them if it is in as many documents, and in as many
     as in documents otherwise. drawn: those of them that a hash picks from all.
     """
-    limit, most = CHUNK_BYTES, ROW_TERMS
+    limit, entries, most = CHUNK_BYTES, HELD_ENTRIES, ROW_TERMS
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[_Counts] = []
         for chunk in _chunks(batches, limit):
-            yield from _summed_up(chunk, least, most)
+            counts = _counted(chunk)
+            if counts is not None:
+                held.append(counts)
+            if sum(len(part.count) for part in held) > entries:
+                held = [_together(held)]
+                if len(held[0].count) > entries // 2:
+                    # Too many entries to hold any longer.
+                    yield from _rows(held.pop(), least, most)
+        if held:
+            yield from _rows(_together(held), least, most)
 
     named = documents.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"),
                              F.coalesce(F.col(source), F.lit("")).alias("source"),

@@ -85,8 +85,10 @@ def test_small_blocks_slices_and_vocabularies(session, monkeypatch):
     assert audit(session, rows, least=3) == plain(rows, 3)
 
 
-def test_small_chunks_and_rows_of_terms(session, monkeypatch):
+@pytest.mark.parametrize("entries", [0, 300, 1 << 20])
+def test_small_chunks_and_rows_of_terms(session, monkeypatch, entries):
     monkeypatch.setattr(source_divergence, "CHUNK_BYTES", 700)
+    monkeypatch.setattr(source_divergence, "HELD_ENTRIES", entries)
     monkeypatch.setattr(source_divergence, "ROW_TERMS", 3)
     rows = corpus()
     assert audit(session, rows, least=4) == plain(rows, 4)
