@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.tables import stored
+from skyledger.llm.tables import discard, stored
 
 #: Links that a task joins at once.
 PIECE = 1 << 20
@@ -77,8 +77,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     def joined(edges: DataFrame) -> DataFrame:
         # Written first, so that few tasks read many links each.
-        return stored(stored(edges.where("u <> v"), "links").mapInArrow(_joined, "u long, v long"),
-                      "stars")
+        plain = stored(edges.where("u <> v"), "links")
+        stars = stored(plain.mapInArrow(_joined, "u long, v long"), "stars")
+        discard(plain)
+        return stars
 
     edges = joined(links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")))
     while _unfinished(edges):
@@ -87,7 +89,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             F.col("v").alias("u"), F.least("m", "u").alias("v"))
         # Now v is always the smaller end.
         small = large.join(_least(large, "v"), "u")
-        edges = joined(small.select("u", F.col("m").alias("v")).union(
+        before, edges = edges, joined(small.select("u", F.col("m").alias("v")).union(
             small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))))
+        discard(before)
     return edges.union(edges.select("v", "v")).groupBy(F.col("u").alias("node")).agg(
         F.min("v").alias("component"))

@@ -13,6 +13,9 @@ texts link if 100 * |x & y| >= 80 * |x or y|.
    same count says how many segments agree at least; a set that shares fewer hashes with all
    others links with none, and goes. Hashes are compared by bucket of texts: a bucket gets those
    of its hashes back that occur elsewhere, and only then are sets sent anywhere, once each.
+   Texts go to their bucket many at a time, compressed. Of a hash the first ``OFFERED_BITS`` are
+   compared, sent as the differences of sorted ones; two that agree by chance in those are told
+   apart when the hashes of whole sets are counted.
 3. The sets of a block, in one order (frequent members first), are a prefix tree. A walk through
    it carries the overlaps so far of all sets at once, so that sets with a common beginning share
    them; a set leaves the walk where the rest of the subtree's sets cannot lift the overlap to
@@ -21,7 +24,10 @@ texts link if 100 * |x & y| >= 80 * |x or y|.
 4. A block too large for one task is cut by size into bands, and bands into chunks by hash. Rounds
    with different hashes join most of what belongs together; then pairs of chunks of one band or
    of neighbours are walked through, except where both are in one component already, so that
-   nothing is missed and little is walked twice.
+   nothing is missed and little is walked twice. There may be many more pairs than chunks: they go
+   in waves that each send a set ``WAVE`` times on average.
+
+A stored table that nothing reads any more is deleted at once.
 
 Null texts are empty. Each row links by its own text, whether or not others have its id or it has
 none. A component is named by its least id; only one in which no row has an id has a null name.
@@ -30,6 +36,7 @@ Empty tables give no rows. Columns beyond id and text are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,15 +46,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from skyledger.llm.components import components
-from skyledger.llm.tables import partitions, stored
+from skyledger.llm.tables import discard, partitions, stored
 from skyledger.llm.words import Words, mixed, order_by, slices, text_bytes, window_hashes
 
 SIZE = 5
 BUCKET_BYTES = 4 << 20
+#: Bytes of text that a task holds to compress those of a bucket together.
+PACK_BYTES = 32 << 20
+#: Bits of a hash that buckets compare, and bytes of text whose hashes one task compares.
+OFFERED_BITS, SLICE_BYTES = 40, 16 << 20
 #: Members and sets of a block that one task walks through at most.
 CHUNK_MEMBERS, CHUNK_SETS = 1 << 18, 512
 ROUNDS = 2
 PEELS = 3
+WAVE = 2
 
 _U64 = np.uint64
 
@@ -151,9 +163,74 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "bucket", "tie", "n_shingles", "k1", "k2"])
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """bucket, texts: texts with at least one byte of one bucket, compressed, with their lengths."""
+    texts: dict[int, list[bytes]] = {}
+    held = 0
+
+    def flushed() -> pa.RecordBatch:
+        blobs = []
+        for part in texts.values():
+            sizes = np.array([len(text) for text in part], dtype=np.int64)
+            head = np.array([len(part), sizes.sum()], dtype=np.int64)
+            blobs.append(head.tobytes() + pa.compress(
+                sizes.tobytes() + b"".join(part), codec="zstd", asbytes=True))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(texts), pa.int32()), pa.array(blobs, pa.binary())],
+            names=["bucket", "texts"])
+
+    for batch in batches:
+        raw, offsets = text_bytes(batch.column(1))
+        data, ends = raw.tobytes(), offsets.tolist()
+        for bucket, start, stop in zip(batch.column(0).to_pylist(), ends, ends[1:]):
+            if stop > start:
+                texts.setdefault(bucket, []).append(data[start:stop])
+        held += len(data)
+        if held >= PACK_BYTES:
+            yield flushed()
+            texts, held = {}, 0
+    if texts:
+        yield flushed()
+
+
+def _unpacked(blobs: pa.ChunkedArray) -> pa.Array:
+    """The texts of a bucket."""
+    sizes, data = [np.zeros(1, np.int64)], []
+    for blob in blobs.to_pylist():
+        count, length = np.frombuffer(blob, np.int64, 2).tolist()
+        raw = pa.decompress(blob[16:], 8 * count + length, codec="zstd", asbytes=True)
+        sizes.append(np.frombuffer(raw, np.int64, count))
+        data.append(raw[8 * count:])
+    offsets = np.cumsum(np.concatenate(sizes))
+    return pa.LargeStringArray.from_buffers(
+        len(offsets) - 1, pa.py_buffer(offsets.tobytes()), pa.py_buffer(b"".join(data)))
+
+
+def _coded(values: np.ndarray, marked: np.ndarray) -> bytes:
+    """Sorted different numbers of ``OFFERED_BITS`` with a mark each, compressed."""
+    steps = np.diff(values, prepend=_U64(0)).view(np.uint8).reshape(-1, 8)
+    planes = steps[:, :-(-OFFERED_BITS // 8)].T.tobytes()
+    return len(values).to_bytes(4, "little") + pa.compress(
+        np.packbits(marked).tobytes() + planes, codec="zstd", asbytes=True)
+
+
+def _decoded(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    count, width = int.from_bytes(blob[:4], "little"), -(-OFFERED_BITS // 8)
+    marks = -(-count // 8)
+    raw = np.frombuffer(pa.decompress(blob[4:], marks + width * count, codec="zstd"), np.uint8)
+    steps = np.zeros((count, 8), dtype=np.uint8)
+    steps[:, :width] = raw[marks:].reshape(width, count).T
+    return (np.cumsum(steps.view(_U64).ravel(), dtype=_U64),
+            np.unpackbits(raw[:marks], count=count).astype(bool))
+
+
+def _offered(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> _U64(64 - OFFERED_BITS)
+
+
 def _chosen(texts: pa.Table, classes: np.ndarray) -> tuple[Sets, np.ndarray, np.ndarray]:
     """The sets of a bucket, the texts that stand for a class, and the place of that class."""
-    sets = Sets(texts["text"].combine_chunks())
+    sets = Sets(_unpacked(texts["texts"]))
     keys = sets.sums(1).view(np.int64)
     order = np.argsort(classes, kind="stable")
     at = np.minimum(np.searchsorted(classes[order], keys), max(len(classes) - 1, 0))
@@ -164,13 +241,39 @@ def _chosen(texts: pa.Table, classes: np.ndarray) -> tuple[Sets, np.ndarray, np.
     return sets, rows, order[at[rows]] if len(rows) else rows
 
 
-def _offers(key: tuple, texts: pa.Table, classes: pa.Table) -> pa.Table:
-    """bucket * 2, plus 1 if more than one class here has it, and the hash."""
-    sets, rows, _ = _chosen(texts, classes["k1"].to_numpy())
-    _, _, hashes, _ = sets.signatures(rows)
-    found, counts = np.unique(hashes, return_counts=True)
-    tags = (np.int64(key[0].as_py()) << 1) | (counts > 1)
-    return pa.table({"tag": tags.astype(np.int64), "hash": found.view(np.int64)})
+def _offers(n_slices: int) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
+    def offers(key: tuple, texts: pa.Table, classes: pa.Table) -> pa.Table:
+        """By slice of the hashes those of a bucket, marked if more than one class here has them."""
+        sets, rows, _ = _chosen(texts, classes["k1"].to_numpy())
+        _, _, hashes, _ = sets.signatures(rows)
+        found, counts = np.unique(_offered(hashes), return_counts=True)
+        of = (found * _U64(n_slices)) >> _U64(OFFERED_BITS)
+        cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(found)] if len(found) else []
+        return pa.table({
+            "slice": pa.array([int(of[a]) for a in cuts[:-1]], pa.int32()),
+            "bucket": pa.array([key[0].as_py()] * len(cuts[:-1]), pa.int32()),
+            "hashes": pa.array([_coded(found[a:b], counts[a:b] > 1)
+                                for a, b in zip(cuts, cuts[1:])], pa.binary())})
+
+    return offers
+
+
+def _shared(key: tuple, offers: pa.Table) -> pa.Table:
+    """bucket, hashes: those that another bucket or another class of this one has as well."""
+    parts = [_decoded(blob) for blob in offers["hashes"].to_pylist()]
+    found, at, counts = np.unique(np.concatenate([values for values, _ in parts]),
+                                  return_inverse=True, return_counts=True)
+    several = counts > 1
+    several[at[np.concatenate([marked for _, marked in parts])]] = True
+    buckets, shared, done = [], [], 0
+    for bucket, (values, marked) in zip(offers["bucket"].to_pylist(), parts, strict=True):
+        keep = several[at[done:done + len(values)]]
+        done += len(values)
+        if keep.any():
+            buckets.append(bucket)
+            shared.append(_coded(values[keep], marked[keep]))
+    return pa.table({"bucket": pa.array(buckets, pa.int32()),
+                     "hashes": pa.array(shared, pa.binary())})
 
 
 _PARTS = pa.list_(pa.struct([("level", pa.int64()), ("need", pa.int64()),
@@ -179,13 +282,15 @@ _PARTS = pa.list_(pa.struct([("level", pa.int64()), ("need", pa.int64()),
 
 def _candidates(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
     """node, n, members and parts: by level the shared hashes, if there are enough of them."""
-    kinds, nodes, values = (known[c].to_numpy() for c in ("kind", "node", "value"))
-    sets, rows, at = _chosen(texts, values[kinds == 0])
-    nodes = nodes[kinds == 0][at] if len(rows) else np.zeros(0, np.int64)
-    shared = np.sort(values[kinds == 1].view(_U64))
+    classes = known.filter(known["hashes"].is_null())
+    sets, rows, at = _chosen(texts, classes["k1"].to_numpy())
+    nodes = classes["node"].to_numpy()[at] if len(rows) else np.zeros(0, np.int64)
+    shared = np.sort(np.concatenate([np.zeros(0, _U64), *(
+        _decoded(blob)[0] for blob in known["hashes"].drop_null().to_pylist())]))
     text, level, hashes, needs = sets.signatures(rows)
     if len(shared):
-        keep = shared[np.minimum(np.searchsorted(shared, hashes), len(shared) - 1)] == hashes
+        offered = _offered(hashes)
+        keep = shared[np.minimum(np.searchsorted(shared, offered), len(shared) - 1)] == offered
     else:
         keep = np.zeros(len(hashes), dtype=bool)
     text, level, hashes = text[keep], level[keep], hashes[keep].view(np.int64)
@@ -327,17 +432,22 @@ def _chunk_count(n: str = "n") -> "F.Column":
     return F.greatest(F.ceil(F.sum(n) / CHUNK_MEMBERS), F.ceil(F.count("*") / CHUNK_SETS))
 
 
-def _links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
-    """All links that components need, among the sets (node, n, members) of each block.
+def _placed(sets: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The sets (node, n, members) of each block, with the number of its chunks."""
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(1.25)) + 1e-9).cast("int")
+    placed = sets.join(blocks, "node").withColumn("band", band)
+    sizes = stored(placed.groupBy("block").agg(_chunk_count().alias("chunks")), "ngram-blocks")
+    return stored(placed.join(sizes, "block"), "ngram-placed")
+
+
+def _links(placed: DataFrame) -> DataFrame:
+    """All links that components need, among the sets of each block; their table is discarded.
 
     Sizes of linked sets differ by a quarter at most, so they are in one band or in neighbours.
     """
-    band = F.floor(F.log(F.col("n")) / F.log(F.lit(1.25)) + 1e-9).cast("int")
-    placed = sets.select("node", "n", "members").join(blocks, "node").withColumn("band", band)
-    sizes = stored(placed.groupBy("block").agg(_chunk_count().alias("chunks")), "ngram-blocks")
-    placed = stored(placed.join(sizes, "block"), "ngram-placed")
     found = stored(_walk(placed.where("chunks = 1").withColumn("part", F.lit(0))), "ngram-links")
-    if not sizes.where("chunks > 1").head(1):
+    if not placed.where("chunks > 1").head(1):
+        discard(placed)
         return found
     large = placed.where("chunks > 1").drop("chunks")
     bands = stored(large.groupBy("block", "band").agg(_chunk_count().alias("chunks")), "ngram-bands")
@@ -366,19 +476,37 @@ def _links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
         F.xxhash64("node", F.lit("chunk")), F.col("chunks")))
     chunked = stored(apart.join(dealt, ["block", "band", "component"]).select(
         "block", "band", "whole", chunk.alias("chunk"), "node", "members"), "ngram-chunks")
-    names = chunked.select("block", "band", "whole", "chunk").distinct()
+    discard(placed)
+    names = stored(chunked.groupBy("block", "band", "whole", "chunk").agg(
+        F.sum(F.octet_length("members")).alias("bytes")), "ngram-names")
     other = names.select(
         "block", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"),
         F.col("band").alias("with_band"), F.col("whole").alias("with_whole"),
-        F.col("chunk").alias("with"))
+        F.col("chunk").alias("with"), F.col("bytes").alias("with_bytes"))
     pairs = stored(names.join(other, ["block", "band"]).where(
         "band < with_band or chunk <= with").where(
         "whole is null or with_whole is null or whole <> with_whole").select(
-        "block", "chunk", "with", F.xxhash64("chunk", "with").alias("part")), "ngram-pairs")
+        "block", "chunk", "with", F.xxhash64("chunk", "with").alias("part"),
+        (F.col("bytes") + F.when(F.col("chunk") != F.col("with"), F.col("with_bytes")).otherwise(0))
+        .alias("bytes")), "ngram-pairs")
     ends = pairs.select("block", "chunk", "part").union(
         pairs.where("chunk <> with").select("block", F.col("with").alias("chunk"), "part"))
     joined = so_far.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return joined.union(stored(_walk(chunked.join(ends, ["block", "chunk"])), "ngram-links"))
+    sent, held = (table.agg(F.sum("bytes")).first()[0] or 0 for table in (pairs, names))
+    waves = max(math.ceil(sent / (WAVE * max(held, 1))), 1)
+    for wave in range(waves):
+        of_wave = ends.where(F.pmod(F.xxhash64("part", F.lit("wave")), F.lit(waves)) == wave)
+        joined = joined.union(stored(_walk(chunked.join(of_wave, ["block", "chunk"])), "ngram-links"))
+    discard(chunked)
+    return joined
+
+
+def _kept(met: DataFrame, key: list[str], condition: str) -> DataFrame:
+    """Those rows whose number per key (``left``) meets a condition; ``met`` is discarded."""
+    kept = stored(met.withColumn("left", F.count("*").over(W.partitionBy(*key))).where(condition)
+                  .drop("left"), "ngram-met")
+    discard(met)
+    return kept
 
 
 def _grouped(documents: DataFrame, key: str, text: str, tie: Column) -> tuple[DataFrame, DataFrame]:
@@ -402,28 +530,25 @@ def _grouped(documents: DataFrame, key: str, text: str, tie: Column) -> tuple[Da
         "k1", "k2", "x.first", "x.bucket").withColumn("node", F.monotonically_increasing_id()),
         "ngram-classes")
 
-    bucketed = bucketed.drop("tie")
-    texts = bucketed.repartition(n, "bucket").groupBy("bucket")
+    texts = bucketed.select("bucket", "text").mapInArrow(_packed, "bucket int, texts binary") \
+        .repartition(n, "bucket").groupBy("bucket")
     offers = texts.cogroup(classes.select("bucket", "k1").groupBy("bucket")).applyInArrow(
-        _offers, "tag long, hash long")
-    same = W.partitionBy("hash")
-    shared = offers.withColumn("multiple", F.col("tag").bitwiseAND(F.lit(1))).withColumn(
-        "places", F.count("*").over(same) + F.max("multiple").over(same)).where(
-        "places > 1").select(F.shiftright("tag", 1).cast("int").alias("bucket"), "hash")
-    known = classes.select("bucket", F.lit(0).alias("kind"), "node", F.col("k1").alias("value")) \
-        .union(shared.select("bucket", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("node"),
-                             F.col("hash").alias("value")))
+        _offers(max(-(-size // SLICE_BYTES), 1)), "slice int, bucket int, hashes binary")
+    shared = offers.groupBy("slice").applyInArrow(_shared, "bucket int, hashes binary")
+    known = classes.select("bucket", "node", "k1", F.lit(None).cast("binary").alias("hashes")).union(
+        shared.select("bucket", F.lit(None).cast("long"), F.lit(None).cast("long"), "hashes"))
     sets = stored(texts.cogroup(known.groupBy("bucket")).applyInArrow(
         _candidates, "node long, n long, members binary, "
         "parts array<struct<level:long,need:long,hashes:array<long>>>"), "ngram-sets")
 
-    met = sets.select("node", "n", F.explode("parts").alias("part")).select(
-        "node", "n", "part.level", "part.need", F.explode("part.hashes").alias("hash"))
+    met = stored(sets.select("node", "n", F.explode("parts").alias("part")).select(
+        "node", "n", "part.level", "part.need", F.explode("part.hashes").alias("hash")), "ngram-met")
+    whole = stored(sets.select("node", "n", "members"), "ngram-members")
+    discard(sets)
     for _ in range(PEELS):
         # Hashes that one set alone has left, and then sets that have too few hashes left, go.
-        met = stored(met.withColumn("sets", F.count("*").over(W.partitionBy("hash"))).where(
-            "sets > 1").withColumn("left", F.count("*").over(W.partitionBy("node", "level")))
-            .where("left >= need").select("node", "n", "level", "need", "hash"), "ngram-met")
+        met = _kept(met, ["hash"], "left > 1")
+        met = _kept(met, ["node", "level"], "left >= need")
     # Sets of a hash by size; between two neighbours too far apart no link leads across.
     by_size = W.partitionBy("hash").orderBy("n", "node")
     vertex = F.xxhash64("node", "level")
@@ -433,7 +558,10 @@ def _grouped(documents: DataFrame, key: str, text: str, tie: Column) -> tuple[Da
     blocks = stored(met.select("node", vertex.alias("vertex")).distinct().join(
         components(chain).withColumnRenamed("node", "vertex"), "vertex").select(
         "node", F.col("component").alias("block")).distinct(), "ngram-candidates")
-    joined = components(_links(sets, blocks))
+    discard(met)
+    placed = _placed(whole, blocks)
+    discard(whole)
+    joined = components(_links(placed))
     return keys, classes.join(joined, "node", "left").select(
         "k1", "k2", "first", F.coalesce("component", "node").alias("component"))
 

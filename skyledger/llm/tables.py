@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.storage import CHECKPOINT_SETTING, scratch_path
+from skyledger.storage import CHECKPOINT_SETTING, delete_path, scratch_path, shuffles_removed
 
 #: Rows handed to Python at once: texts are long, and a worker holds one batch at a time.
 ARROW_ROWS = 512
@@ -29,12 +29,19 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the cluster's shared folder and read from there.
 
-    This cuts the lineage at files that outlive any executor.
+    This cuts the lineage at files that outlive any executor; what was shuffled for it goes.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a stored table that nothing is going to read any more."""
+    for folder in {path.rpartition("/")[0] for path in df.inputFiles()}:
+        delete_path(df.sparkSession, folder)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

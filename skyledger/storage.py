@@ -10,10 +10,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+#: Whether the files that a query has shuffled go at its end; by default they stay until the driver
+#: happens to collect its garbage.
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,6 +38,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/skyledger/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries begun in here remove what they shuffled when they end. Meant for writes: a result
+    that is computed a second time from the same object would be shuffled again."""
+    before = spark.conf.get(CLEANUP_SETTING, None)
+    spark.conf.set(CLEANUP_SETTING, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP_SETTING)
+        else:
+            spark.conf.set(CLEANUP_SETTING, before)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder once and return a reader over the written table."""
     path = scratch_path(df.sparkSession, label)
