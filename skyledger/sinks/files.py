@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Iterable, Mapping
+from contextlib import AbstractContextManager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -16,7 +17,7 @@ from skyledger import schemas
 from skyledger.sinks.catalog import declare_clustering, table_layout
 from skyledger.sources.files import read_csv
 from skyledger.storage import (
-    delete_path, matching_paths, path_exists, qualified, swap_directory)
+    delete_path, matching_paths, path_exists, qualified, settings, shuffles_removed, swap_directory)
 
 log = logging.getLogger(__name__)
 
@@ -32,7 +33,8 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int
         log.info("dry run: nothing written to %s", path)
         return
     out = df.repartition(files) if files else df
-    out.write.mode(mode).parquet(path)
+    with shuffles_removed(df.sparkSession):
+        out.write.mode(mode).parquet(path)
 
 
 def save_dimension(df: DataFrame, folder: str, name: str) -> str:
@@ -58,9 +60,10 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str],
     """Partitioned Parquet; optionally replace only the directories that get new rows, which
     makes a repeated monthly load harmless."""
     overwrite = "dynamic" if replace_touched_only else "static"
-    (clustered(df, partition_by, cluster_by or []).write.mode(mode)
-     .option("partitionOverwriteMode", overwrite)
-     .partitionBy(*partition_by).parquet(path))
+    with shuffles_removed(df.sparkSession):
+        (clustered(df, partition_by, cluster_by or []).write.mode(mode)
+         .option("partitionOverwriteMode", overwrite)
+         .partitionBy(*partition_by).parquet(path))
 
 
 def replace_months(df: DataFrame, path: str, months: Iterable[tuple[int, int]],
@@ -83,21 +86,40 @@ def replace_months(df: DataFrame, path: str, months: Iterable[tuple[int, int]],
     delete_path(spark, staged)
 
 
+def _read_in_parts(spark: SparkSession, share: int, largest: int) -> AbstractContextManager[None]:
+    """Stored tables are read in parts of a quarter of the ``share`` of a file in here, so that as many
+    of them as a file takes can be put together without moving rows. Files up to the size ``largest``
+    are not cut: one with a single row group would leave parts without rows."""
+    return settings(spark, {
+        "spark.sql.files.maxPartitionBytes": str(max(share // 4, largest, 1)),
+        "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"})
+
+
 def compact_parquet(spark: SparkSession, source: str, target: str,
                     files: int | None = None, file_bytes: int = 128 << 20) -> DataFrame:
     """Rewrite a directory of many files as few (without a number: as many as fit the advisory
     partition size); returns a reader over the result. A source with more than ``file_bytes`` for
     each of ``files`` gets more of them, as one task writes a file.
 
+    A task reads the files whose rows it writes; rows are only moved if the source falls into fewer
+    parts than files are asked for.
+
     Source and target must differ: overwriting a directory while reading it loses the data.
     """
     if qualified(spark, source) == qualified(spark, target):
         raise ValueError("compact into another directory, or use compact_in_place")
     df = spark.read.parquet(source)
-    if files:
+    if not files:
+        write_parquet(df.hint("rebalance"), target)
+    else:
         held = sum(size for _, size in matching_paths(spark, source))
         files = max(files, -(-held // file_bytes))
-    write_parquet(df if files else df.hint("rebalance"), target, files=files)
+        largest = _data_files(spark, source).agg(F.max("length")).first()[0] or 0
+        with _read_in_parts(spark, held // files, min(largest, file_bytes)):
+            if df.rdd.getNumPartitions() < files:
+                write_parquet(df, target, files=files)
+            else:
+                write_parquet(df.coalesce(files), target)
     return spark.read.schema(df.schema).parquet(target)
 
 
@@ -113,14 +135,17 @@ def compact_in_place(spark: SparkSession, path: str, files: int | None = None) -
     return spark.read.parquet(path)
 
 
+def _data_files(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.parquet").load(path).select("path", "length"))
+
+
 def _partition_files(spark: SparkSession, path: str) -> DataFrame:
-    """folder (below the table, like Year=2001/Month=5), files, bytes."""
-    found = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.parquet").load(path).select("path", "length"))
+    """folder (below the table, like Year=2001/Month=5), files, bytes, largest."""
     # The part of the path that is made of key values.
     folder = F.regexp_extract("path", r"/((?:[^/=]+=[^/]*/)+)[^/]*$", 1)
-    return found.groupBy(F.rtrim(folder, F.lit("/")).alias("folder")).agg(
-        F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    return _data_files(spark, path).groupBy(F.rtrim(folder, F.lit("/")).alias("folder")).agg(
+        F.count("*").alias("files"), F.sum("length").alias("bytes"), F.max("length").alias("largest"))
 
 
 def compact_partitions(spark: SparkSession, path: str, cluster_by: list[str] | None = None,

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Iterator, Mapping
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,24 +39,32 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Queries begun in here remove what they shuffled when they end. Meant for writes: a result
-    that is computed a second time from the same object would be shuffled again."""
-    before = spark.conf.get(CLEANUP_SETTING, None)
-    spark.conf.set(CLEANUP_SETTING, "true")
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings that hold in here."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP_SETTING)
-        else:
-            spark.conf.set(CLEANUP_SETTING, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def shuffles_removed(spark: SparkSession) -> AbstractContextManager[None]:
+    """Queries begun in here remove what they shuffled when they end. Meant for writes: a result
+    that is computed a second time from the same object would be shuffled again."""
+    return settings(spark, {CLEANUP_SETTING: "true"})
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder once and return a reader over the written table."""
     path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
