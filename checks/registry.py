@@ -87,7 +87,9 @@ def compact_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     found by its key values."""
     path = scratch_path(spark, "many-files")
     files = views.shares(spark, sf_dir, "lineitem", 48 << 20, least=8)
-    views.flights(spark, sf_dir).repartition(files).write.partitionBy("Year", "Month").parquet(path)
+    with shuffles_removed(spark):
+        views.flights_in_order(spark, sf_dir, files).write.option("compression", "zstd").partitionBy(
+            "Year", "Month").parquet(path)
     sink_files.compact_partitions(spark, path)
     return source_files.read_parquet(spark, path).filter(F.col("Year") == SAMPLED_YEAR).groupBy(
         "Year", "Month").agg(F.count("*").alias("rows"), F.sum("Distance").alias("distance"),

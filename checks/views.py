@@ -23,20 +23,21 @@ def shares(spark: SparkSession, sf_dir: str, name: str, share_bytes: int, least:
     return max(least, -(-size_in_bytes(spark, f"{sf_dir}/{name}.parquet") // share_bytes))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None,
+          least: int = 1) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
     rows = spark.read.parquet(path)
     if key and size_in_bytes(spark, path) < SMALL_TABLE:
-        return rows.repartition(shares(spark, sf_dir, name, TASK_BYTES,
-                                       spark.sparkContext.defaultParallelism), key)
+        least = max(least, spark.sparkContext.defaultParallelism)
+        return rows.repartition(shares(spark, sf_dir, name, TASK_BYTES, least), key)
     return rows
 
 
-def _line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _line_items(spark: SparkSession, sf_dir: str, least: int = 1) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     return (
-        table(spark, sf_dir, "lineitem", "l_orderkey")
+        table(spark, sf_dir, "lineitem", "l_orderkey", least)
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -124,6 +125,13 @@ def flights_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flights_of_marked(marked.withColumn("month", month).hint("rebalance", F.col("month")))
 
 
+def flights_in_order(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
+    """The flights in so many parts, each by year and month: the narrow lines are sorted, not the wide
+    flights, and none is moved. A large table may come in fewer parts from its joins."""
+    marked = _line_items(spark, sf_dir, parts).selectExpr(*_MARKED).coalesce(parts)
+    return _flights_of_marked(marked.sortWithinPartitions(F.year("date"), F.month("date")))
+
+
 def _with_copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     lines = _line_items(spark, sf_dir)
     return _flights_of(lines), _flights_of(lines.filter(F.col("l_linenumber") == 1))

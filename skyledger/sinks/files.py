@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import AbstractContextManager
 from dataclasses import dataclass, field
 from functools import reduce
@@ -21,6 +22,9 @@ from skyledger.storage import (
 
 log = logging.getLogger(__name__)
 
+#: Directories of a table that are rewritten at the same time, each by a job of its own.
+DIRECTORIES_AT_ONCE = 8
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None,
                   dry_run: bool = False) -> None:
@@ -153,29 +157,38 @@ def compact_partitions(spark: SparkSession, path: str, cluster_by: list[str] | N
     """Rewrite those directories of a partitioned table that have more files than their bytes need;
     returns them.
 
-    One job packs the rows of all such directories into files of the advisory partition size, small
-    directories side by side and large ones in several parts. Then each directory is swapped by
-    itself, so that readers see the old files or the new ones, and other directories stay as
-    they are.
+    No row leaves its directory: tasks read the files of a directory and write as many as it needs.
+    Some directories are rewritten at a time, the largest first, and each takes the place of the old
+    one as soon as it is complete, so that readers see the old files or the new ones, the disk holds
+    few directories twice, and other directories stay as they are.
     """
     needed = F.ceil(F.col("bytes") / file_bytes)
     # One entry per directory of the table.
-    folders = [row.folder for row in _partition_files(spark, path)
-               .filter((F.col("folder") != "") & (F.col("files") > needed)).collect()]
-    if not folders:
+    rewritten = (_partition_files(spark, path).withColumn("needed", needed)
+                 .filter((F.col("folder") != "") & (F.col("files") > F.col("needed")))
+                 .orderBy(F.col("bytes").desc()).collect())
+    if not rewritten:
         return []
-    table = path.rstrip("/")
+    table, folders = path.rstrip("/"), [row.folder for row in rewritten]
     names = [part.split("=")[0] for part in folders[0].split("/")]
-    rows = spark.read.option("basePath", table).parquet(*[f"{table}/{folder}" for folder in folders])
+    found = spark.read.option("basePath", table).parquet(*[f"{table}/{folder}" for folder in folders])
+    schema = StructType([column for column in found.schema if column.name not in names])
+    order = [name for name in cluster_by or [] if name not in names]
     staged = f"{table}.compacting-{uuid.uuid4().hex}"
-    write_partitioned(rows, staged, names, cluster_by)
-    absent = [folder for folder in folders if not path_exists(spark, f"{staged}/{folder}")]
-    if absent:
-        delete_path(spark, staged)
-        raise ValueError(f"key values that do not come back as they were: {absent[:3]}")
-    for folder in folders:
+
+    def compact(folder: str, files: int) -> None:
+        rows = spark.read.schema(schema).parquet(f"{table}/{folder}").coalesce(max(files, 1))
+        (rows.sortWithinPartitions(*order) if order else rows).write.option(
+            "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{staged}/{folder}")
         swap_directory(spark, f"{staged}/{folder}", f"{table}/{folder}")
-    delete_path(spark, staged)
+
+    try:
+        largest = min(max(row.largest for row in rewritten), file_bytes)
+        with (_read_in_parts(spark, file_bytes, largest),
+              ThreadPoolExecutor(DIRECTORIES_AT_ONCE) as pool):
+            list(pool.map(compact, folders, [row.needed for row in rewritten]))
+    finally:
+        delete_path(spark, staged)
     return sorted(folders)
 
 
